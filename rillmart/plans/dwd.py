@@ -1,7 +1,13 @@
-"""Cleaning rules: change rows or events to the cleaned tables."""
+"""Cleaning rules: change rows or events to the cleaned tables.
+
+Every rule binds to its declared columns; ``keep`` names extra columns (the
+change columns of a stream) that pass through.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,41 +21,41 @@ def _stat_day(df: DataFrame) -> DataFrame:
     return df.withColumn("statistic_time", F.to_date("update_time"))
 
 
-def game_record(rows: DataFrame) -> DataFrame:
+def game_record(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Settled bets with their day and hour."""
     kept = rows.where("status = 'settle' AND order_no IS NOT NULL AND update_time IS NOT NULL")
     timed = _stat_day(kept).withColumn("statistic_hour", F.hour("update_time").cast("bigint"))
-    return conform(timed, schemas.DWD_GAME_RECORD)
+    return conform(timed, schemas.DWD_GAME_RECORD, keep=keep)
 
 
-def recharge_order(rows: DataFrame) -> DataFrame:
+def recharge_order(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     kept = rows.where("order_no IS NOT NULL AND update_time IS NOT NULL")
-    return conform(_stat_day(kept), schemas.DWD_RECHARGE_ORDER)
+    return conform(_stat_day(kept), schemas.DWD_RECHARGE_ORDER, keep=keep)
 
 
-def withdraw_order(rows: DataFrame) -> DataFrame:
+def withdraw_order(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     kept = rows.where("order_no IS NOT NULL AND update_time IS NOT NULL")
-    return conform(_stat_day(kept), schemas.DWD_WITHDRAW_ORDER)
+    return conform(_stat_day(kept), schemas.DWD_WITHDRAW_ORDER, keep=keep)
 
 
-def amount_operation_record(rows: DataFrame) -> DataFrame:
+def amount_operation_record(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     kept = rows.where("status = 'COMPLETE' AND update_time IS NOT NULL")
-    return conform(_stat_day(kept), schemas.DWD_AMOUNT_OPERATION_RECORD)
+    return conform(_stat_day(kept), schemas.DWD_AMOUNT_OPERATION_RECORD, keep=keep)
 
 
-def user_proxy_statistic(rows: DataFrame) -> DataFrame:
+def user_proxy_statistic(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Keeps the day delivered by the source."""
-    return conform(rows.where("update_time IS NOT NULL"), schemas.DWD_USER_PROXY_STATISTIC)
+    return conform(rows.where("update_time IS NOT NULL"), schemas.DWD_USER_PROXY_STATISTIC, keep=keep)
 
 
-def reward_record(events: DataFrame) -> DataFrame:
+def reward_record(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Reward events of the five known scopes; a missing draw flag counts as not drawn."""
     kept = events.where(REWARD_FILTER)
     drawn = kept.withColumn("draw_flag", F.expr("IF(draw_flag, 1, 0)"))
-    return conform(_stat_day(drawn), schemas.DWD_REWARD_RECORD)
+    return conform(_stat_day(drawn), schemas.DWD_REWARD_RECORD, keep=keep)
 
 
-def user_online(events: DataFrame) -> DataFrame:
+def user_online(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Online events; text times keep their fraction and turn NULL when unreadable."""
     kept = events.where("user_id IS NOT NULL AND online_time IS NOT NULL AND create_time IS NOT NULL")
     timed = kept.withColumns(
@@ -59,7 +65,7 @@ def user_online(events: DataFrame) -> DataFrame:
             "create_time": F.expr("try_cast(replace(create_time, 'T', ' ') AS timestamp_ntz)"),
         }
     )
-    return conform(timed, schemas.USER_ONLINE_STATUS_RECORD)
+    return conform(timed, schemas.USER_ONLINE_STATUS_RECORD, keep=keep)
 
 
 # cleaned table -> (source table, rule)
