@@ -21,7 +21,7 @@ from rillmart.sources.readers import file_messages, shard_tables
 from rillmart.streaming import jobs, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
-FILES, FILES_PER_BATCH = 6, 2
+FILES, FILES_PER_BATCH = 4, 2
 
 
 def _cleaned(spark: SparkSession, folder: str, table: str, shape: str | None = None) -> DataFrame:
@@ -208,13 +208,13 @@ def _finish(spark: SparkSession, stream: DataFrame, handler: jobs.Handler) -> No
     query.awaitTermination()
 
 
-def _ledger_stream(mart: Mart, shape: str, ddl: str, *also: Mart) -> Query:
+def _ledger_stream(mart: Mart, shape: str, ddl: str, *also: Mart, part: str = jobs.DAY) -> Query:
     """One change stream into one or more incrementally maintained marts."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
         root = config.scratch(spark, "marts")
         rule = dwd.CLEANERS[mart.source][1]
-        targets = [jobs.LedgerMart(spark, m, root) for m in (mart, *also)]
+        targets = [jobs.LedgerMart(spark, m, root, part) for m in (mart, *also)]
         handler = jobs.fan_out(
             lambda batch: jobs.cleaned_images(changelog.images(batch), rule), *(t.apply for t in targets)
         )
@@ -274,12 +274,13 @@ def _row_mart_stream(mart: Mart, shape: str, ddl: str) -> Query:
 def _stream_finance(spark: SparkSession, folder: str) -> DataFrame:
     """Two change feeds in one stream: withdrawals and their payment attempts, joined per touched day."""
     root = config.scratch(spark, "marts")
-    orders = jobs.RowTable(spark, "dwd_withdraw_order", ["id"], root)
+    orders = jobs.RowTable(spark, "dwd_withdraw_order", ["id"], root, jobs.MONTH)
     payments = jobs.RowTable(
-        spark, "third_withdraw_payment_order", ["id"], root, "CAST(CAST(update_time AS DATE) AS STRING)"
+        spark, "third_withdraw_payment_order", ["id"], root, "substring(CAST(update_time AS STRING), 1, 7)"
     )
     target = jobs.RowMart(
-        spark, dws.FINANCE_INCREMENT, root, {"orders": orders, "payments": payments}, dws.finance_increment
+        spark, dws.FINANCE_INCREMENT, root, {"orders": orders, "payments": payments}, dws.finance_increment,
+        jobs.MONTH,
     )
     feeds_by_table = {
         "withdraw_order": (schemas.WITHDRAW_ORDER, load(spark, folder, "withdraw_order")),
@@ -378,8 +379,12 @@ QUERIES: dict[str, Query] = {
     "stream_user_game_hour": _ledger_stream(
         dws.USER_GAME_HOUR, "game_event", schemas.GAME_RECORD, dws.CHANNEL_GAME_PROVIDER
     ),
-    "stream_channel_withdraw": _ledger_stream(dws.CHANNEL_WITHDRAW, "withdraw_order", schemas.WITHDRAW_ORDER),
-    "stream_user_recharge": _ledger_stream(dws.USER_RECHARGE, "recharge_order", schemas.RECHARGE_ORDER),
+    "stream_channel_withdraw": _ledger_stream(
+        dws.CHANNEL_WITHDRAW, "withdraw_order", schemas.WITHDRAW_ORDER, part=jobs.MONTH
+    ),
+    "stream_user_recharge": _ledger_stream(
+        dws.USER_RECHARGE, "recharge_order", schemas.RECHARGE_ORDER, part=jobs.MONTH
+    ),
     "stream_user_reward_total": _stream_reward_total,
     "stream_upsert_replay": _stream_replay,
     "stream_user_custom_amount": _row_mart_stream(

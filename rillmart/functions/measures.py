@@ -8,6 +8,7 @@ and a signed (retractable) ledger.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 MONEY = "decimal(20,4)"
@@ -21,6 +22,8 @@ class Measure:
     kind: str  # sum | count | min | max
     expr: str
     type: str = MONEY
+    # the category values the condition fixes, one per column of ``Cells`` (None: any)
+    cell: tuple = ()
 
 
 @dataclass(frozen=True)
@@ -33,6 +36,18 @@ class Distinct:
     type: str = "bigint"
 
 
+@dataclass(frozen=True)
+class Cells:
+    """Categorical columns that all conditions of a pack are made of, and the summed amount.
+
+    ``dims`` lists the values of each column; a ``None`` among them stands for any
+    other value.
+    """
+
+    dims: Mapping[str, tuple]
+    amount: str
+
+
 def total(name: str, expr: str | None = None, type: str = MONEY) -> Measure:
     return Measure(name, "sum", expr or name, type)
 
@@ -299,27 +314,42 @@ REWARD_FILTER = "update_time IS NOT NULL AND reward_scope IN ({})".format(
 )
 
 
+# every reward condition is a combination of these columns
+REWARD_CELLS = Cells(
+    {
+        "reward_scope": tuple(REWARD_SCOPES),
+        "reward_type": (*REWARD_TYPES, None),
+        "draw_flag": tuple(DRAW_STATES.values()),
+    },
+    "bonus_amount",
+)
+
+
+def _reward(name: str, kind: str, *cell) -> Measure:
+    """Count or amount of the rewards in a category combination."""
+    fixed = zip(REWARD_CELLS.dims, cell)
+    cond = " AND ".join(f"{c} = {v!r}" for c, v in fixed if v is not None)
+    if kind == "count":
+        return Measure(name, "count", f"IF({cond}, 1, NULL)", "bigint", cell)
+    return Measure(name, "sum", f"IF({cond}, bonus_amount, 0)", MONEY, cell)
+
+
 def _scope_pack(scope: str, *, activity_counts: bool) -> list[Measure]:
     stem, total_stem = REWARD_SCOPES[scope]
-    here = f"reward_scope = '{scope}'"
-    pack: list[Measure] = []
-    for kind, wallet in REWARD_TYPES.items():
-        pack.append(
-            total_if(f"{total_stem}_{wallet}_amount", f"{here} AND reward_type = '{kind}'", "bonus_amount")
-        )
+    pack = [
+        _reward(f"{total_stem}_{wallet}_amount", "sum", scope, kind, None)
+        for kind, wallet in REWARD_TYPES.items()
+    ]
     for state, flag in DRAW_STATES.items():
-        drawn = f"{here} AND draw_flag = {flag}"
         if scope != "ACTIVITY_REWARD" or activity_counts:
-            pack.append(tally_if(f"{stem}_{state}_count", drawn))
-        pack.append(total_if(f"{stem}_{state}_amount", drawn, "bonus_amount"))
+            pack.append(_reward(f"{stem}_{state}_count", "count", scope, None, flag))
+        pack.append(_reward(f"{stem}_{state}_amount", "sum", scope, None, flag))
         pack += [
-            total_if(
-                f"{stem}_{state}_{wallet}_amount", f"{drawn} AND reward_type = '{kind}'", "bonus_amount"
-            )
+            _reward(f"{stem}_{state}_{wallet}_amount", "sum", scope, kind, flag)
             for kind, wallet in REWARD_TYPES.items()
         ]
     if scope == "ACTIVITY_REWARD":
-        pack.append(total_if("activity_total_amount", here, "bonus_amount"))
+        pack.append(_reward("activity_total_amount", "sum", scope, None, None))
     return pack
 
 

@@ -1,26 +1,30 @@
 """Grouped aggregation with exact, skew-safe distinct counts.
 
 ``count(DISTINCT …)`` over several conditions makes Catalyst expand every input
-row once per distinct expression.  ``aggregate`` groups the distinct counts by
-the value they look at instead: the first level groups by (keys, value) and
-keeps one flag per condition, the second level counts flags.  Several
-conditions on one value cost a single pass with no expansion; ``k`` different
-values cost ``k`` copies of the row rather than one per condition plus one.
-Both levels combine before the shuffle, and the first one spreads a hot group
-over its values, so one group holding a large share of the rows never lands in
-one task.
+row once per distinct expression and carry all other measures along.  Here the
+distinct counts are grouped by the value they look at and each value is
+aggregated on its own, narrow: first by (keys, value) with one flag per
+condition, then by keys, counting flags.  The measures are aggregated by keys
+alone.  The results are zipped on the grouping key, which all of them are already
+partitioned by.
+
+Every step combines before its shuffle, and the step that sees single values
+spreads a hot group over its values, so one group with a large share of the rows
+never lands in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillmart.functions.measures import Distinct, Measure
+from rillmart.functions.measures import Cells, Distinct, Measure
 
 FAN = "__fan"
+KEY = "__key"
 _MERGE = {"sum": "sum", "count": "sum", "min": "min", "max": "max"}
 
 
@@ -37,6 +41,107 @@ def distinct_values(distincts: Sequence[Distinct]) -> list[str]:
     return list(dict.fromkeys(d.value for d in distincts))
 
 
+def key_columns(keys: Mapping[str, str]) -> list[Column]:
+    return [F.expr(expr).alias(name) for name, expr in keys.items()]
+
+
+def _published(measure: Measure) -> Column:
+    return F.expr(f"{measure.kind}({measure.expr})").cast(measure.type).alias(measure.name)
+
+
+def aggregate(
+    df: DataFrame,
+    keys: Mapping[str, str],
+    measures: Sequence[Measure],
+    distincts: Sequence[Distinct] = (),
+    *,
+    cells: Cells | None = None,
+) -> DataFrame:
+    """Group ``df`` by the key expressions and compute all measures and distinct counts.
+
+    ``df`` is read once for the measures and once per distinct value; each read
+    only touches its own columns, so this suits scans.  Use ``aggregate_once``
+    above an expensive plan.
+    """
+    measured = _by_cells if cells else _plain
+    if not distincts:
+        grouped = measured(df, key_columns(keys), measures, cells)
+        return grouped.select(*keys, *(m.name for m in measures))
+
+    # a struct is never NULL itself, so the zip matches NULL keys like any other
+    whole_key = F.struct(*key_columns(keys)).alias(KEY)
+    out = measured(df, [whole_key], measures, cells)
+    for value in distinct_values(distincts):
+        mine = [d for d in distincts if d.value == value]
+        flags = [F.expr(f"bool_or({d.when})").alias(d.name) for d in mine if d.when]
+        seen = df.groupBy(whole_key, F.expr(value).alias("__value")).agg(F.lit(True).alias("__seen"), *flags)
+        counts = [
+            F.expr(f"count_if(__value IS NOT NULL AND `{d.name if d.when else '__seen'}`)").cast(d.type).alias(d.name)
+            for d in mine
+        ]
+        out = out.join(seen.groupBy(KEY).agg(*counts), KEY)
+    return out.select(*(F.col(f"{KEY}.{k}").alias(k) for k in keys), *(d.name for d in distincts), *(m.name for m in measures))
+
+
+def _plain(df: DataFrame, by: Sequence[Column], measures: Sequence[Measure], cells: None) -> DataFrame:
+    return df.groupBy(*by).agg(*(_published(m) for m in measures))
+
+
+def _by_cells(df: DataFrame, by: Sequence[Column], measures: Sequence[Measure], cells: Cells) -> DataFrame:
+    """Wide conditional measures over few categorical columns.
+
+    Instead of updating every conditional sum for every row, rows are summed per
+    category combination, the combinations are pivoted, and each measure adds up
+    the combinations its condition covers, once per group.
+    """
+    combos = list(product(*(range(len(v)) for v in cells.dims.values())))
+    number = F.lit(0)
+    for column, values in cells.dims.items():
+        slot = F.lit(values.index(None) if None in values else None)
+        for i, value in enumerate(values):
+            if value is not None:
+                slot = F.when(F.col(column) == F.lit(value), i).otherwise(slot)
+        number = number * len(values) + slot
+    pivoted = (
+        df.select(*by, number.alias("__cell"), F.expr(cells.amount).alias("__amount"))
+        .groupBy(*(F.col(c) for c in df.select(*by).columns))
+        .pivot("__cell", list(range(len(combos))))
+        .agg(F.sum("__amount").alias("s"), F.count(F.lit(1)).alias("n"))
+    )
+    kept = [c for c in pivoted.columns if not c[0].isdigit()]
+    counts = [F.coalesce(f"{i}_n", F.lit(0)) for i in range(len(combos))]
+    pivoted = pivoted.select(
+        *kept,
+        *(f"{i}_s" for i in range(len(combos))),
+        *(c.alias(f"{i}_n") for i, c in enumerate(counts)),
+        sum(counts[1:], counts[0]).alias("__all"),
+    )
+    out = []
+    for m in measures:
+        covered = [
+            i
+            for i, combo in enumerate(combos)
+            if all(
+                want is None or values[slot] == want
+                for want, slot, values in zip(m.cell, combo, cells.dims.values())
+            )
+        ]
+        rows = sum((F.col(f"{i}_n") for i in covered[1:]), F.col(f"{covered[0]}_n"))
+        if m.kind == "count":
+            out.append(rows.cast(m.type).alias(m.name))
+            continue
+        sums = [F.col(f"{i}_s") for i in covered]
+        zero = F.lit(0).cast(m.type)
+        added = sum((F.coalesce(s, zero) for s in sums[1:]), F.coalesce(sums[0], zero))
+        # rows outside the condition add 0; without any, a sum of NULLs stays NULL
+        missing = F.coalesce(*sums).isNull() & (rows == F.col("__all"))
+        out.append(F.when(~missing, added).cast(m.type).alias(m.name))
+    return pivoted.select(*kept, *out)
+
+
+# --- one pass -----------------------------------------------------------------------
+
+
 def fan_out(df: DataFrame, values: Sequence[str]) -> DataFrame:
     """One copy of each row per distinct value expression (none for 0 or 1)."""
     if len(values) < 2:
@@ -44,10 +149,6 @@ def fan_out(df: DataFrame, values: Sequence[str]) -> DataFrame:
     return df.withColumn(FAN, F.explode(F.array(*(F.lit(i) for i in range(len(values))))))
 
 
-def key_columns(keys: Mapping[str, str]) -> list[Column]:
-    return [F.expr(expr).alias(name) for name, expr in keys.items()]
-
-
 def value_columns(values: Sequence[str]) -> list[Column]:
     if len(values) < 2:
         return [F.expr(v).alias(_value(i)) for i, v in enumerate(values)]
@@ -68,18 +169,10 @@ def counted(index: int, values: Sequence[str], flag: str) -> str:
     return here if len(values) < 2 else f"{FAN} = {index} AND {here}"
 
 
-def aggregate(
-    df: DataFrame,
-    keys: Mapping[str, str],
-    measures: Sequence[Measure],
-    distincts: Sequence[Distinct] = (),
+def aggregate_once(
+    df: DataFrame, keys: Mapping[str, str], measures: Sequence[Measure], distincts: Sequence[Distinct]
 ) -> DataFrame:
-    """Group ``df`` by the key expressions and compute all measures and distinct counts."""
-    if not distincts:
-        return df.groupBy(*key_columns(keys)).agg(
-            *(F.expr(f"{m.kind}({m.expr})").cast(m.type).alias(m.name) for m in measures)
-        )
-
+    """Like ``aggregate`` but reads ``df`` once, carrying the measures through both levels."""
     values = distinct_values(distincts)
     partial = [
         F.expr(f"{m.kind}({on_first_copy(m.expr, values)})").alias(m.name) for m in measures

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillmart.functions.measures import Distinct, Measure
+from rillmart.functions.measures import Cells, Distinct, Measure
 from rillmart.operators.aggregate import aggregate
 
 _KEY_TYPES = {
@@ -33,13 +33,16 @@ class Mart:
     where: str | None = None
     # constants and ratios computed from the finished columns: (name, SQL, type)
     derived: tuple[tuple[str, str, str], ...] = field(default=())
+    cells: Cells | None = None
 
     def rows(self, cleaned: DataFrame) -> DataFrame:
         return cleaned.where(self.where) if self.where else cleaned
 
     def build(self, cleaned: DataFrame) -> DataFrame:
         """The mart over the current rows of its cleaned table."""
-        return self.finish(aggregate(self.rows(cleaned), self.keys, self.measures, self.distincts))
+        return self.finish(
+            aggregate(self.rows(cleaned), self.keys, self.measures, self.distincts, cells=self.cells)
+        )
 
     def finish(self, grouped: DataFrame) -> DataFrame:
         out = grouped

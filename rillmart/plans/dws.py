@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillmart.functions import measures as m
-from rillmart.operators.aggregate import aggregate
+from rillmart.operators.aggregate import aggregate, aggregate_once
 from rillmart.operators.mart import Mart, by
 
 _USERS = (m.Distinct("user_count", "user_id"),)
@@ -129,6 +129,7 @@ USER_REWARD = Mart(
     m.reward_pack(activity_counts=False),
     m.user_activity_distincts(),
     where=m.REWARD_FILTER,
+    cells=m.REWARD_CELLS,
 )
 
 CHANNEL_REWARD = Mart(
@@ -138,6 +139,7 @@ CHANNEL_REWARD = Mart(
     m.reward_pack(activity_counts=True),
     m.channel_reward_distincts(),
     where=m.REWARD_FILTER,
+    cells=m.REWARD_CELLS,
 )
 
 CHANNEL_ACTIVITY = Mart(
@@ -209,7 +211,8 @@ def finance_increment(orders: DataFrame, payments: DataFrame) -> DataFrame:
         "payment_order_no",
     )
     matched = folded.join(attempts, ["order_no", "statistic_time"])
-    grouped = aggregate(
+    # one pass: the join must not run once more for the distinct payments
+    grouped = aggregate_once(
         matched, by(*FINANCE_KEYS), _FINANCE_MEASURES, (_FINANCE_DISTINCTS[1],)
     )
     # the user is a grouping key, so its distinct count is 1 (0 when it is NULL)
@@ -245,7 +248,9 @@ def game_marts(cleaned: DataFrame) -> dict[str, DataFrame]:
             m.Measure(x.name, "sum", flag if x.name == "effective_bet_count" else x.name, x.type)
             for x in mart.measures
         )
-        return mart.finish(aggregate(base, mart.keys, added, mart.distincts))
+        # one pass, in case the base is not materialised
+        total = aggregate_once if mart.distincts else aggregate
+        return mart.finish(total(base, mart.keys, added, mart.distincts))
 
     marts = (USER_GAME_DAY, USER_GAME_HOUR, CHANNEL_GAME_CATEGORY, CHANNEL_GAME_PROVIDER, CHANNEL_GAME)
     return {"base": base, **{mart.name: again(mart) for mart in marts}}

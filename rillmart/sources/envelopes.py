@@ -36,14 +36,14 @@ def decode_changes(
         f"before {row}, after {row}, op string, ts_ms bigint, "
         f"source struct<`table`: string, pos: bigint>, {CORRUPT} string"
     )
-    parsed = messages.withColumn("__change", _parsed(value, schema))
-    position = F.col(pos) if pos else F.coalesce("__change.source.pos", "__change.ts_ms")
-    out = parsed.select(
-        F.col("__change.op").alias("op"),
-        "__change.before",
-        "__change.after",
-        position.cast("bigint").alias("pos"),
-        F.col("__change.source.table").alias("table"),
+    position = [F.col(pos).alias("__pos")] if pos else []
+    # as generator output the operation filter stays above the parse, which then runs once
+    out = messages.select(*position, F.inline(F.array(_parsed(value, schema)))).select(
+        "op",
+        "before",
+        "after",
+        (F.col("__pos") if pos else F.coalesce("source.pos", "ts_ms")).cast("bigint").alias("pos"),
+        F.col("source.table").alias("table"),
     )
     known = F.col("op").isin(CREATE, UPDATE, DELETE, READ)
     if metric:
@@ -88,11 +88,12 @@ def decode_events(messages: DataFrame, ddl: str, *, value: str = "value", metric
     one keeps its payload even if single fields are missing.
     """
     schema = f"`key` string, dataSyncType string, jsonData {schemas.row_struct(ddl)}, {CORRUPT} string"
-    parsed = messages.select(_parsed(value, schema).alias("event"))
-    bad = F.col(f"event.{CORRUPT}").isNotNull() | F.col("event.jsonData").isNull()
+    parsed = messages.select(F.inline(F.array(_parsed(value, schema))))
+    readable = F.col("jsonData").isNotNull()
     if metric:
+        bad = F.col(CORRUPT).isNotNull() | ~readable
         parsed = parsed.observe(metric, F.count_if(bad).alias("unreadable"))
-    return parsed.where("event.jsonData IS NOT NULL").select("event.jsonData.*")
+    return parsed.where(readable).select("jsonData.*")
 
 
 def encode_events(rows: DataFrame, key: str, sync_type: str, *, time_style: str = "iso") -> DataFrame:

@@ -66,13 +66,15 @@ def jdbc_snapshot(
 def shard_tables(spark: SparkSession, root: str, pattern: str, *, ddl: str | None = None) -> DataFrame:
     """All shard folders under ``root`` that match a glob, in one scan, with ``_shard``.
 
+    A folder is named after its shard, plainly or as ``column=shard``.
+
     One scan over the glob plans thousands of shards as input files of a single
     node, where a union of one reader per shard would grow the plan with them.
     """
     reader = spark.read.schema(ddl) if ddl else spark.read
     rows = reader.parquet(f"{root}/{pattern}")
     folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    return rows.withColumn("_shard", folder)
+    return rows.withColumn("_shard", F.substring_index(folder, "=", -1))
 
 
 def select_shards(tables: Mapping[str, DataFrame], names: Sequence[str]) -> DataFrame:

@@ -24,7 +24,10 @@ from rillmart.streaming.log import PART, BatchLog, publish, published, touched_p
 
 Handler = Callable[[DataFrame, int], None]
 
+# Part expressions: a part is what one refresh recomputes and one write replaces.
+# Days suit tables with much data per day, months long thin histories.
 DAY = "CAST(statistic_time AS STRING)"
+MONTH = "substring(CAST(statistic_time AS STRING), 1, 7)"
 
 
 def bucket(column: str, buckets: int) -> str:
