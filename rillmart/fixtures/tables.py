@@ -11,6 +11,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rillmart.sources.readers import spread
+
 
 @dataclass(frozen=True)
 class Shape:
@@ -459,7 +461,7 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shaped(spark: SparkSession, folder: str, shape: Shape) -> DataFrame:
-    source = read(spark, folder, shape.tables[0])
+    source = spread(read(spark, folder, shape.tables[0]))
     if len(shape.tables) > 1:
         other = read(spark, folder, shape.tables[1])
         source = source.join(other, source["l_orderkey"] == other["o_orderkey"])

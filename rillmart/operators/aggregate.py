@@ -46,7 +46,7 @@ def key_columns(keys: Mapping[str, str]) -> list[Column]:
 
 
 def _published(measure: Measure) -> Column:
-    return F.expr(f"{measure.kind}({measure.expr})").cast(measure.type).alias(measure.name)
+    return F.expr(f"CAST({measure.kind}({measure.expr}) AS {measure.type}) AS `{measure.name}`")
 
 
 def aggregate(
@@ -76,11 +76,13 @@ def aggregate(
         flags = [F.expr(f"bool_or({d.when})").alias(d.name) for d in mine if d.when]
         seen = df.groupBy(whole_key, F.expr(value).alias("__value")).agg(F.lit(True).alias("__seen"), *flags)
         counts = [
-            F.expr(f"count_if(__value IS NOT NULL AND `{d.name if d.when else '__seen'}`)").cast(d.type).alias(d.name)
+            F.expr(f"CAST(count_if(__value IS NOT NULL AND `{d.name if d.when else '__seen'}`) AS {d.type}) AS {d.name}")
             for d in mine
         ]
         out = out.join(seen.groupBy(KEY).agg(*counts), KEY)
-    return out.select(*(F.col(f"{KEY}.{k}").alias(k) for k in keys), *(d.name for d in distincts), *(m.name for m in measures))
+    return out.select(
+        *(f"{KEY}.{k}" for k in keys), *(d.name for d in distincts), *(m.name for m in measures)
+    )
 
 
 def _plain(df: DataFrame, by: Sequence[Column], measures: Sequence[Measure], cells: None) -> DataFrame:
@@ -94,49 +96,40 @@ def _by_cells(df: DataFrame, by: Sequence[Column], measures: Sequence[Measure],
     category combination, the combinations are pivoted, and each measure adds up
     the combinations its condition covers, once per group.
     """
-    combos = list(product(*(range(len(v)) for v in cells.dims.values())))
-    number = F.lit(0)
+    combos = list(product(*cells.dims.values()))
+    number = "0"
     for column, values in cells.dims.items():
-        slot = F.lit(values.index(None) if None in values else None)
-        for i, value in enumerate(values):
-            if value is not None:
-                slot = F.when(F.col(column) == F.lit(value), i).otherwise(slot)
-        number = number * len(values) + slot
+        slots = " ".join(f"WHEN {column} = {v!r} THEN {i}" for i, v in enumerate(values) if v is not None)
+        other = f" ELSE {values.index(None)}" if None in values else ""
+        number = f"({number}) * {len(values)} + CASE {slots}{other} END"
+    rows = df.select(*by, F.expr(number).alias("__cell"), F.expr(cells.amount).alias("__amount"))
+    kept = rows.columns[:-2]
     pivoted = (
-        df.select(*by, number.alias("__cell"), F.expr(cells.amount).alias("__amount"))
-        .groupBy(*(F.col(c) for c in df.select(*by).columns))
+        rows.groupBy(*kept)
         .pivot("__cell", list(range(len(combos))))
         .agg(F.sum("__amount").alias("s"), F.count(F.lit(1)).alias("n"))
     )
-    kept = [c for c in pivoted.columns if not c[0].isdigit()]
-    counts = [F.coalesce(f"{i}_n", F.lit(0)) for i in range(len(combos))]
-    pivoted = pivoted.select(
-        *kept,
-        *(f"{i}_s" for i in range(len(combos))),
-        *(c.alias(f"{i}_n") for i, c in enumerate(counts)),
-        sum(counts[1:], counts[0]).alias("__all"),
-    )
+
+    def added(covered: Sequence[int], side: str, zero: str) -> str:
+        return " + ".join(f"coalesce(`{i}_{side}`, {zero})" for i in covered)
+
+    everything = added(range(len(combos)), "n", "0")
     out = []
     for m in measures:
         covered = [
-            i
-            for i, combo in enumerate(combos)
-            if all(
-                want is None or values[slot] == want
-                for want, slot, values in zip(m.cell, combo, cells.dims.values())
-            )
+            i for i, combo in enumerate(combos)
+            if all(want is None or want == value for want, value in zip(m.cell, combo))
         ]
-        rows = sum((F.col(f"{i}_n") for i in covered[1:]), F.col(f"{covered[0]}_n"))
+        count = added(covered, "n", "0")
         if m.kind == "count":
-            out.append(rows.cast(m.type).alias(m.name))
+            out.append(f"CAST({count} AS {m.type}) AS {m.name}")
             continue
-        sums = [F.col(f"{i}_s") for i in covered]
-        zero = F.lit(0).cast(m.type)
-        added = sum((F.coalesce(s, zero) for s in sums[1:]), F.coalesce(sums[0], zero))
+        zero = f"CAST(0 AS {m.type})"
+        some = f"coalesce({', '.join(f'`{i}_s`' for i in covered)}) IS NOT NULL"
         # rows outside the condition add 0; without any, a sum of NULLs stays NULL
-        missing = F.coalesce(*sums).isNull() & (rows == F.col("__all"))
-        out.append(F.when(~missing, added).cast(m.type).alias(m.name))
-    return pivoted.select(*kept, *out)
+        value = f"IF({some} OR {count} <> __all, {added(covered, 's', zero)}, NULL)"
+        out.append(f"CAST({value} AS {m.type}) AS {m.name}")
+    return pivoted.selectExpr("*", f"{everything} AS __all").selectExpr(*kept, *out)
 
 
 # --- one pass -----------------------------------------------------------------------

@@ -15,8 +15,8 @@ def conform(df: DataFrame, ddl: str, *, keep: Sequence[str] = ()) -> DataFrame:
 
     A missing column raises; extra columns are dropped unless named in ``keep``.
     """
-    declared = [F.col(name).cast(kind).alias(name) for name, kind in schemas.fields(ddl)]
-    return df.select(*declared, *keep)
+    declared = [f"CAST(`{name}` AS {kind}) AS `{name}`" for name, kind in schemas.fields(ddl)]
+    return df.selectExpr(*declared, *keep)
 
 
 def enforce_not_null(df: DataFrame, columns: Sequence[str], *, metric: str | None = None) -> DataFrame:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rillmart import schemas
-from rillmart.operators.changelog import current_state, replicate
+from rillmart.operators.changelog import current_state, latest, replicate
 from rillmart.operators.conform import conform, enforce_not_null, protect
 
 DIMENSIONS = (
@@ -51,10 +52,6 @@ def reward_record_landing(cleaned: DataFrame) -> DataFrame:
     The last version wins: by update time, then by the remaining columns so that
     the choice does not depend on arrival order.
     """
-    from pyspark.sql import functions as F
-
-    from rillmart.operators.changelog import latest
-
     keys = schemas.KEYS["reward_record"]["sink"]
     order = [F.col("update_time").desc_nulls_last()] + [
         F.col(c).desc_nulls_last()

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rillmart.operators.changelog import META, compact, current_state
 from rillmart.operators.mart import Mart
 from rillmart.streaming import ledger
-from rillmart.streaming.log import PART, BatchLog, publish, published, touched_parts
+from rillmart.streaming.log import PART, BatchLog, part_of, publish, published, touched_parts
 
 Handler = Callable[[DataFrame, int], None]
 
@@ -104,7 +104,7 @@ class RowTable:
 
     def apply(self, changes: DataFrame, batch_id: int) -> list[str]:
         """Store the batch and return the parts it touched."""
-        tagged = changes.withColumn(PART, F.expr(self.part).cast("string"))
+        tagged = changes.withColumn(PART, part_of(self.part))
         delta = compact(tagged, [PART, *self.keys]).persist()
         try:
             parts = touched_parts(delta)
@@ -140,7 +140,7 @@ class RowMart:
             return
         rows = self.build(**{n: t.current(parts).drop(PART) for n, t in self.sources.items()})
         marker = self.spark.createDataFrame([(p,) for p in parts], f"{PART} string")
-        publish(rows.withColumn(PART, F.expr(self.part).cast("string")), marker, self.path)
+        publish(rows.withColumn(PART, part_of(self.part)), marker, self.path)
 
     def table(self) -> DataFrame:
         return published(self.spark, self.path)

@@ -25,7 +25,7 @@ from rillmart.operators.aggregate import (
     value_columns,
 )
 from rillmart.operators.mart import Mart
-from rillmart.streaming.log import PART
+from rillmart.streaming.log import PART, part_of
 
 ROWS = "__rows"
 
@@ -73,7 +73,7 @@ def contributions(images: DataFrame, mart: Mart, part: str) -> DataFrame:
         .groupBy(*key_columns(mart.keys), *value_columns(values))
         .agg(*out, F.sum("sign").alias(ROWS))
     )
-    return _typed(grouped, mart).withColumn(PART, F.expr(part).cast("string"))
+    return _typed(grouped, mart).withColumn(PART, part_of(part))
 
 
 def _typed(grouped: DataFrame, mart: Mart) -> DataFrame:
@@ -81,9 +81,9 @@ def _typed(grouped: DataFrame, mart: Mart) -> DataFrame:
     money = {
         m.name: "decimal(38,4)" if m.type.startswith("decimal") else "bigint" for m in mart.measures
     }
-    return grouped.withColumns(
-        {c: F.col(c).cast(money.get(c, "bigint")) for c in _sums(mart)}
-    )
+    sums = _sums(mart)
+    kept = [f"`{c}`" for c in grouped.columns if c not in sums]
+    return grouped.selectExpr(*kept, *(f"CAST(`{c}` AS {money.get(c, 'bigint')}) AS `{c}`" for c in sums))
 
 
 def combine(rows: DataFrame, mart: Mart) -> DataFrame:

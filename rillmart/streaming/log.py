@@ -11,12 +11,17 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PART, BATCH, LIVE = "part", "batch", "live"
 
 
+def part_of(expr: str) -> Column:
+    """Part of a row; rows without a day or key share one named part."""
+    return F.coalesce(F.expr(expr).cast("string"), F.lit("none"))
+
+
 def _write(rows: DataFrame, path: str, *folders: str) -> None:
     """Replace the folders present in ``rows``; hot folders are split, small ones merged."""
     (
