@@ -77,7 +77,7 @@ class LedgerMart:
             parts = touched_parts(delta)
             if parts:
                 log.append(delta, batch_id)
-                publish(ledger.settle(log.read(parts), self.mart), delta.select(PART), self.path)
+                publish(ledger.settle(log.entries(parts), self.mart), delta.select(PART), self.path)
         finally:
             delta.unpersist()
 

@@ -1,10 +1,11 @@
 """Signed ledgers: retractable partial aggregates of a mart.
 
-A ledger row holds, per grouping key and distinct-counted value, signed sums:
-rows that come add, rows that go subtract.  Sums commute, so batches may arrive
-in any order, and a distinct value counts while its signed count is positive.
-Each sum carries the signed number of its non-NULL inputs, because a group whose
-inputs were all retracted must return to NULL and not to 0.
+A ledger has one row per grouping key with signed sums of the measures, and one
+narrow row per grouping key and distinct-counted value with signed counts: rows
+that come add, rows that go subtract.  Sums commute, so batches may arrive in any
+order, and a value counts while its signed count is positive.  Each sum carries
+the signed number of its non-NULL inputs, because a group whose inputs were all
+retracted must return to NULL and not to 0.
 """
 
 from __future__ import annotations
@@ -13,21 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillmart.functions.measures import Measure
-from rillmart.operators.aggregate import (
-    FAN,
-    _flag,
-    _value,
-    counted,
-    distinct_values,
-    fan_out,
-    key_columns,
-    on_first_copy,
-    value_columns,
-)
+from rillmart.operators.aggregate import KEY, distinct_values, key_columns
 from rillmart.operators.mart import Mart
 from rillmart.streaming.log import PART, part_of
 
 ROWS = "__rows"
+SLOT = "__slot"  # 0: measures, i: the i-th distinct-counted value
 
 
 def supports(mart: Mart) -> bool:
@@ -35,85 +27,102 @@ def supports(mart: Mart) -> bool:
     return all(m.kind in ("sum", "count") for m in mart.measures)
 
 
+def _value(slot: int) -> str:
+    return f"__value_{slot}"
+
+
+def _flag(index: int) -> str:
+    return f"__flag_{index}"
+
+
 def _present(measure: Measure) -> str:
     return f"__n_{measure.name}"
 
 
-def _identity(mart: Mart) -> list[str]:
-    values = distinct_values(mart.distincts)
-    fan = [FAN] if len(values) > 1 else []
-    return [PART, *mart.keys, *fan, *(_value(i) for i in range(len(values)))]
+def _signed_count(cond: str) -> str:
+    return f"IF({cond}, sign, 0)"
+
+
+def _sums(mart: Mart) -> dict[str, str]:
+    """Every summed ledger column and its storage type."""
+    out = {}
+    for m in mart.measures:
+        out[m.name] = "decimal(38,4)" if m.type.startswith("decimal") else "bigint"
+        if m.kind == "sum":
+            out[_present(m)] = "bigint"
+    out.update({_flag(j): "bigint" for j, d in enumerate(mart.distincts) if d.when})
+    return {**out, ROWS: "bigint"}
 
 
-def _sums(mart: Mart) -> list[str]:
-    return [
-        *(m.name for m in mart.measures),
-        *(_present(m) for m in mart.measures if m.kind == "sum"),
-        *(_flag(j) for j, d in enumerate(mart.distincts) if d.when),
-        ROWS,
-    ]
+def _add(expr: str, name: str, kind: str):
+    return F.expr(f"CAST(sum({expr}) AS {kind}) AS `{name}`")
 
 
 def contributions(images: DataFrame, mart: Mart, part: str) -> DataFrame:
     """What a batch of signed cleaned rows adds to the ledger; ``part`` is SQL over the keys."""
-    values = distinct_values(mart.distincts)
-    out = []
+    rows = mart.rows(images)
+    kinds = _sums(mart)
+    exprs = {ROWS: "sign"}
     for m in mart.measures:
-        expr = on_first_copy(m.expr, values)
         if m.kind == "sum":
-            out.append(F.expr(f"sum(sign * ({expr}))").alias(m.name))
-            out.append(F.expr(f"sum(IF(({expr}) IS NULL, 0, sign))").alias(_present(m)))
+            exprs[m.name] = f"IF(sign < 0, -({m.expr}), {m.expr})"
+            exprs[_present(m)] = _signed_count(f"({m.expr}) IS NOT NULL")
         else:
-            out.append(F.expr(f"sum(IF(({expr}) IS NULL, 0, sign))").alias(m.name))
-    for j, d in enumerate(mart.distincts):
-        if d.when:
-            out.append(F.expr(f"sum(IF({d.when}, sign, 0))").alias(_flag(j)))
-    grouped = (
-        fan_out(mart.rows(images), values)
-        .groupBy(*key_columns(mart.keys), *value_columns(values))
-        .agg(*out, F.sum("sign").alias(ROWS))
-    )
-    return _typed(grouped, mart).withColumn(PART, part_of(part))
-
-
-def _typed(grouped: DataFrame, mart: Mart) -> DataFrame:
-    """One storage type per column, whatever level of summing produced it."""
-    money = {
-        m.name: "decimal(38,4)" if m.type.startswith("decimal") else "bigint" for m in mart.measures
-    }
-    sums = _sums(mart)
-    kept = [f"`{c}`" for c in grouped.columns if c not in sums]
-    return grouped.selectExpr(*kept, *(f"CAST(`{c}` AS {money.get(c, 'bigint')}) AS `{c}`" for c in sums))
+            exprs[m.name] = _signed_count(f"({m.expr}) IS NOT NULL")
+    out = rows.groupBy(*key_columns(mart.keys)).agg(*(_add(e, n, kinds[n]) for n, e in exprs.items()))
+    out = out.withColumn(SLOT, F.lit(0))
+    for slot, value in enumerate(distinct_values(mart.distincts), start=1):
+        counts = {ROWS: "sign"} | {
+            _flag(j): _signed_count(d.when)
+            for j, d in enumerate(mart.distincts)
+            if d.value == value and d.when
+        }
+        seen = rows.groupBy(*key_columns(mart.keys), F.expr(value).alias(_value(slot))).agg(
+            *(_add(e, n, kinds[n]) for n, e in counts.items())
+        )
+        out = out.unionByName(seen.withColumn(SLOT, F.lit(slot)), allowMissingColumns=True)
+    return out.withColumn(PART, part_of(part))
 
 
 def combine(rows: DataFrame, mart: Mart) -> DataFrame:
-    """Add up ledger rows of the same key and value."""
-    grouped = rows.groupBy(*_identity(mart)).agg(*(F.sum(c).alias(c) for c in _sums(mart)))
-    return _typed(grouped, mart)
+    """Add up ledger rows of the same key and value (used to fold old batches)."""
+    values = [_value(i) for i, _ in enumerate(distinct_values(mart.distincts), start=1)]
+    sums = (_add(f"`{n}`", n, kind) for n, kind in _sums(mart).items())
+    return rows.groupBy(PART, *mart.keys, SLOT, *values).agg(*sums)
 
 
-def settle(ledger: DataFrame, mart: Mart) -> DataFrame:
-    """Mart rows (with ``part``) of combined ledger rows; emptied groups disappear."""
-    values = distinct_values(mart.distincts)
-    own_rows = ROWS if len(values) < 2 else f"IF({FAN} = 0, {ROWS}, 0)"
-    out = []
+def settle(rows: DataFrame, mart: Mart) -> DataFrame:
+    """Mart rows (with ``part``) of ledger rows, combined or not; emptied groups disappear."""
+    whole_key = F.struct(PART, *mart.keys).alias(KEY)
+    merged = []
     for m in mart.measures:
         if m.kind == "sum":
-            merged = f"IF(sum(`{_present(m)}`) > 0, coalesce(sum(`{m.name}`), 0), NULL)"
+            value = f"IF(sum(`{_present(m)}`) > 0, coalesce(sum(`{m.name}`), 0), NULL)"
         else:
-            merged = f"greatest(sum(`{m.name}`), 0)"
-        out.append(F.expr(merged).cast(m.type).alias(m.name))
-    for j, d in enumerate(mart.distincts):
-        holds = f"{_flag(j) if d.when else ROWS} > 0"
-        cond = counted(values.index(d.value), values, holds)
-        out.append(F.expr(f"count_if({cond})").cast(d.type).alias(d.name))
-    grouped = ledger.groupBy(PART, *mart.keys).agg(*out, F.expr(f"sum({own_rows})").alias(ROWS))
-    return with_part(mart, grouped.where(f"{ROWS} > 0"))
-
-
-def with_part(mart: Mart, grouped: DataFrame) -> DataFrame:
-    """Finish a mart but keep its ``part``."""
-    out = grouped
+            value = f"greatest(sum(`{m.name}`), 0)"
+        merged.append(F.expr(f"CAST({value} AS {m.type}) AS `{m.name}`"))
+    measured = rows.where(F.col(SLOT) == 0).groupBy(whole_key)
+    out = measured.agg(*merged, F.sum(ROWS).alias(ROWS)).where(f"{ROWS} > 0")
+    for slot, value in enumerate(distinct_values(mart.distincts), start=1):
+        mine = [(j, d) for j, d in enumerate(mart.distincts) if d.value == value]
+        counted = [ROWS, *(_flag(j) for j, d in mine if d.when)]
+        seen = (
+            rows.where(F.col(SLOT) == slot)
+            .groupBy(whole_key, _value(slot))
+            .agg(*(F.sum(c).alias(c) for c in counted))
+            .groupBy(KEY)
+            .agg(
+                *(
+                    F.expr(
+                        f"CAST(count_if({_value(slot)} IS NOT NULL AND {_flag(j) if d.when else ROWS} > 0) "
+                        f"AS {d.type}) AS `{d.name}`"
+                    )
+                    for j, d in mine
+                )
+            )
+        )
+        out = out.join(seen, KEY)
+    flat = out.select(f"{KEY}.*", *(c for c in out.columns if c not in (KEY, ROWS)))
     for name, expr, kind in mart.derived:
-        out = out.withColumn(name, F.expr(expr).cast(kind))
-    return out.select(PART, *(n for n, _ in mart.fields()))
+        flat = flat.withColumn(name, F.expr(expr).cast(kind))
+    return flat.select(PART, *(n for n, _ in mart.fields()))

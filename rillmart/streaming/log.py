@@ -64,7 +64,11 @@ class BatchLog:
 
     def read(self, parts: Sequence[str] | None = None, *, upto: int | None = None) -> DataFrame:
         """Combined rows of the given parts (all parts by default)."""
-        return self.combine(self._rows(parts, upto).drop(BATCH))
+        return self.combine(self.entries(parts, upto=upto))
+
+    def entries(self, parts: Sequence[str] | None = None, *, upto: int | None = None) -> DataFrame:
+        """Rows as logged or folded, for readers that combine them anyway."""
+        return self._rows(parts, upto).drop(BATCH)
 
     def fold(self, upto: int, parts: Sequence[str] | None = None) -> None:
         """Collapse the batches up to ``upto`` of each part into one folder.
