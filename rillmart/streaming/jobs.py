@@ -55,6 +55,8 @@ class LedgerMart:
     mart: Mart
     root: str
     part: str = DAY
+    # receives the changed groups of every batch, for example a ``KeyedTableWriter``
+    sink: Callable[[DataFrame], None] | None = None
 
     def __post_init__(self) -> None:
         if not ledger.supports(self.mart):
@@ -77,10 +79,23 @@ class LedgerMart:
             parts = touched_parts(delta)
             if parts:
                 log.append(delta, batch_id)
-                publish(ledger.settle(log.entries(parts), self.mart), delta.select(PART), self.path)
+                settled = ledger.settle(log.entries(parts), self.mart)
+                publish(settled, delta.select(PART), self.path)
+                if self.sink:
+                    self.sink(self._changed(delta, settled))
         finally:
             delta.unpersist()
 
+    def _changed(self, delta: DataFrame, settled: DataFrame) -> DataFrame:
+        """Groups a batch touched: ``op`` u with their new row, or d if they are gone."""
+        key = F.struct(PART, *self.mart.keys).alias("__key")
+        touched = delta.select(key).distinct()
+        rows = [n for n, _ in self.mart.fields() if n not in self.mart.keys]
+        fresh = settled.select(key, F.lit("u").alias("op"), *rows)
+        return touched.join(fresh, "__key", "left").select(
+            F.coalesce("op", F.lit("d")).alias("op"), *(f"__key.{k}" for k in self.mart.keys), *rows
+        )
+
     def table(self) -> DataFrame:
         return published(self.spark, self.path)
 

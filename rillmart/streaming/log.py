@@ -79,6 +79,38 @@ class BatchLog:
         folded = self.read(parts, upto=upto).withColumn(BATCH, F.lit(upto).cast("bigint"))
         _write(folded, self._folded, PART, BATCH)
 
+    def prune(self) -> int:
+        """Delete batch folders that a fold of their part has replaced; returns how many.
+
+        Run it when no reader still works on a plan made before the fold.
+        """
+        if not _exists(self.spark, self._folded):
+            return 0
+        bases = self._load(self._folded, None).groupBy(PART).agg(F.max(BATCH).alias("base")).collect()
+        removed = 0
+        for row in bases:
+            for path in (self._deltas, self._folded):
+                # the newest fold itself stays
+                last = row["base"] if path == self._deltas else row["base"] - 1
+                removed += self._delete(f"{path}/{PART}={row[PART]}", lambda batch, last=last: batch <= last)
+        return removed
+
+    def expire(self, parts: Sequence[str]) -> int:
+        """Forget the given parts; later changes to them start from nothing, like expired state."""
+        return sum(
+            self._delete(f"{path}/{PART}={part}", lambda batch: True)
+            for path in (self._deltas, self._folded)
+            for part in parts
+        )
+
+    def _delete(self, folder: str, chosen: Callable[[int], bool]) -> int:
+        """Delete the batch folders under a part folder whose number is chosen."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        files = hadoop.Path(folder).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = files.globStatus(hadoop.Path(f"{folder}/{BATCH}=*")) or []
+        paths = [f.getPath() for f in found if chosen(int(f.getPath().getName().split("=")[1]))]
+        return sum(bool(files.delete(path, True)) for path in paths)
+
     def _load(self, path: str, parts: Sequence[str] | None) -> DataFrame:
         rows = self.spark.read.parquet(path)
         rows = rows.withColumns({PART: F.col(PART).cast("string"), BATCH: F.col(BATCH).cast("bigint")})

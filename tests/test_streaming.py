@@ -114,6 +114,20 @@ def test_emptied_day_and_moved_row(spark):
     assert seen == [[START.date()], [later.date()], []]
 
 
+def test_sink_gets_changed_groups_only(spark):
+    seen = []
+    sink = lambda df: seen.append(sorted((r.op, r.channel_id, r.custom_increase_count) for r in df.collect()))
+    job = jobs.LedgerMart(spark, dws.CHANNEL_CUSTOM_AMOUNT, config.scratch(spark, "ledger"), sink=sink)
+    up = dict(type="INCREASE")
+    steps = [
+        [[life("c", 1, 1, **up)], [life("c", 2, 1, id=2, channel_id=2, **up)]],
+        [[life("d", 3, -1, id=2, channel_id=2, **up)]],
+    ]
+    for batch_id, changes in enumerate(steps):
+        job.apply(jobs.cleaned_images(as_frame(spark, changes), RULE), batch_id)
+    assert seen == [[("u", 1, 1), ("u", 2, 1)], [("d", 2, None)]]
+
+
 def test_empty_first_batch_is_harmless(spark):
     mart = dws.CHANNEL_CUSTOM_AMOUNT
     job = jobs.LedgerMart(spark, mart, config.scratch(spark, "ledger"))
@@ -149,6 +163,10 @@ def test_fold_keeps_content_and_later_batches(spark):
     got = {(r.part, r.k): r.v for r in log.read().collect()}
     assert got == {("p", 1): 6, ("q0", 2): 5, ("q1", 2): 5, ("q2", 2): 5}
     assert [r.v for r in log.read(["p"]).collect()] == [6]
+    assert log.prune() == 4  # two batches of p, one of q0 and of q1
+    assert {(r.part, r.k): r.v for r in log.read().collect()} == got
+    assert log.expire(["q2"]) == 1
+    assert {r.part for r in log.read().collect()} == {"p", "q0", "q1"}
 
 
 def test_roll_ups_read_days_by_folder(spark):
