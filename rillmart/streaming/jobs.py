@@ -79,25 +79,24 @@ class LedgerMart:
             parts = touched_parts(delta)
             if parts:
                 log.append(delta, batch_id)
-                settled = ledger.settle(log.entries(parts), self.mart)
-                publish(settled, delta.select(PART), self.path)
+                publish(ledger.settle(log.entries(parts), self.mart), delta.select(PART), self.path)
                 if self.sink:
-                    self.sink(self._changed(delta, settled))
+                    self.sink(self._changed(delta, parts))
         finally:
             delta.unpersist()
 
-    def _changed(self, delta: DataFrame, settled: DataFrame) -> DataFrame:
-        """Groups a batch touched: ``op`` u with their new row, or d if they are gone."""
+    def _changed(self, delta: DataFrame, parts: Sequence[str]) -> DataFrame:
+        """Groups a batch touched: ``op`` u with their published row, or d if they are gone."""
         key = F.struct(PART, *self.mart.keys).alias("__key")
         touched = delta.select(key).distinct()
         rows = [n for n, _ in self.mart.fields() if n not in self.mart.keys]
-        fresh = settled.select(key, F.lit("u").alias("op"), *rows)
+        fresh = published(self.spark, self.path, parts).select(key, F.lit("u").alias("op"), *rows)
         return touched.join(fresh, "__key", "left").select(
             F.coalesce("op", F.lit("d")).alias("op"), *(f"__key.{k}" for k in self.mart.keys), *rows
         )
 
     def table(self) -> DataFrame:
-        return published(self.spark, self.path)
+        return published(self.spark, self.path).drop(PART)
 
 
 @dataclass(frozen=True)
@@ -158,7 +157,7 @@ class RowMart:
         publish(rows.withColumn(PART, part_of(self.part)), marker, self.path)
 
     def table(self) -> DataFrame:
-        return published(self.spark, self.path)
+        return published(self.spark, self.path).drop(PART)
 
 
 def fan_out(prepare: Callable[[DataFrame], DataFrame], *targets: Handler) -> Handler:

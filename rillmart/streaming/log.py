@@ -38,6 +38,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def _in_parts(rows: DataFrame, parts: Sequence[str] | None) -> DataFrame:
+    """Restrict a partitioned table to some parts; the filter prunes folders."""
+    rows = rows.withColumn(PART, F.col(PART).cast("string"))
+    return rows if parts is None else rows.where(F.col(PART).isin(list(parts)))
+
+
 def touched_parts(rows: DataFrame) -> list[str]:
     """Parts named in a batch: calendar days or key buckets, so the list stays small."""
     return [r[PART] for r in rows.select(PART).distinct().collect()]
@@ -112,9 +118,8 @@ class BatchLog:
         return sum(bool(files.delete(path, True)) for path in paths)
 
     def _load(self, path: str, parts: Sequence[str] | None) -> DataFrame:
-        rows = self.spark.read.parquet(path)
-        rows = rows.withColumns({PART: F.col(PART).cast("string"), BATCH: F.col(BATCH).cast("bigint")})
-        return rows if parts is None else rows.where(F.col(PART).isin(list(parts)))
+        rows = _in_parts(self.spark.read.parquet(path), parts)
+        return rows.withColumn(BATCH, F.col(BATCH).cast("bigint"))
 
     def _rows(self, parts: Sequence[str] | None, upto: int | None) -> DataFrame:
         rows = self._load(self._deltas, parts)
@@ -145,6 +150,6 @@ def publish(rows: DataFrame, parts: DataFrame, path: str) -> None:
     _write(live.unionByName(marker, allowMissingColumns=True), path, PART)
 
 
-def published(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of a published table."""
-    return spark.read.parquet(path).where(LIVE).drop(LIVE, PART)
+def published(spark: SparkSession, path: str, parts: Sequence[str] | None = None) -> DataFrame:
+    """Rows of a published table with their ``part``."""
+    return _in_parts(spark.read.parquet(path), parts).where(LIVE).drop(LIVE)

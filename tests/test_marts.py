@@ -185,6 +185,19 @@ def test_finance_join_repeats_amounts_without_emitting_pairs(spark):
     assert (got["pay_channel_id"], got["pay_provider_id"], got["pay_method_id"]) == (0, 3, None)
 
 
+def test_finance_join_is_linear_in_a_hot_order(spark):
+    """Thousands of rows on both sides of one order: the join emits one row per attempt."""
+    many = spark.range(3000)
+    order, attempt = (frame(spark, ddl, [row]) for ddl, row in (
+        (schemas.WITHDRAW_ORDER, withdrawal()), (schemas.THIRD_WITHDRAW_PAYMENT_ORDER, payment())))
+    orders = dwd.withdraw_order(many.select().join(order.drop("id").withColumn("id", F.lit(1)), how="cross"))
+    payments = many.selectExpr("CAST(id AS STRING) AS n").join(attempt, how="cross").withColumn("payment_order_no", F.col("n")).drop("n")
+    got = rows_of(dws.finance_increment(orders, payments))[0]
+    assert (got["withdraw_order_count"], got["withdraw_success_order_count"]) == (3000, 9_000_000)
+    assert got["withdraw_amount"] == D("49500000.0000")  # 5.5 × 3000 × 3000
+    assert got["success_withdraw_amount"] == D("900000000.0000")  # 100 × 3000 × 3000
+
+
 def test_null_keys_form_one_group_with_their_distinct_counts(spark):
     df = spark.createDataFrame([(None, 1), (None, 1), (None, 2), (5, None)], "k bigint, u bigint")
     mart = Mart("t", "t", by("k"), (m.tally("n"),), (m.Distinct("users", "u"), m.Distinct("big", "u", "u > 1")))
