@@ -143,6 +143,8 @@ class RowMart:
     sources: Mapping[str, RowTable]
     build: Callable[..., DataFrame]
     part: str = DAY
+    # keep the compacted rows while building, for plans that read them several times
+    keep_rows: bool = False
 
     @property
     def path(self) -> str:
@@ -152,9 +154,16 @@ class RowMart:
         parts = sorted(set(parts))
         if not parts:
             return
-        rows = self.build(**{n: t.current(parts).drop(PART) for n, t in self.sources.items()})
+        rows = {n: t.current(parts).drop(PART) for n, t in self.sources.items()}
+        if self.keep_rows:
+            rows = {n: r.persist() for n, r in rows.items()}
         marker = self.spark.createDataFrame([(p,) for p in parts], f"{PART} string")
-        publish(rows.withColumn(PART, part_of(self.part)), marker, self.path)
+        try:
+            publish(self.build(**rows).withColumn(PART, part_of(self.part)), marker, self.path)
+        finally:
+            if self.keep_rows:
+                for r in rows.values():
+                    r.unpersist()
 
     def table(self) -> DataFrame:
         return published(self.spark, self.path).drop(PART)

@@ -80,12 +80,12 @@ def test_ledger_equals_batch_for_any_order_and_replay(spark, seed):
     assert table_rows(job.table(), mart) == batch_result(spark, changes, mart)
 
 
-@pytest.mark.parametrize("seed", [3])
-def test_rows_equal_batch_with_repeated_deliveries(spark, seed):
-    mart, changes = dws.USER_CUSTOM_AMOUNT, change_log(seed)
+@pytest.mark.parametrize("seed,mart", [(3, dws.USER_CUSTOM_AMOUNT), (4, dws.CHANNEL_CUSTOM_AMOUNT)])
+def test_rows_equal_batch_with_repeated_deliveries(spark, seed, mart):
+    changes = change_log(seed)
     root = config.scratch(spark, "rows")
     rows = jobs.RowTable(spark, "cleaned", ["id"], root)
-    target = jobs.RowMart(spark, mart.name, root, {"cleaned": rows}, mart.build)
+    target = jobs.RowMart(spark, mart.name, root, {"cleaned": rows}, mart.build, keep_rows=bool(mart.distincts))
     for batch_id, some in enumerate(split(changes + changes[::3], 3, seed)):
         target.refresh(rows.apply(jobs.cleaned_images(as_frame(spark, some), RULE), batch_id))
         if batch_id == 0:
