@@ -92,15 +92,16 @@ def strings(batch: pa.RecordBatch, column: str = "text") -> list[str]:
 class Words:
     """Word spans of several texts, ASCII letters lower-cased, words joined by one space.
 
+    ``clean``, a table of 256 bytes, replaces the lower-casing.
     ``buf`` holds all texts with eight bytes of padding; word ``i`` is
     ``buf[start[i]:end[i]]``, and text ``d`` owns words ``first[d]`` to ``first[d + 1]``.
     """
 
-    def __init__(self, texts: list[str], *, lower: bool = True):
+    def __init__(self, texts: list[str], *, clean: bytes | None = None):
         parts = []
         for text in texts:
             raw = text.encode("utf-8", "replace")
-            parts.append(b" ".join((raw.lower() if lower else raw).split()))
+            parts.append(b" ".join((raw.translate(clean) if clean else raw.lower()).split()))
         counts = np.array([p.count(b" ") + 1 if p else 0 for p in parts], dtype=np.int64)
         joined = b"\n".join(p for p in parts if p)
         self.raw = joined + bytes(8)
@@ -157,6 +158,12 @@ def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(U64))
 
 
+def many_span_hashes(buf: np.ndarray, spans: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """``span_hashes`` of several lists of spans of one buffer."""
+    sums, down = prefix_sums(buf)
+    return [mix((sums[end] - sums[start]) * down[start] + (end - start).astype(U64)) for start, end in spans]
+
+
 _P1, _P2, _P3, _P4, _P5 = (
     U64(11400714785074694791),
     U64(14029467366897019727),
