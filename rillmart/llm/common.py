@@ -122,13 +122,13 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
-_BASE = 0x9E3779B97F4A7C15 | 1
+BASE = U64(0x9E3779B97F4A7C15)
 
 
 @lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = pow(_BASE, -1, 1 << 64)
-    up, down = np.full(n, _BASE, dtype=U64), np.full(n, inverse, dtype=U64)
+    inverse = pow(int(BASE), -1, 1 << 64)
+    up, down = np.full(n, BASE, dtype=U64), np.full(n, inverse, dtype=U64)
     up[0] = down[0] = 1
     return np.cumprod(up), np.cumprod(down)
 

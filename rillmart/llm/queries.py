@@ -17,6 +17,7 @@ from rillmart.llm import (
     rans,
     secret_scan,
     simhash,
+    suffix_dedup,
     toxicity,
 )
 from rillmart.llm.common import crc_part, table
@@ -100,6 +101,18 @@ def op8_rans(spark: SparkSession, folder: str) -> DataFrame:
     return read.mapInArrow(_crc32, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["begin"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -113,6 +126,7 @@ QUERIES = {
     "op6_secret_scan": op6_secret_scan,
     "op7_toxicity": op7_toxicity,
     "op8_rans": op8_rans,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_decontaminate": op10_decontaminate,
 }
 
