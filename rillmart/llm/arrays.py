@@ -93,6 +93,9 @@ class Mapped:
     def __init__(self, path: str, name: str, kind: str = "<i8"):
         self.path, self.name, self.kind, self.open = path, name, np.dtype(kind), {}
 
+    def __getstate__(self):
+        return self.__dict__ | {"open": {}}
+
     def file(self, shard: int) -> str:
         return f"{self.path}/{self.name}-{shard:06d}"
 

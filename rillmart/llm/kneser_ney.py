@@ -62,14 +62,15 @@ class Model:
         self.n_tokens = self.n_pairs = 0
         self.high = self.low = Discounts(0.5, 1.0, 1.5)
         self.low_mass = 1.0
+        self.tables: dict[str, Mapped] = {}
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if not isinstance(v, Mapped)}
+        return self.__dict__ | {"tables": {}}
 
     def _table(self, name: str, kind: str) -> Mapped:
-        if name not in self.__dict__:
-            self.__dict__[name] = Mapped(self.path, name, kind)
-        return self.__dict__[name]
+        if name not in self.tables:
+            self.tables[name] = Mapped(self.path, name, kind)
+        return self.tables[name]
 
     @property
     def n_words(self) -> int:
