@@ -88,20 +88,25 @@ def _expand(tables: list[list[int]]):
     return run
 
 
+def spanning(near: np.ndarray) -> np.ndarray:
+    """Smallest index that each index of a symmetric matrix reaches: one link a member keeps them together."""
+    label = np.arange(len(near))
+    while True:
+        low = np.where(near, label[None, :], len(near)).min(axis=1)
+        low = np.minimum(low, label)
+        low = low[low]
+        if (low == label).all():
+            return label
+        label = low
+
+
 def _links(radius: int):
     def run(batches):
         for batch in batches:
             a, b = [], []
             for members in batch.column("fps").to_pylist():
                 fps = np.unique(np.array(members, dtype=np.int64)).view(U64)
-                near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= radius
-                label = np.arange(len(fps))
-                while True:  # smallest index reachable; one link a member keeps them together
-                    low = np.where(near, label[None, :], len(fps)).min(axis=1)
-                    low = low[low]
-                    if (low == label).all():
-                        break
-                    label = low
+                label = spanning(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= radius)
                 on = np.flatnonzero(label != np.arange(len(fps)))
                 a.append(fps[on])
                 b.append(fps[label[on]])
