@@ -20,6 +20,7 @@ from rillmart.llm.common import staged, text_slices
 
 SHARE = 0.5  # of a host's different articles; a subtree on more of them belongs to the template
 LEAST = 5  # articles on which a subtree occurs at least before it counts as template
+BROADCAST_MARKS = 2_000_000  # template subtrees (16 MB) sent to all tasks at most; more are joined by host
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|"
@@ -185,7 +186,8 @@ def extract(pages: DataFrame) -> DataFrame:
     sizes = rows.select("host", "article").distinct().groupBy("host").agg(F.count("*").alias("articles"))
     # a host keeps at most 1 / SHARE times the subtrees of its mean article
     template = seen.join(sizes, "host").where(F.col("seen") > SHARE * F.col("articles"))
-    template = template.groupBy("host").agg(F.collect_list("mark").alias("template"))
-    joined = rows.join(template, "host", "left")
+    template = staged(template.groupBy("host").agg(F.collect_list("mark").alias("template")), "template")
+    marks = template.agg(F.sum(F.size("template"))).first()[0] or 0
+    joined = rows.join(F.broadcast(template) if marks <= BROADCAST_MARKS else template, "host", "left")
     kept = F.filter("blocks", lambda b: F.col("template").isNull() | ~F.arrays_overlap(b["around"], F.col("template")))
     return joined.select("page_id", "url", F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n").alias("text"))
