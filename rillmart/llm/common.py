@@ -7,6 +7,7 @@ than space and ``\\x09-\\x0D``; a null text counts as empty.
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -33,14 +34,12 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     Where the setting is unset a local session (tests) gets a temporary folder;
     any other master is refused, as its executors would not see each other's files.
     """
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        import tempfile
-
         shared = f"file://{tempfile.gettempdir()}/llm-shared"
-        spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
