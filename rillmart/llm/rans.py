@@ -145,7 +145,7 @@ _CUT = re.compile(r" (?=\S)")
 _SIMPLE = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,*$%&#]+)?(?:(\n)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,*$%&#]+)?)?")
 _BREAK = "<|endoftext|>"
 SLICE = 4 << 20
-KNOWN = 500_000  # chunks remembered by a worker; forgotten all at once beyond, never skipped
+KNOWN = 200_000  # chunks remembered by a worker; forgotten all at once beyond, never skipped
 
 
 class Tokens:
