@@ -169,6 +169,13 @@ def _contexts(part: Slice, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return out.view(">u8").astype(U64)
 
 
+def context_hash(words: np.ndarray) -> np.ndarray:
+    out = np.full(len(words), U64(WORDS), dtype=U64)
+    for k in range(WORDS):
+        out = mix(out * U64(31) + words[:, k])
+    return out
+
+
 def multikey_order(words: np.ndarray) -> np.ndarray:
     """Order of rows of eight-byte symbols: by the first symbol, then the rows that tie by the next, and so on."""
     order = np.argsort(words[:, 0], kind="stable")
@@ -204,14 +211,14 @@ def _send_contexts(keys: Mapped, bits: int, splitters: np.ndarray):
             words, low, high = _merge_rows(*(np.concatenate(x) for x in zip(*held)))
             a = np.searchsorted(splitters, words[:, 0], "left")
             b = np.searchsorted(splitters, words[:, 0], "right")
-            bucket = a + (mix(words @ np.arange(3, 3 + 2 * WORDS, 2, dtype=U64)) % (b - a + 1).astype(U64)).astype(np.int64)
+            bucket = a + (context_hash(words) % (b - a + 1).astype(U64)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             bucket, words, low, high = bucket[order], words[order], low[order], high[order]
             cuts = np.flatnonzero(np.diff(bucket)) + 1
             bounds = list(zip([0, *cuts], [*cuts, len(bucket)]))
-            coder = zstandard.ZstdCompressor(level=1)
+            coder = zstandard.ZstdCompressor(level=3)
             data = [
-                coder.compress(np.int64(e - s).tobytes() + words[s:e].tobytes() + low[s:e].tobytes() + high[s:e].tobytes())
+                coder.compress(np.int64(e - s).tobytes() + words[s:e].tobytes() + low[s:e].tobytes() + (high - low)[s:e].tobytes())
                 for s, e in bounds
             ]
             return pa.RecordBatch.from_arrays(
@@ -253,7 +260,10 @@ def _sample(keys: Mapped, bits: int):
 
 
 def _compare(bits: int, splitters: np.ndarray):
-    """Windows of a bucket that occur in two documents, or may do so across a boundary."""
+    """What two documents share in a bucket: whole contexts, and windows that lie in different contexts.
+
+    Windows of contexts that other buckets may hold too are all passed on.
+    """
 
     def work(bucket, held):
         coder, parts = zstandard.ZstdDecompressor(), []
@@ -261,7 +271,8 @@ def _compare(bits: int, splitters: np.ndarray):
             raw = coder.decompress(data)
             n = int(np.frombuffer(raw, dtype=np.int64, count=1)[0])
             flat = np.frombuffer(raw, dtype=U64, offset=8)
-            parts.append((flat[: n * WORDS].reshape(n, WORDS), flat[n * WORDS : n * (WORDS + 1)], flat[n * (WORDS + 1) :]))
+            least, gap = flat[n * WORDS : n * (WORDS + 1)], flat[n * (WORDS + 1) :]
+            parts.append((flat[: n * WORDS].reshape(n, WORDS), least, least + gap))
         words, low, high = _merge_rows(*(np.concatenate(x) for x in zip(*parts)))
         cut = np.isin(words[:, 0], splitters)
         out = []
@@ -280,11 +291,19 @@ def _compare(bits: int, splitters: np.ndarray):
                     at = REACH - back
                     value = mix((sums[on, at + LENGTH] - sums[on, at]) * down[at] + U64(LENGTH))
                     out.append((value, low[s + on], high[s + on], cut[s + on]))
-        value, low, high, cut = (np.concatenate(x) for x in zip(*out))
+        value, least, most, cut = (np.concatenate(x) for x in zip(*out))
         edge = np.unique(value[cut])
-        value, low, high = _spread(value, low, high)
-        keep = (low < high) | np.isin(value, edge)
-        yield _send(value[keep], low[keep], high[keep], bits)
+        order = np.sort(value)
+        several = order[1:][order[1:] == order[:-1]]
+        value, least, most = _spread(value, least, most)
+        keep = ((least < most) & np.isin(value, several)) | np.isin(value, edge)
+        whole = low < high
+        yield _send(
+            np.concatenate([value[keep], context_hash(words[whole])]),
+            np.concatenate([least[keep], low[whole]]),
+            np.concatenate([most[keep], high[whole]]),
+            bits,
+        )
 
     return work
 
@@ -327,6 +346,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             part = Slice(batch)
             first, last = _flagged(part, keys, bits)
             gone = np.zeros(len(part.buf) + 1, dtype=np.int32)
+            if len(first):
+                doc = part.doc[part.owner[first]]
+                unique, back = np.unique(context_hash(_contexts(part, first, last)), return_inverse=True)
+                place, least = windows.find(unique, _shard(unique, bits))
+                whole = (place >= 0)[back] & (least[back] < doc)
+                begin, after = part.start[first[whole]], part.start[last[whole]] + LENGTH
+                gone += np.bincount(begin, minlength=len(gone)).astype(np.int32)
+                gone -= np.bincount(after, minlength=len(gone)).astype(np.int32)
+                first, last = first[~whole], last[~whole]
             if len(first):
                 sizes = last - first + 1
                 at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(first, sizes)
