@@ -40,10 +40,14 @@ def session(name: str = "rillmart", *, cores: int | str = "*", shuffle_partition
 def scratch(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the shared folder the session names.
 
-    A cluster names the folder in ``spark.checkpoint.dir``.  Only where that is
-    unset (local tests) a temporary folder of this machine is used.
+    A cluster names the folder in ``spark.checkpoint.dir``.  Where it is unset a
+    local session (tests) gets a temporary folder of this machine; any other
+    session is refused, as its executors would write to disks of their own.
     """
     shared = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if not shared:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="rillmart-")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -69,9 +69,10 @@ def envelopes(rows: DataFrame, changed: Mapping[str, str], *, key: str = "id", r
     return rows.select(F.inline(events))
 
 
-def write_lines(messages: DataFrame, path: str, files: int) -> str:
-    """Write messages as JSON-lines files, spread so that one key's changes meet in any order."""
-    messages.select("value").repartition(files).write.text(path)
+def write_lines(messages: DataFrame, path: str) -> str:
+    """Add messages as JSON-lines files, dealt out so that one key's changes meet in any order."""
+    lines = messages.select("value").repartition(F.col("value"))
+    lines.write.mode("append").option("maxRecordsPerFile", 5000).text(path)
     return path
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rillmart import config, schemas
 from rillmart.fixtures import feeds
 from rillmart.fixtures.tables import load, read
-from rillmart.functions.codes import ORDER_STATUS, decode
+from rillmart.functions.codes import DEVICE_TYPE, GAME_ID, ORDER_STATUS, decode
 from rillmart.operators import changelog
 from rillmart.operators.conform import enforce_not_null, protect
 from rillmart.operators.lookup import device_of_user
@@ -21,7 +21,7 @@ from rillmart.sources.readers import file_messages, shard_tables
 from rillmart.streaming import jobs, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
-FILES, FILES_PER_BATCH = 4, 2
+BATCH_BYTES = 16 << 20  # of a feed that one micro-batch takes
 
 
 def _cleaned(spark: SparkSession, folder: str, table: str, shape: str | None = None) -> DataFrame:
@@ -101,7 +101,7 @@ def _protected_user(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _changelog_apply(spark: SparkSession, folder: str) -> DataFrame:
-    changes = changelog.images(_feed(spark, folder, "withdraw_order", schemas.WITHDRAW_ORDER))
+    changes = changelog.upserts(_feed(spark, folder, "withdraw_order", schemas.WITHDRAW_ORDER))
     return changelog.current_state(changes, ["id"])
 
 
@@ -141,7 +141,7 @@ def _shard_union(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _game_landing(spark: SparkSession, folder: str) -> DataFrame:
-    return dim.game_record_landing(changelog.images(_feed(spark, folder, "game_event", schemas.GAME_RECORD)))
+    return dim.game_record_landing(changelog.upserts(_feed(spark, folder, "game_event", schemas.GAME_RECORD)))
 
 
 def _reward_landing(spark: SparkSession, folder: str) -> DataFrame:
@@ -179,7 +179,7 @@ def _order_status(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _login_minutes(spark: SparkSession, folder: str) -> DataFrame:
-    online = _cleaned(spark, folder, "user_online_status_record").where("online_time IS NOT NULL")
+    online = dwd.user_online_status(load(spark, folder, "online_event")).where("online_time IS NOT NULL")
     return windows.login_counts(online)
 
 
@@ -193,8 +193,8 @@ def _order_hours(spark: SparkSession, folder: str) -> DataFrame:
 
 def _lines(spark: SparkSession, messages: DataFrame) -> DataFrame:
     """A stream over JSON-lines files of the messages, several micro-batches long."""
-    path = feeds.write_lines(messages, config.scratch(spark, "feed"), FILES)
-    return file_messages(spark, path, files_per_batch=FILES_PER_BATCH)
+    path = feeds.write_lines(messages, config.scratch(spark, "feed"))
+    return file_messages(spark, path, bytes_per_batch=BATCH_BYTES)
 
 
 def _change_stream(spark: SparkSession, folder: str, shape: str, ddl: str, *, repeats: bool) -> DataFrame:
@@ -224,18 +224,78 @@ def _ledger_stream(mart: Mart, shape: str, ddl: str, *also: Mart, part: str = jo
     return query
 
 
-def _stream_reward_total(spark: SparkSession, folder: str) -> DataFrame:
-    """All-time user totals from enveloped events, laid out by user bucket."""
-    rows = load(spark, folder, "reward_event").select(*schemas.names(schemas.REWARD_EVENT))
-    stream = decode_events(_lines(spark, encode_events(rows, "id", "INSERT")), schemas.REWARD_EVENT)
-    target = jobs.LedgerMart(
-        spark, ads.USER_REWARD_TOTAL, config.scratch(spark, "marts"), jobs.bucket("user_id", 16)
+def _stream_fan_out(spark: SparkSession, folder: str) -> DataFrame:
+    """Both targets of one prepared batch, side by side."""
+    root = config.scratch(spark, "marts")
+    targets = [jobs.LedgerMart(spark, m, root) for m in (dws.CHANNEL_GAME_PROVIDER, dws.CHANNEL_GAME_CATEGORY)]
+    handler = jobs.fan_out(
+        lambda batch: jobs.cleaned_images(changelog.images(batch), dwd.game_record), *(t.apply for t in targets)
     )
-    handler = jobs.fan_out(lambda batch: dwd.reward_record(batch).withColumn("sign", F.lit(1)), target.apply)
-    _finish(spark, stream, handler)
+    _finish(spark, _change_stream(spark, folder, "game_event", schemas.GAME_RECORD, repeats=False), handler)
+    both = [t.table().select("statistic_time", "channel_id", "user_count", "bet_amount") for t in targets]
+    return changelog.union_tables([t.withColumn("mart", F.lit(m)) for t, m in zip(both, ("provider", "category"))])
+
+
+def _stream_restart(spark: SparkSession, folder: str) -> DataFrame:
+    """A mart over a stream that stops, goes on from its checkpoint, and later starts with a new one.
+
+    The second checkpoint counts its batches from 0 again over the same tables;
+    the log is folded in between.
+    """
+    root = config.scratch(spark, "marts")
+    rows = load(spark, folder, "game_event").select(*schemas.names(schemas.GAME_RECORD))
+    messages = encode_changes(feeds.envelopes(rows, feeds.SECOND["game_event"], repeats=False), ["id"])
+    messages = messages.withColumn("turn", F.pmod(F.xxhash64("value"), F.lit(3)))
+    target = jobs.LedgerMart(spark, dws.CHANNEL_GAME, root)
+    handler = jobs.fan_out(
+        lambda batch: jobs.cleaned_images(changelog.images(batch), dwd.game_record), target.apply
+    )
+    first = config.scratch(spark, "feed"), config.scratch(spark, "progress")
+    second = config.scratch(spark, "feed"), config.scratch(spark, "progress")
+    for turn, (feed, checkpoint) in enumerate((first, first, second)):
+        feeds.write_lines(messages.where(F.col("turn") == turn), feed)
+        stream = file_messages(spark, feed, bytes_per_batch=BATCH_BYTES)
+        jobs.start(decode_changes(stream, schemas.GAME_RECORD), handler, checkpoint).awaitTermination()
+        target.log.fold()
     return target.table()
 
 
+def _stream_order_hours(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly counts over a file stream with a lateness bound, every window closed at the end."""
+    feed, out = config.scratch(spark, "feed"), config.scratch(spark, "windows")
+    rows = read(spark, folder, "events").selectExpr("CAST(ts AS TIMESTAMP) AS update_time", "CAST(value AS DECIMAL(20,4)) AS order_amount")
+    rows.write.parquet(feed)
+    stream = spark.readStream.schema(rows.schema).parquet(feed)
+    counted = windows.order_counts(stream, lateness=windows.LATENESS)
+    sink = counted.writeStream.outputMode("complete").foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(out))
+    sink.option("checkpointLocation", config.scratch(spark, "progress")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out)
+
+
+def _decoded(table: dict[int, str], code: str, label: str) -> Query:
+    """Lenient decoding of a code table, unknown codes counted as NULL."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        rows = read(spark, folder, "events").select(decode(F.expr(code), table, strict=False).alias(label))
+        return rows.groupBy(label).agg(F.count(F.lit(1)).alias("events"))
+
+    return query
+
+
+def _reward_stream(mart: Mart, part: str = jobs.MONTH) -> Query:
+    """A reward mart over a stream of enveloped events."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        rows = load(spark, folder, "reward_event").select(*schemas.names(schemas.REWARD_EVENT))
+        stream = decode_events(_lines(spark, encode_events(rows, "id", "INSERT")), schemas.REWARD_EVENT)
+        target = jobs.LedgerMart(spark, mart, config.scratch(spark, "marts"), part)
+        handler = jobs.fan_out(lambda batch: dwd.reward_record(batch).withColumn("sign", F.lit(1)), target.apply)
+        _finish(spark, stream, handler)
+        return target.table()
+
+    return query
+
+
 def _stream_replay(spark: SparkSession, folder: str) -> DataFrame:
     """Dimension copy with repeated deliveries, every batch applied twice, folded halfway."""
     ddl = schemas.USER_INFO
@@ -246,8 +306,7 @@ def _stream_replay(spark: SparkSession, folder: str) -> DataFrame:
         changes = changelog.upserts(batch)
         table.apply(changes, batch_id)
         table.apply(changes, batch_id)
-        if batch_id == 1:
-            table.log.fold(1)
+        table.log.fold()
 
     _finish(spark, _change_stream(spark, folder, "user_info", ddl, repeats=True), handle)
     return table.current().drop("part")
@@ -285,12 +344,7 @@ def _stream_finance(spark: SparkSession, folder: str) -> DataFrame:
     feeds_by_table = {
         "withdraw_order": (schemas.WITHDRAW_ORDER, load(spark, folder, "withdraw_order")),
         "third_withdraw_payment_order": (
-            schemas.THIRD_WITHDRAW_PAYMENT_ORDER,
-            # the provided line numbers repeat within an order, a payment id does not
-            changelog.latest(
-                load(spark, folder, "third_withdraw_payment_order"), ["id"],
-                [F.col(c).desc_nulls_last() for c in schemas.names(schemas.THIRD_WITHDRAW_PAYMENT_ORDER)],
-            ),
+            schemas.THIRD_WITHDRAW_PAYMENT_ORDER, load(spark, folder, "third_withdraw_payment_order")
         ),
     }
     tagged = changelog.union_tables(
@@ -318,7 +372,7 @@ def _stream_finance(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     # cleaning
     **{name: _dwd(name) for name in dwd.CLEANERS if name != "user_online_status_record"},
-    "dwd_user_online": _dwd("user_online_status_record"),
+    "dwd_user_online": lambda spark, folder: dwd.user_online_status(load(spark, folder, "online_event")),
     # day and hour marts
     "dws_user_game_day": _mart(dws.USER_GAME_DAY),
     "dws_user_game_hour": _mart(dws.USER_GAME_HOUR, "game_event"),
@@ -372,6 +426,8 @@ QUERIES: dict[str, Query] = {
     "sink_not_null": _not_null,
     "lookup_user_device": _device,
     "decode_order_status": _order_status,
+    "decode_game_id": _decoded(GAME_ID, "CAST(1000 + event_id % 5 AS INT)", "game_name"),
+    "decode_device_type": _decoded(DEVICE_TYPE, "CAST(event_id % 5 AS INT)", "device_type"),
     "window_login_minute": _login_minutes,
     "window_order_hour": _order_hours,
     # streams
@@ -385,7 +441,12 @@ QUERIES: dict[str, Query] = {
     "stream_user_recharge": _ledger_stream(
         dws.USER_RECHARGE, "recharge_order", schemas.RECHARGE_ORDER, part=jobs.MONTH
     ),
-    "stream_user_reward_total": _stream_reward_total,
+    "stream_channel_game_fan_out": _stream_fan_out,
+    "stream_restart": _stream_restart,
+    "stream_window_order_hour": _stream_order_hours,
+    "stream_channel_reward": _reward_stream(dws.CHANNEL_REWARD),
+    "stream_channel_activity": _reward_stream(dws.CHANNEL_ACTIVITY),
+    "stream_user_reward_total": _reward_stream(ads.USER_REWARD_TOTAL, jobs.bucket("user_id", 16)),
     "stream_upsert_replay": _stream_replay,
     "stream_user_custom_amount": _row_mart_stream(
         dws.USER_CUSTOM_AMOUNT, "amount_operation_record", schemas.AMOUNT_OPERATION_TOPIC

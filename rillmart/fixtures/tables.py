@@ -11,8 +11,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillmart.sources.readers import spread
-
 
 @dataclass(frozen=True)
 class Shape:
@@ -215,7 +213,8 @@ WITHDRAW_ORDER = Shape(
 THIRD_WITHDRAW_PAYMENT_ORDER = Shape(
     ("lineitem", "orders"),
     {
-        "id": "l_orderkey * 10 + l_linenumber",
+        # line numbers repeat within an order; with part and supplier a line is unique
+        "id": "((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey) * 100000 + l_suppkey",
         "withdraw_order_no": "l_orderkey",
         "payments_number": "CAST(l_linenumber AS INT)",
         "payment_order_no": "CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING)",
@@ -461,7 +460,7 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shaped(spark: SparkSession, folder: str, shape: Shape) -> DataFrame:
-    source = spread(read(spark, folder, shape.tables[0]))
+    source = read(spark, folder, shape.tables[0])
     if len(shape.tables) > 1:
         other = read(spark, folder, shape.tables[1])
         source = source.join(other, source["l_orderkey"] == other["o_orderkey"])

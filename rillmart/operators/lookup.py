@@ -18,5 +18,7 @@ def device_of_user(facts: DataFrame, devices: DataFrame, user: str = "user_id")
     per_user = devices.groupBy(F.col("user_id").alias(user)).agg(
         F.concat(F.lit("device_id: "), F.coalesce(F.min("device_id"), F.lit("null"))).alias("device")
     )
-    info = F.when(F.col(user).isNull(), "unknown").otherwise(F.coalesce("device", F.lit("no_device")))
-    return facts.join(per_user, user, "left").withColumn("dimension_info", info).drop("device")
+    known = facts.where(F.col(user).isNotNull()).join(per_user, user, "left")
+    known = known.withColumn("dimension_info", F.coalesce("device", F.lit("no_device"))).drop("device")
+    # rows without a user match nothing and would all meet in one task of the join
+    return known.unionByName(facts.where(F.col(user).isNull()).withColumn("dimension_info", F.lit("unknown")))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillmart.functions.measures import Cells, Distinct, Measure
-from rillmart.operators.aggregate import aggregate
+from rillmart.operators.aggregate import aggregate, aggregate_once
 
 _KEY_TYPES = {
     "statistic_time": "date",
@@ -34,15 +34,18 @@ class Mart:
     # constants and ratios computed from the finished columns: (name, SQL, type)
     derived: tuple[tuple[str, str, str], ...] = field(default=())
     cells: Cells | None = None
+    # read the input once and carry measures through the distinct counts; for inputs that are joins or windows
+    one_pass: bool = False
 
     def rows(self, cleaned: DataFrame) -> DataFrame:
         return cleaned.where(self.where) if self.where else cleaned
 
     def build(self, cleaned: DataFrame) -> DataFrame:
         """The mart over the current rows of its cleaned table."""
-        return self.finish(
-            aggregate(self.rows(cleaned), self.keys, self.measures, self.distincts, cells=self.cells)
-        )
+        rows = self.rows(cleaned)
+        if self.one_pass and not self.cells:
+            return self.finish(aggregate_once(rows, self.keys, self.measures, self.distincts))
+        return self.finish(aggregate(rows, self.keys, self.measures, self.distincts, cells=self.cells))
 
     def finish(self, grouped: DataFrame) -> DataFrame:
         out = grouped

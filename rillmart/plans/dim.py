@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,14 +38,15 @@ def dimension(
 
 
 def game_record_landing(changes: DataFrame, *, shards: bool = False) -> DataFrame:
-    """Bets as landed: live rows with an order number, money widened.
+    """Bets as landed, one row per order number and creation time, money widened.
 
-    Sharded source tables may reuse ids, so with ``shards`` a row is identified
-    by shard and id.
+    Changes are compacted by the bet first.  Sharded source tables may reuse ids,
+    so with ``shards`` a bet is identified by shard and id.  Of bets that share
+    the published key the last updated wins, then the largest by the other columns.
     """
     keys = (["_shard"] if shards else []) + schemas.KEYS["game_record"]["entity"]
     rows = current_state(changes, keys).where("order_no IS NOT NULL")
-    return conform(rows, schemas.GAME_RECORD_LANDING)
+    return _by_sink_key(conform(rows, schemas.GAME_RECORD_LANDING), schemas.KEYS["game_record"]["sink"])
 
 
 def reward_record_landing(cleaned: DataFrame) -> DataFrame:
@@ -52,11 +55,11 @@ def reward_record_landing(cleaned: DataFrame) -> DataFrame:
     The last version wins: by update time, then by the remaining columns so that
     the choice does not depend on arrival order.
     """
-    keys = schemas.KEYS["reward_record"]["sink"]
-    order = [F.col("update_time").desc_nulls_last()] + [
-        F.col(c).desc_nulls_last()
-        for c in schemas.names(schemas.REWARD_RECORD_LANDING)
-        if c not in keys and c != "update_time"
-    ]
-    rows = latest(cleaned.where("id IS NOT NULL"), keys, order)
-    return conform(enforce_not_null(rows, keys), schemas.REWARD_RECORD_LANDING)
+    rows = conform(cleaned.where("id IS NOT NULL"), schemas.REWARD_RECORD_LANDING)
+    return _by_sink_key(rows, schemas.KEYS["reward_record"]["sink"])
+
+
+def _by_sink_key(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The last updated row per key; ties by the remaining columns in declared order."""
+    rest = ["update_time"] + [c for c in rows.columns if c not in keys and c != "update_time"]
+    return latest(enforce_not_null(rows, keys), keys, [F.col(c).desc_nulls_last() for c in rest])

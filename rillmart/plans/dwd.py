@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from rillmart import schemas
 from rillmart.functions.measures import REWARD_FILTER
-from rillmart.operators.conform import conform
+from rillmart.operators.changelog import latest
+from rillmart.operators.conform import conform, enforce_not_null
 
 
 def _stat_day(df: DataFrame) -> DataFrame:
@@ -56,7 +57,10 @@ def reward_record(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def user_online(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Online events; text times keep their fraction and turn NULL when unreadable."""
+    """Online events; text times keep their fraction and turn NULL when unreadable.
+
+    Rows whose key is then NULL are dropped.
+    """
     kept = events.where("user_id IS NOT NULL AND online_time IS NOT NULL AND create_time IS NOT NULL")
     timed = kept.withColumns(
         {
@@ -65,7 +69,19 @@ def user_online(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
             "create_time": F.expr("try_cast(replace(create_time, 'T', ' ') AS timestamp_ntz)"),
         }
     )
-    return conform(timed, schemas.USER_ONLINE_STATUS_RECORD, keep=keep)
+    rows = conform(timed, schemas.USER_ONLINE_STATUS_RECORD, keep=keep)
+    return enforce_not_null(rows, schemas.KEYS["user_online_status_record"]["sink"])
+
+
+def user_online_status(events: DataFrame) -> DataFrame:
+    """The landed table: one row per user and creation time.
+
+    The source names no version, so of rows with the same key the largest wins,
+    compared column by column in declared order.
+    """
+    keys = schemas.KEYS["user_online_status_record"]["sink"]
+    order = [F.col(c).desc_nulls_last() for c in schemas.names(schemas.USER_ONLINE_STATUS_RECORD) if c not in keys]
+    return latest(user_online(events), keys, order)
 
 
 # cleaned table -> (source table, rule)

@@ -27,12 +27,14 @@ USER_GAME_HOUR = Mart(
     (*_BETS, m.PROFIT_AND_LOSS),
 )
 
+# Bets mostly come joined or compacted, so these marts read them once.
 CHANNEL_GAME_CATEGORY = Mart(
     "today_channel_game_category_statistic",
     "dwd_game_record",
     by("statistic_time", "channel_id", "game_category_id"),
     _BETS,
     _USERS,
+    one_pass=True,
 )
 
 CHANNEL_GAME_PROVIDER = Mart(
@@ -41,6 +43,7 @@ CHANNEL_GAME_PROVIDER = Mart(
     by("statistic_time", "channel_id", "third_platform_provider_type"),
     _BETS,
     _USERS,
+    one_pass=True,
 )
 
 CHANNEL_GAME = Mart(
@@ -49,6 +52,7 @@ CHANNEL_GAME = Mart(
     by("statistic_time", "channel_id"),
     _BETS,
     _USERS,
+    one_pass=True,
 )
 
 # The declared key of the user mart omits the channel it is grouped by; the

@@ -46,6 +46,8 @@ def _dimension(table: str) -> Job:
 
 def _cleaner(name: str) -> Job:
     source, rule = dwd.CLEANERS[name]
+    if name == "user_online_status_record":
+        rule = dwd.user_online_status  # the only cleaner that lands in a keyed table
     key = {
         "dwd_amount_operation_record": ("id", "update_time"),
         "dwd_user_proxy_statistic": ("id", "update_time"),

@@ -32,11 +32,11 @@ def kafka_messages(spark: SparkSession, options: Mapping[str, str]) -> DataFrame
     )
 
 
-def file_messages(spark: SparkSession, path: str, *, files_per_batch: int | None = None) -> DataFrame:
+def file_messages(spark: SparkSession, path: str, *, bytes_per_batch: int | None = None) -> DataFrame:
     """Streaming ``value`` lines of a folder that JSON-lines files arrive in."""
     reader = spark.readStream.format("text")
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", str(bytes_per_batch))
     return reader.load(path)
 
 
@@ -63,17 +63,6 @@ def jdbc_snapshot(
     )
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Give a scan with fewer splits than cores one split per core.
-
-    Decoding and wide aggregates are bound by the processor, and a small table in
-    one file would run them in one task.  A scan that already has enough splits,
-    as every large table does, is returned unchanged and costs no shuffle.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def shard_tables(spark: SparkSession, root: str, pattern: str, *, ddl: str | None = None) -> DataFrame:
     """All shard folders under ``root`` that match a glob, in one scan, with ``_shard``.
 

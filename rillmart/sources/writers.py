@@ -49,7 +49,8 @@ def upsert_statement(table: str, columns: Sequence[str], keys: Sequence[str], di
 
 def delete_statement(table: str, keys: Sequence[str], dialect: str) -> str:
     mark, quote = ("%s", "`") if dialect == "mysql" else ("?", '"')
-    where = " AND ".join(f"{quote}{k}{quote} = {mark}" for k in keys)
+    same = f"{{}} <=> {mark}" if dialect == "mysql" else f"{{}} IS NOT DISTINCT FROM {mark}"  # keys may be NULL
+    where = " AND ".join(same.format(f"{quote}{k}{quote}") for k in keys)
     return f"DELETE FROM {quote}{table}{quote} WHERE {where}"
 
 
@@ -59,8 +60,10 @@ class KeyedTableWriter:
 
     ``connect`` opens a DB-API connection inside the task.  Every partition
     writes its own batches, and ``writers`` bounds how many do so at a time.
-    Rows whose ``op`` is ``d`` delete their key.  The statements are keyed, so a
-    retried task or a replayed batch leaves the same rows.
+    Rows whose ``op`` is ``d`` delete their key.  Each batch holds one row per key,
+    as the marts and compacted tables give it; repeated keys are refused, because a
+    shuffle keeps no order among them.  The statements are keyed, so a retried task
+    or a replayed batch leaves the same rows.
     """
 
     connect: Callable[[], Any]
@@ -76,17 +79,21 @@ class KeyedTableWriter:
         columns = [c for c in rows.columns if c != "op"]
         upsert = upsert_statement(self.table, columns, self.keys, self.dialect)
         delete = delete_statement(self.table, self.keys, self.dialect)
-        # rows of one key must meet in one writer to keep their order
-        rows.repartition(self.writers, *self.keys).foreachPartition(
+        rows.repartition(self.writers, *self.keys).sortWithinPartitions(*self.keys).foreachPartition(
             lambda part: self._write(part, columns, upsert, delete)
         )
 
     def _write(self, part: Iterable, columns: Sequence[str], upsert: str, delete: str) -> None:
         buffer: list[tuple[str, tuple]] = []
+        last = None
         for row in part:
             values = row.asDict()
+            key = tuple(values[k] for k in self.keys)
+            if key == last:
+                raise ValueError(f"two rows for the key {key} in one batch; compact it first")
+            last = key
             if values.get("op") == "d":
-                buffer.append((delete, tuple(values[k] for k in self.keys)))
+                buffer.append((delete, key))
             else:
                 buffer.append((upsert, tuple(values[c] for c in columns)))
             if len(buffer) >= self.buffer_rows:

@@ -20,9 +20,9 @@ from pyspark.sql.streaming import StreamingQuery
 from rillmart.operators.changelog import META, compact, current_state
 from rillmart.operators.mart import Mart
 from rillmart.streaming import ledger
-from rillmart.streaming.log import PART, BatchLog, part_of, publish, published, touched_parts
+from rillmart.streaming.log import PART, Batch, BatchLog, part_of, publish, published, run_of, touched_parts
 
-Handler = Callable[[DataFrame, int], None]
+Handler = Callable[[DataFrame, Batch | int], None]
 
 # Part expressions: a part is what one refresh recomputes and one write replaces.
 # Days suit tables with much data per day, months long thin histories.
@@ -72,7 +72,7 @@ class LedgerMart:
     def path(self) -> str:
         return f"{self.root}/{self.mart.name}/published"
 
-    def apply(self, images: DataFrame, batch_id: int) -> None:
+    def apply(self, images: DataFrame, batch_id: Batch | int) -> None:
         log = self.log
         delta = ledger.contributions(images, self.mart, self.part).persist()
         try:
@@ -116,7 +116,7 @@ class RowTable:
             self.spark, f"{self.root}/{self.name}/rows", lambda rows: compact(rows, [PART, *self.keys])
         )
 
-    def apply(self, changes: DataFrame, batch_id: int) -> list[str]:
+    def apply(self, changes: DataFrame, batch_id: Batch | int) -> list[str]:
         """Store the batch and return the parts it touched."""
         tagged = changes.withColumn(PART, part_of(self.part))
         delta = compact(tagged, [PART, *self.keys]).persist()
@@ -172,7 +172,7 @@ class RowMart:
 def fan_out(prepare: Callable[[DataFrame], DataFrame], *targets: Handler) -> Handler:
     """One prepared batch, several targets: decoded and cleaned once, read by all."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, batch_id: Batch | int) -> None:
         rows = prepare(batch).persist()
         try:
             for target in targets:
@@ -186,9 +186,14 @@ def fan_out(prepare: Callable[[DataFrame], DataFrame], *targets: Handler) -> Han
 def start(
     stream: DataFrame, handler: Handler, checkpoint: str, *, every: str | None = None
 ) -> StreamingQuery:
-    """Run ``handler`` per micro-batch: everything available now, or on a fixed interval."""
+    """Run ``handler`` per micro-batch: everything available now, or on a fixed interval.
+
+    Batches are named after the checkpoint's run, so a lost or new checkpoint over
+    the same tables adds to them and replaces nothing.
+    """
+    run = run_of(stream.sparkSession, checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
-        stream.writeStream.foreachBatch(handler)
+        stream.writeStream.foreachBatch(lambda rows, number: handler(rows, Batch(run, number)))
         .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )

@@ -1,20 +1,41 @@
 """Append-only batch log and published tables on Parquet.
 
 The log keeps what each micro-batch contributed, by part (an event day, or a
-bucket of the key) and by batch id.  Writing a batch overwrites exactly its own
-folders, so replaying a batch leaves the log unchanged.  Nothing is rewritten in
-place and nothing is read from the folder being written.
+bucket of the key), by run and by batch number.  A run is the life of one
+checkpoint; its id is stored beside the checkpoint, so a new checkpoint, or a
+second stream into the same table, never meets the numbers of an old one.
+Writing a batch replaces exactly its own folders, so replaying it changes nothing.
+
+Folds and published parts are written as new versions; a pointer, one small file
+appended in one step, makes them visible.  Nothing that a reader may hold is
+rewritten in place.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-PART, BATCH, LIVE = "part", "batch", "live"
+PART, RUN, BATCH, VERSION = "part", "run", "batch", "version"
+_FOLDERS = {PART: StringType(), RUN: StringType(), BATCH: LongType(), VERSION: LongType()}
+
+
+class Batch(NamedTuple):
+    """A micro-batch: the run it belongs to, and its number there."""
+
+    run: str
+    number: int
+
+
+def batch(value: Batch | int) -> Batch:
+    """A plain number is a batch of the run ``main``."""
+    return value if isinstance(value, Batch) else Batch("main", int(value))
 
 
 def part_of(expr: str) -> Column:
@@ -22,6 +43,11 @@ def part_of(expr: str) -> Column:
     return F.coalesce(F.expr(expr).cast("string"), F.lit("none"))
 
 
+def touched_parts(rows: DataFrame) -> list[str]:
+    """Parts named in a batch: calendar days or key buckets, so the list stays small."""
+    return [r[PART] for r in rows.select(PART).distinct().collect()]
+
+
 def _write(rows: DataFrame, path: str, *folders: str) -> None:
     """Replace the folders present in ``rows``; hot folders are split, small ones merged."""
     (
@@ -33,20 +59,69 @@ def _write(rows: DataFrame, path: str, *folders: str) -> None:
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _files(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
-def _in_parts(rows: DataFrame, parts: Sequence[str] | None) -> DataFrame:
-    """Restrict a partitioned table to some parts; the filter prunes folders."""
-    rows = rows.withColumn(PART, F.col(PART).cast("string"))
-    return rows if parts is None else rows.where(F.col(PART).isin(list(parts)))
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _files(spark, path)
+    return files.exists(target)
 
 
-def touched_parts(rows: DataFrame) -> list[str]:
-    """Parts named in a batch: calendar days or key buckets, so the list stays small."""
-    return [r[PART] for r in rows.select(PART).distinct().collect()]
+def _folder(spark: SparkSession, path: str, **names: str) -> str:
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return "/".join([path, *(f"{k}={escape(str(v))}" for k, v in names.items())])
+
+
+def _delete(spark: SparkSession, pattern: str, chosen: Callable[[str], bool]) -> int:
+    """Delete the folders of a glob whose last name's value is chosen; returns how many."""
+    files, target = _files(spark, pattern)
+    paths = [f.getPath() for f in files.globStatus(target) or []]
+    return sum(bool(files.delete(p, True)) for p in paths if chosen(p.getName().split("=", 1)[1]))
+
+
+def _read(spark: SparkSession, path: str, folders: Sequence[str], only: Sequence[str] | None) -> DataFrame | None:
+    """Rows below ``path``, folder names read as declared; only the named folders are listed."""
+    if only is not None:
+        only = [p for p in only if exists(spark, p)]
+    if not exists(spark, path) or only == []:
+        return None
+    chosen = only or [path]
+    try:
+        data = spark.read.option("basePath", path).parquet(*chosen).schema
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # the folders hold no files, after a prune
+            return None
+        raise
+    schema = StructType([f for f in data if f.name not in folders] + [StructField(n, _FOLDERS[n]) for n in folders])
+    return spark.read.schema(schema).option("basePath", path).parquet(*chosen)
+
+
+@dataclass(frozen=True)
+class Pointer:
+    """Newest version of each part, and what went into it."""
+
+    spark: SparkSession
+    path: str
+    columns: str  # beside part and version
+
+    def newest(self, parts: Sequence[str] | None = None) -> DataFrame:
+        schema = f"{PART} string, {VERSION} bigint{self.columns}"
+        if not exists(self.spark, self.path):
+            return self.spark.createDataFrame([], schema)
+        rows = self.spark.read.schema(schema).parquet(self.path)
+        if parts is not None:
+            rows = rows.where(F.col(PART).isin(list(parts)))
+        last = rows.groupBy(F.col(PART).alias("__part")).agg(F.max(VERSION).alias("__last"))
+        return rows.join(last, (rows[PART] == last["__part"]) & (rows[VERSION] == last["__last"])).drop("__part", "__last")
+
+    def next(self) -> int:
+        return (self.newest().agg(F.max(VERSION)).first()[0] or 0) + 1
+
+    def move(self, rows: DataFrame) -> None:
+        """One file, so that all parts move together."""
+        rows.coalesce(1).write.mode("append").parquet(self.path)
 
 
 @dataclass(frozen=True)
@@ -65,91 +140,135 @@ class BatchLog:
     def _folded(self) -> str:
         return f"{self.path}/folded"
 
-    def append(self, rows: DataFrame, batch_id: int) -> None:
-        _write(rows.withColumn(BATCH, F.lit(batch_id).cast("bigint")), self._deltas, PART, BATCH)
+    @property
+    def _pointer(self) -> Pointer:
+        # per part and run, the last batch that the version holds
+        return Pointer(self.spark, f"{self.path}/folds", ", run string, last bigint")
 
-    def read(self, parts: Sequence[str] | None = None, *, upto: int | None = None) -> DataFrame:
+    def append(self, rows: DataFrame, batch_id: Batch | int) -> None:
+        run, number = batch(batch_id)
+        named = rows.withColumns({RUN: F.lit(run), BATCH: F.lit(number).cast("bigint")})
+        _write(named, self._deltas, PART, RUN, BATCH)
+
+    def read(self, parts: Sequence[str] | None = None) -> DataFrame:
         """Combined rows of the given parts (all parts by default)."""
-        return self.combine(self.entries(parts, upto=upto))
+        return self.combine(self.entries(parts))
 
-    def entries(self, parts: Sequence[str] | None = None, *, upto: int | None = None) -> DataFrame:
+    def entries(self, parts: Sequence[str] | None = None) -> DataFrame:
         """Rows as logged or folded, for readers that combine them anyway."""
-        return self._rows(parts, upto).drop(BATCH)
+        return self._rows(parts).drop(RUN, BATCH, VERSION)
 
-    def fold(self, upto: int, parts: Sequence[str] | None = None) -> None:
-        """Collapse the batches up to ``upto`` of each part into one folder.
+    def fold(self, parts: Sequence[str] | None = None) -> None:
+        """Collapse all batches of each part into one new version.
 
-        Readers take, per part, the newest folded folder plus later batches, and a
-        part's folder appears in one rename, so a crash leaves either state valid.
+        The batches of a run come in order, so a version names, for each run, the
+        last batch it holds; later batches and other runs are read beside it.
         """
-        folded = self.read(parts, upto=upto).withColumn(BATCH, F.lit(upto).cast("bigint"))
-        _write(folded, self._folded, PART, BATCH)
+        rows = self._rows(parts)
+        version = self._pointer.next()
+        named = self.combine(rows.drop(RUN, BATCH, VERSION)).withColumn(VERSION, F.lit(version).cast("bigint"))
+        held = rows.where(F.col(RUN).isNotNull()).groupBy(PART, RUN).agg(F.max(BATCH).alias("last"))
+        before = self._pointer.newest(parts).select(PART, RUN, "last")
+        held = held.unionByName(before).groupBy(PART, RUN).agg(F.max("last").alias("last"))
+        # taken before the rows are written, so that a batch added meanwhile is not named
+        held = self.spark.createDataFrame(held.collect(), f"{PART} string, {RUN} string, last bigint")
+        _write(named, self._folded, PART, VERSION)
+        self._pointer.move(held.select(PART, F.lit(version).cast("bigint").alias(VERSION), RUN, "last"))
 
     def prune(self) -> int:
-        """Delete batch folders that a fold of their part has replaced; returns how many.
+        """Delete batch and version folders that a newer version has replaced; returns how many.
 
         Run it when no reader still works on a plan made before the fold.
         """
-        if not _exists(self.spark, self._folded):
-            return 0
-        bases = self._load(self._folded, None).groupBy(PART).agg(F.max(BATCH).alias("base")).collect()
-        removed = 0
-        for row in bases:
-            for path in (self._deltas, self._folded):
-                # the newest fold itself stays
-                last = row["base"] if path == self._deltas else row["base"] - 1
-                removed += self._delete(f"{path}/{PART}={row[PART]}", lambda batch, last=last: batch <= last)
+        removed, done = 0, set()
+        for row in self._pointer.newest().collect():  # one row a part and run
+            runs = _folder(self.spark, self._deltas, part=row[PART], run=row[RUN])
+            removed += _delete(self.spark, f"{runs}/{BATCH}=*", lambda n, last=row["last"]: int(n) <= last)
+            if row[PART] not in done:
+                done.add(row[PART])
+                folds = _folder(self.spark, self._folded, part=row[PART])
+                removed += _delete(self.spark, f"{folds}/{VERSION}=*", lambda n, v=row[VERSION]: int(n) < v)
         return removed
 
     def expire(self, parts: Sequence[str]) -> int:
-        """Forget the given parts; later changes to them start from nothing, like expired state."""
-        return sum(
-            self._delete(f"{path}/{PART}={part}", lambda batch: True)
-            for path in (self._deltas, self._folded)
-            for part in parts
-        )
-
-    def _delete(self, folder: str, chosen: Callable[[int], bool]) -> int:
-        """Delete the batch folders under a part folder whose number is chosen."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        files = hadoop.Path(folder).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        found = files.globStatus(hadoop.Path(f"{folder}/{BATCH}=*")) or []
-        paths = [f.getPath() for f in found if chosen(int(f.getPath().getName().split("=")[1]))]
-        return sum(bool(files.delete(path, True)) for path in paths)
-
-    def _load(self, path: str, parts: Sequence[str] | None) -> DataFrame:
-        rows = _in_parts(self.spark.read.parquet(path), parts)
-        return rows.withColumn(BATCH, F.col(BATCH).cast("bigint"))
-
-    def _rows(self, parts: Sequence[str] | None, upto: int | None) -> DataFrame:
-        rows = self._load(self._deltas, parts)
-        if upto is not None:
-            rows = rows.where(F.col(BATCH) <= upto)
-        if not _exists(self.spark, self._folded):
-            return rows
-        folded = self._load(self._folded, parts)
-        if upto is not None:
-            folded = folded.where(F.col(BATCH) <= upto)
-        # reads folder names only: at most one row per part and fold
-        newest = folded.groupBy(PART).agg(F.max(BATCH).alias("__base"))
-        base = folded.join(newest, PART).where(F.col(BATCH) == F.col("__base")).drop("__base")
-        later = rows.join(newest, PART, "left").where(
-            F.col("__base").isNull() | (F.col(BATCH) > F.col("__base"))
-        )
-        return base.unionByName(later.drop("__base"))
+        """Forget the given parts; later changes to them start from nothing, like expired state.
+
+        A table published from them keeps its rows until the next change of the part.
+        """
+        gone = 0
+        for part in parts:
+            for path, names in ((self._deltas, f"{RUN}=*/{BATCH}=*"), (self._folded, f"{VERSION}=*")):
+                gone += _delete(self.spark, f"{_folder(self.spark, path, part=part)}/{names}", lambda n: True)
+        return gone
+
+    def _rows(self, parts: Sequence[str] | None) -> DataFrame:
+        only = lambda path: None if parts is None else [_folder(self.spark, path, part=p) for p in parts]
+        rows = _read(self.spark, self._deltas, (PART, RUN, BATCH), only(self._deltas))
+        folded = _read(self.spark, self._folded, (PART, VERSION), only(self._folded))
+        newest = self._pointer.newest(parts)
+        if folded is not None:
+            folded = folded.join(newest.select(PART, VERSION).distinct(), [PART, VERSION])
+        if rows is not None:
+            rows = rows.join(newest.select(PART, RUN, "last"), [PART, RUN], "left")
+            rows = rows.where(F.col("last").isNull() | (F.col(BATCH) > F.col("last"))).drop("last")
+        if rows is None or folded is None:
+            found = folded if rows is None else rows
+            if found is None:
+                raise ValueError(f"nothing logged under {self.path}")
+            missing = {n: F.lit(None).cast(k) for n, k in _FOLDERS.items() if n not in found.columns}
+            return found.withColumns(missing)
+        return folded.unionByName(rows, allowMissingColumns=True)
+
+
+def _table_pointer(spark: SparkSession, path: str) -> Pointer:
+    return Pointer(spark, f"{path}/pointer", "")
 
 
 def publish(rows: DataFrame, parts: DataFrame, path: str) -> None:
-    """Replace the given parts of a published table.
+    """Replace the given parts of a published table: write a new version, then move the pointer.
 
-    A part can lose its last row, and a folder without rows would not be
-    replaced, so every part also gets one marker row that readers skip.
+    A reader sees all parts before or after the move.  A part that lost its last
+    row points to a version without rows.
     """
-    marker = parts.select(PART).distinct().withColumn(LIVE, F.lit(False))
-    live = rows.withColumn(LIVE, F.lit(True))
-    _write(live.unionByName(marker, allowMissingColumns=True), path, PART)
+    spark = rows.sparkSession
+    pointer = _table_pointer(spark, path)
+    version = F.lit(pointer.next()).cast("bigint").alias(VERSION)
+    _write(rows.withColumn(VERSION, version), f"{path}/data", PART, VERSION)
+    pointer.move(parts.select(PART).distinct().select(PART, version))
 
 
 def published(spark: SparkSession, path: str, parts: Sequence[str] | None = None) -> DataFrame:
     """Rows of a published table with their ``part``."""
-    return _in_parts(spark.read.parquet(path), parts).where(LIVE).drop(LIVE)
+    data = f"{path}/data"
+    newest = _table_pointer(spark, path).newest(parts)
+    only = None
+    if parts is not None:
+        only = [_folder(spark, data, part=r[PART], version=r[VERSION]) for r in newest.collect()]
+    rows = _read(spark, data, (PART, VERSION), only)
+    if rows is None:  # all parts asked for are empty
+        return _read(spark, data, (PART, VERSION), None).where(F.lit(False)).drop(VERSION)
+    return rows.join(newest, [PART, VERSION]).drop(VERSION)
+
+
+def prune_published(spark: SparkSession, path: str) -> int:
+    """Delete versions that the pointer has left; returns how many folders went."""
+    removed = 0
+    for row in _table_pointer(spark, path).newest().collect():
+        folder = _folder(spark, f"{path}/data", part=row[PART])
+        removed += _delete(spark, f"{folder}/{VERSION}=*", lambda n, v=row[VERSION]: int(n) < v)
+    return removed
+
+
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the run that a checkpoint stands for, kept in a file beside it."""
+    import uuid
+
+    files, target = _files(spark, f"{checkpoint.rstrip('/')}.run")
+    if files.exists(target):
+        found = spark.read.text(target.toString()).first()
+        return found[0]
+    name = uuid.uuid4().hex
+    out = files.create(target, False)
+    out.writeBytes(name)
+    out.close()
+    return name

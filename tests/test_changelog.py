@@ -207,7 +207,7 @@ def test_upsert_statements():
     assert writers.upsert_statement("t", ["k", "v"], ["k"], "ansi").endswith(
         'ON CONFLICT ("k") DO UPDATE SET "v" = excluded."v"'
     )
-    assert writers.delete_statement("t", ["k"], "mysql") == "DELETE FROM `t` WHERE `k` = %s"
+    assert writers.delete_statement("t", ["k"], "mysql") == "DELETE FROM `t` WHERE `k` <=> %s"
 
 
 class Recorder:

@@ -14,7 +14,7 @@ from rillmart.fixtures.queries import QUERIES
 from rillmart.operators import changelog
 from rillmart.plans import dwd, dws
 from rillmart.streaming import jobs, ledger, windows
-from rillmart.streaming.log import BatchLog
+from rillmart.streaming.log import Batch, BatchLog, prune_published, publish, published
 
 START = dt.datetime(2024, 1, 1, 10)
 DDL = "op string, pos bigint, sign int, " + schemas.AMOUNT_OPERATION_TOPIC
@@ -76,7 +76,7 @@ def test_ledger_equals_batch_for_any_order_and_replay(spark, seed):
         job.apply(images, batch_id)
         if batch_id == 1:
             job.apply(images, batch_id)  # replayed after a failure
-            job.log.fold(1)
+            job.log.fold()
     assert table_rows(job.table(), mart) == batch_result(spark, changes, mart)
 
 
@@ -89,7 +89,7 @@ def test_rows_equal_batch_with_repeated_deliveries(spark, seed, mart):
     for batch_id, some in enumerate(split(changes + changes[::3], 3, seed)):
         target.refresh(rows.apply(jobs.cleaned_images(as_frame(spark, some), RULE), batch_id))
         if batch_id == 0:
-            rows.log.fold(0)
+            rows.log.fold()
     assert table_rows(target.table(), mart) == batch_result(spark, changes, mart)
 
 
@@ -158,22 +158,51 @@ def test_fold_keeps_content_and_later_batches(spark):
     for batch in range(3):
         log.append(spark.createDataFrame([("p", 1, batch + 1), (f"q{batch}", 2, 5)], "part string, k int, v bigint"), batch)
         if batch == 1:
-            log.fold(1)
-            log.fold(1, ["p"])
+            log.fold()
+            log.fold(["p"])
     got = {(r.part, r.k): r.v for r in log.read().collect()}
     assert got == {("p", 1): 6, ("q0", 2): 5, ("q1", 2): 5, ("q2", 2): 5}
     assert [r.v for r in log.read(["p"]).collect()] == [6]
-    assert log.prune() == 4  # two batches of p, one of q0 and of q1
+    assert log.prune() == 5  # two batches and a version of p, one batch of q0 and of q1
     assert {(r.part, r.k): r.v for r in log.read().collect()} == got
     assert log.expire(["q2"]) == 1
     assert {r.part for r in log.read().collect()} == {"p", "q0", "q1"}
 
 
-def test_roll_ups_read_days_by_folder(spark):
+def test_reads_list_only_the_folders_of_their_parts(spark):
     log = BatchLog(spark, config.scratch(spark, "log"), lambda df: df)
-    log.append(spark.createDataFrame([("2024-01-01", 1), ("2024-01-02", 2)], "part string, v int"), 0)
-    plan = log.read(["2024-01-01"])._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(part" in plan or "PartitionFilters: [(part" in plan or "cast(part" in plan
+    log.append(spark.createDataFrame([("007", 1), ("1D", 2), ("a=b", 3)], "part string, v int"), 0)
+    assert {(r.part, r.v) for r in log.read().collect()} == {("007", 1), ("1D", 2), ("a=b", 3)}
+    one = log.read(["007"])
+    assert [r.v for r in one.collect()] == [1] and all("part=007" in f for f in one.inputFiles())
+
+
+def test_batch_numbers_of_another_run_do_not_meet(spark):
+    log = BatchLog(spark, config.scratch(spark, "log"), lambda df: df.groupBy("part").agg(F.sum("v").alias("v")))
+    add = lambda v, batch: log.append(spark.createDataFrame([("p", v)], "part string, v bigint"), batch)
+    add(1, Batch("a", 0))
+    add(2, Batch("a", 1))
+    add(10, Batch("b", 0))  # a new checkpoint counts from 0 again
+    assert [r.v for r in log.read().collect()] == [13]
+    log.fold()
+    add(2, Batch("a", 1))  # replayed after the fold
+    add(20, Batch("b", 1))
+    assert [r.v for r in log.read().collect()] == [33]
+    log.fold()
+    log.prune()
+    assert [r.v for r in log.read().collect()] == [33]
+
+
+def test_readers_keep_the_version_they_planned(spark):
+    path = config.scratch(spark, "table")
+    rows = lambda *r: spark.createDataFrame(list(r), "part string, v int")
+    publish(rows(("p", 1), ("q", 2)), rows(("p", 0), ("q", 0)), path)
+    before = published(spark, path)
+    publish(rows(("p", 5)), rows(("p", 0), ("q", 0)), path)  # q loses its last row
+    assert sorted(tuple(r) for r in before.select("part", "v").collect()) == [("p", 1), ("q", 2)]
+    assert [tuple(r) for r in published(spark, path).select("part", "v").collect()] == [("p", 5)]
+    assert published(spark, path, ["q"]).count() == 0
+    assert prune_published(spark, path) == 2  # q points to a version without rows
 
 
 def test_stream_end_to_end(spark, small):
