@@ -689,6 +689,10 @@ ORACLES: dict[str, str] = {
     ),
     "stream_channel_game": channel_game(clean_game(live_sql(SHAPES["game_event"].sql(), "game_event"))),
     "stream_restart": channel_game(_LIVE_EVENTS),
+    "stream_channel_game_repeats": channel_game(_LIVE_EVENTS),
+    "stream_channel_withdraw_repeats": channel_withdraw(
+        clean_withdraw(live_sql(SHAPES["withdraw_order"].sql(), "withdraw_order"))
+    ),
     "stream_channel_game_fan_out": " UNION ALL ".join(
         f"SELECT statistic_time, channel_id, user_count, bet_amount, '{name}' AS mart FROM ({channel_game(_LIVE_EVENTS, key)})"
         for name, key in (("provider", "third_platform_provider_type"), ("category", "game_category_id"))

@@ -19,6 +19,7 @@ from rillmart.plans import ads, dim, dwd, dws, ods
 from rillmart.sources.envelopes import decode_changes, decode_events, encode_changes, encode_events
 from rillmart.sources.readers import file_messages, shard_tables
 from rillmart.streaming import jobs, windows
+from rillmart.streaming.log import Batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 BATCH_BYTES = 16 << 20  # of a feed that one micro-batch takes
@@ -236,6 +237,29 @@ def _stream_fan_out(spark: SparkSession, folder: str) -> DataFrame:
     return changelog.union_tables([t.withColumn("mart", F.lit(m)) for t, m in zip(both, ("provider", "category"))])
 
 
+def _stream_repeats(mart: Mart, shape: str, ddl: str, part: str) -> Query:
+    """A ledger mart over a topic that repeats deliveries and sends updates without the row before.
+
+    Keyed current rows turn the changes into exact signed images first.
+    """
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        root = config.scratch(spark, "marts")
+        rule = dwd.CLEANERS[mart.source][1]
+        rows = jobs.RowTable(spark, shape, ["id"], root, jobs.bucket("id", 8))
+        target = jobs.LedgerMart(spark, mart, root, part)
+
+        def handle(batch: DataFrame, batch_id: Batch) -> None:
+            blind = batch.withColumn("before", F.when(F.col("op") != changelog.UPDATE, F.col("before")))
+            images = rows.differences(changelog.upserts(blind), batch_id)
+            target.apply(jobs.cleaned_images(images, rule), batch_id)
+
+        _finish(spark, _change_stream(spark, folder, shape, ddl, repeats=True), handle)
+        return target.table()
+
+    return query
+
+
 def _stream_restart(spark: SparkSession, folder: str) -> DataFrame:
     """A mart over a stream that stops, goes on from its checkpoint, and later starts with a new one.
 
@@ -442,6 +466,10 @@ QUERIES: dict[str, Query] = {
         dws.USER_RECHARGE, "recharge_order", schemas.RECHARGE_ORDER, part=jobs.MONTH
     ),
     "stream_channel_game_fan_out": _stream_fan_out,
+    "stream_channel_game_repeats": _stream_repeats(dws.CHANNEL_GAME, "game_event", schemas.GAME_RECORD, jobs.DAY),
+    "stream_channel_withdraw_repeats": _stream_repeats(
+        dws.CHANNEL_WITHDRAW, "withdraw_order", schemas.WITHDRAW_ORDER, jobs.MONTH
+    ),
     "stream_restart": _stream_restart,
     "stream_window_order_hour": _stream_order_hours,
     "stream_channel_reward": _reward_stream(dws.CHANNEL_REWARD),

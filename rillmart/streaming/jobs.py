@@ -128,6 +128,42 @@ class RowTable:
         finally:
             delta.unpersist()
 
+    def differences(self, changes: DataFrame, batch_id: Batch | int) -> DataFrame:
+        """Store the batch and return what it changes, as exact signed images for a ``LedgerMart``.
+
+        Each key's newest change of the batch is compared with the stored row: a
+        change that is not newer (a repeated or late delivery) gives nothing, any
+        other the stored row with −1 and the new one with +1, so updates need not
+        carry the row before.  Only keys of the batch are read back.  The part must
+        depend on the key alone.  A replayed batch is compared with the state without
+        it; fold before a batch, not after it, so that its own rows can be told apart.
+        """
+        keys = [PART, *self.keys]
+        delta = compact(changes.withColumn(PART, part_of(self.part)), keys)
+        rows = [c for c in delta.columns if c not in (*keys, *META)]
+        new = delta.select(*keys, F.struct("op", "pos", *rows).alias("new"))
+        parts = touched_parts(delta)
+        stored = self.log.before(batch_id, parts) if parts else None
+        if stored is None:
+            pairs = new.withColumn("old", F.lit(None).cast(new.schema["new"].dataType))
+        else:
+            same = [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys]
+            stored = stored.alias("o").join(delta.alias("n"), same, "left_semi")
+            old = compact(stored, keys).select(*keys, F.struct("op", "pos", *rows).alias("old"))
+            pairs = new.alias("n").join(old.alias("o"), same, "left").select("n.*", "o.old")
+            pairs = pairs.where(F.col("old").isNull() | (F.col("new.pos") > F.col("old.pos")))
+        sides = F.array(
+            F.struct(F.lit(-1).alias("sign"), F.col("old").alias("row")), F.struct(F.lit(1).alias("sign"), F.col("new").alias("row"))
+        )
+        images = pairs.select(*self.keys, F.col("new.op").alias("op"), F.col("new.pos").alias("pos"), F.inline(sides))
+        images = images.where("row IS NOT NULL AND row.op <> 'd'")
+        images = images.select("op", "pos", "sign", *self.keys, *(F.col(f"row.{c}") for c in rows)).select(*META, *(
+            c for c in changes.columns if c not in META
+        ))
+        if parts:
+            self.log.append(delta, batch_id)
+        return images
+
     def current(self, parts: Sequence[str] | None = None) -> DataFrame:
         """Live rows of the given parts, with ``part``."""
         return current_state(self.log.read(parts), [PART, *self.keys])

@@ -156,7 +156,19 @@ class BatchLog:
 
     def entries(self, parts: Sequence[str] | None = None) -> DataFrame:
         """Rows as logged or folded, for readers that combine them anyway."""
-        return self._rows(parts).drop(RUN, BATCH, VERSION)
+        rows = self._rows(parts)
+        if rows is None:
+            raise ValueError(f"nothing logged under {self.path}")
+        return rows.drop(RUN, BATCH, VERSION)
+
+    def before(self, batch_id: Batch | int, parts: Sequence[str]) -> DataFrame | None:
+        """Entries of the parts but those of one batch (None if there are none), for a batch that may be a replay."""
+        rows = self._rows(parts)
+        if rows is None:
+            return None
+        run, number = batch(batch_id)
+        own = (F.col(RUN) == run) & (F.col(BATCH) == number)
+        return rows.where(F.col(RUN).isNull() | ~own).drop(RUN, BATCH, VERSION)
 
     def fold(self, parts: Sequence[str] | None = None) -> None:
         """Collapse all batches of each part into one new version.
@@ -165,6 +177,8 @@ class BatchLog:
         last batch it holds; later batches and other runs are read beside it.
         """
         rows = self._rows(parts)
+        if rows is None:
+            return
         version = self._pointer.next()
         named = self.combine(rows.drop(RUN, BATCH, VERSION)).withColumn(VERSION, F.lit(version).cast("bigint"))
         held = rows.where(F.col(RUN).isNotNull()).groupBy(PART, RUN).agg(F.max(BATCH).alias("last"))
@@ -201,7 +215,7 @@ class BatchLog:
                 gone += _delete(self.spark, f"{_folder(self.spark, path, part=part)}/{names}", lambda n: True)
         return gone
 
-    def _rows(self, parts: Sequence[str] | None) -> DataFrame:
+    def _rows(self, parts: Sequence[str] | None) -> DataFrame | None:
         only = lambda path: None if parts is None else [_folder(self.spark, path, part=p) for p in parts]
         rows = _read(self.spark, self._deltas, (PART, RUN, BATCH), only(self._deltas))
         folded = _read(self.spark, self._folded, (PART, VERSION), only(self._folded))
@@ -214,7 +228,7 @@ class BatchLog:
         if rows is None or folded is None:
             found = folded if rows is None else rows
             if found is None:
-                raise ValueError(f"nothing logged under {self.path}")
+                return None
             missing = {n: F.lit(None).cast(k) for n, k in _FOLDERS.items() if n not in found.columns}
             return found.withColumns(missing)
         return folded.unionByName(rows, allowMissingColumns=True)

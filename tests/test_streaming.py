@@ -193,6 +193,22 @@ def test_batch_numbers_of_another_run_do_not_meet(spark):
     assert [r.v for r in log.read().collect()] == [33]
 
 
+@pytest.mark.parametrize("seed", [5, 6])
+def test_differences_stand_repeats_replays_and_missing_befores(spark, seed):
+    mart, changes = dws.CHANNEL_CUSTOM_AMOUNT, change_log(seed)
+    root = config.scratch(spark, "differences")
+    rows = jobs.RowTable(spark, "rows", ["id"], root, jobs.bucket("id", 2))
+    job = jobs.LedgerMart(spark, mart, root)
+    for number, some in enumerate(split(changes + changes[::2], 3, seed)):
+        images = as_frame(spark, some)
+        # one row a change: the new row, or that of a delete
+        upserts = images.where("sign > 0 OR op = 'd'").drop("sign")
+        rows.log.fold()
+        for _ in range(2):  # replayed after a failure
+            job.apply(jobs.cleaned_images(rows.differences(upserts, Batch("r", number)), RULE), Batch("r", number))
+    assert table_rows(job.table(), mart) == batch_result(spark, changes, mart)
+
+
 def test_readers_keep_the_version_they_planned(spark):
     path = config.scratch(spark, "table")
     rows = lambda *r: spark.createDataFrame(list(r), "part string, v int")
