@@ -144,7 +144,7 @@ _CUT = re.compile(r" (?=\S)")
 #: A word with marks after it, perhaps a line's end and a further word; the byte-level pattern cuts between these.
 _SIMPLE = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,*$%&#]+)?(?:(\n)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,*$%&#]+)?)?")
 _BREAK = "<|endoftext|>"
-SLICE = 4 << 20
+SLICE = 2 << 20
 KNOWN = 200_000  # chunks remembered by a worker; forgotten all at once beyond, never skipped
 
 
@@ -235,11 +235,12 @@ def _tokenise(vocabulary: str, end: int, bounds: np.ndarray):
     return run
 
 
-def _place(vocabulary: str):
+def _place(kind: str):
     """Adds to each row of a sorted part the number of tokens before it."""
 
     def run(batches):
-        width, offset, last = np.dtype(tokenizer(vocabulary).kind).itemsize, 0, None
+        tokenizer.cache_clear()  # reused workers need its memory of chunks no more
+        width, offset, last = np.dtype(kind).itemsize, 0, None
         for rows in batches:
             sizes = np.asarray(pc.binary_length(rows.column("ids")), dtype=np.int64) // width
             parts = np.asarray(rows.column("part"))
@@ -253,22 +254,23 @@ def _place(vocabulary: str):
     return run
 
 
-def _count(vocabulary: str):
+def _count(kind: str, size: int):
     def run(batches):
-        coder = tokenizer(vocabulary)
-        counts = np.zeros(coder.size, dtype=np.int64)
+        tokenizer.cache_clear()
+        counts = np.zeros(size, dtype=np.int64)
         for rows in batches:
             for ids in rows.column("ids"):
-                counts += np.bincount(np.frombuffer(ids.as_buffer(), dtype=coder.kind), minlength=coder.size)
+                counts += np.bincount(np.frombuffer(ids.as_buffer(), dtype=kind), minlength=size)
         on = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(on), pa.array(counts[on])], ["token", "n"])
 
     return run
 
 
-def _write(counts, vocabulary: str):
+def _write(counts, kind: str):
     def run(batches):
-        table, kind = Frequencies(counts.value), tokenizer(vocabulary).kind
+        tokenizer.cache_clear()
+        table = Frequencies(counts.value)
         docs, held, size, offset, part, due = [], [], 0, 0, None, None
 
         def flush():
@@ -310,20 +312,21 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, *, end: int = 0) -
     order of their ids.  A null text is empty and has the end id only.
     """
     spark = docs.sparkSession
+    kind, size = tokenizer(vocabulary).kind, tokenizer(vocabulary).size
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = rows.select(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)] or [0.5], 10_000)).first()[0]
     bounds = np.unique(np.array(cuts or [0], dtype=np.int64))
     dealt = rows.mapInArrow(_tokenise(vocabulary, end, bounds), "part int, doc_id long, ids binary")
     dealt = dealt.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions("part", "doc_id", "ids")
-    placed = staged(dealt.mapInArrow(_place(vocabulary), "part int, doc_id long, ids binary, begin long"), "tokens")
-    found = placed.select("ids").mapInArrow(_count(vocabulary), "token long, n long")
+    placed = staged(dealt.mapInArrow(_place(kind), "part int, doc_id long, ids binary, begin long"), "tokens")
+    found = placed.select("ids").mapInArrow(_count(kind, size), "token long, n long")
     found = found.groupBy("token").agg(F.sum("n").alias("n")).collect()  # at most one row a token
-    counts = np.zeros(tokenizer(vocabulary).size, dtype=np.int64)
+    counts = np.zeros(size, dtype=np.int64)
     for row in found:
         counts[row.token] = row.n
     shared = spark.sparkContext.broadcast(counts)
-    blocks = placed.mapInArrow(_write(shared, vocabulary), "part int, begin long, n_tokens long, block binary")
+    blocks = placed.mapInArrow(_write(shared, kind), "part int, begin long, n_tokens long, block binary")
     blocks.write.option("compression", "none").partitionBy("part").parquet(path)
     return counts
 
@@ -339,6 +342,7 @@ def read_tokens(spark, path: str, counts: np.ndarray) -> DataFrame:
     shared = spark.sparkContext.broadcast((counts, before))
 
     def run(batches):
+        tokenizer.cache_clear()
         table, starts = Frequencies(shared.value[0]), shared.value[1]
         for rows in batches:
             for part, data in zip(rows.column("part").to_pylist(), rows.column("block")):
