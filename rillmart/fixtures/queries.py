@@ -22,7 +22,7 @@ from rillmart.streaming import jobs, windows
 from rillmart.streaming.log import Batch
 
 Query = Callable[[SparkSession, str], DataFrame]
-BATCH_BYTES = 16 << 20  # of a feed that one micro-batch takes
+BATCH_BYTES = 64 << 20  # of a feed that one micro-batch takes
 
 
 def _cleaned(spark: SparkSession, folder: str, table: str, shape: str | None = None) -> DataFrame:
@@ -357,9 +357,10 @@ def _row_mart_stream(mart: Mart, shape: str, ddl: str) -> Query:
 def _stream_finance(spark: SparkSession, folder: str) -> DataFrame:
     """Two change feeds in one stream: withdrawals and their payment attempts, joined per touched day."""
     root = config.scratch(spark, "marts")
-    orders = jobs.RowTable(spark, "dwd_withdraw_order", ["id"], root, jobs.MONTH)
+    orders = jobs.RowTable(spark, "dwd_withdraw_order", ["id"], root, jobs.MONTH, schemas.DWD_WITHDRAW_ORDER)
     payments = jobs.RowTable(
-        spark, "third_withdraw_payment_order", ["id"], root, "substring(CAST(update_time AS STRING), 1, 7)"
+        spark, "third_withdraw_payment_order", ["id"], root, "substring(CAST(update_time AS STRING), 1, 7)",
+        schemas.THIRD_WITHDRAW_PAYMENT_ORDER,
     )
     target = jobs.RowMart(
         spark, dws.FINANCE_INCREMENT, root, {"orders": orders, "payments": payments}, dws.finance_increment,

@@ -108,6 +108,8 @@ class RowTable:
     keys: Sequence[str]
     root: str
     part: str = DAY
+    # declared columns, for readers that come before the first change
+    ddl: str | None = None
 
     @property
     def log(self) -> BatchLog:
@@ -166,6 +168,8 @@ class RowTable:
 
     def current(self, parts: Sequence[str] | None = None) -> DataFrame:
         """Live rows of the given parts, with ``part``."""
+        if self.ddl and self.log.is_empty():
+            return self.spark.createDataFrame([], f"{self.ddl}, {PART} string")
         return current_state(self.log.read(parts), [PART, *self.keys])
 
 

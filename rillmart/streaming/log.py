@@ -82,11 +82,17 @@ def _delete(spark: SparkSession, pattern: str, chosen: Callable[[str], bool]) ->
 
 
 def _read(spark: SparkSession, path: str, folders: Sequence[str], only: Sequence[str] | None) -> DataFrame | None:
-    """Rows below ``path``, folder names read as declared; only the named folders are listed."""
+    """Rows below ``path``, folder names read as declared; only the named folders are listed.
+
+    None if nothing was ever written; no rows, with the schema, if the named folders hold none.
+    """
+    if not exists(spark, path):
+        return None
     if only is not None:
         only = [p for p in only if exists(spark, p)]
-    if not exists(spark, path) or only == []:
-        return None
+        if not only:
+            rows = _read(spark, path, folders, None)
+            return None if rows is None else rows.where(F.lit(False))
     chosen = only or [path]
     try:
         data = spark.read.option("basePath", path).parquet(*chosen).schema
@@ -145,6 +151,10 @@ class BatchLog:
         # per part and run, the last batch that the version holds
         return Pointer(self.spark, f"{self.path}/folds", ", run string, last bigint")
 
+    def is_empty(self) -> bool:
+        """Whether nothing was ever logged."""
+        return not exists(self.spark, self._deltas) and not exists(self.spark, self._folded)
+
     def append(self, rows: DataFrame, batch_id: Batch | int) -> None:
         run, number = batch(batch_id)
         named = rows.withColumns({RUN: F.lit(run), BATCH: F.lit(number).cast("bigint")})
@@ -259,8 +269,6 @@ def published(spark: SparkSession, path: str, parts: Sequence[str] | None = None
     if parts is not None:
         only = [_folder(spark, data, part=r[PART], version=r[VERSION]) for r in newest.collect()]
     rows = _read(spark, data, (PART, VERSION), only)
-    if rows is None:  # all parts asked for are empty
-        return _read(spark, data, (PART, VERSION), None).where(F.lit(False)).drop(VERSION)
     return rows.join(newest, [PART, VERSION]).drop(VERSION)
 
 
