@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from rillmart.llm.common import strings, text_slices
 
-SLICE = 4 << 20  # bytes of text whose new words share one trie
-KNOWN = 500_000  # texts' chunks and pairs remembered by a worker; forgotten all at once beyond, never skipped
+SLICE = 3 << 20  # bytes of text whose new words share one trie
+KNOWN = 300_000  # texts' chunks and pairs remembered by a worker; forgotten all at once beyond, never skipped
 _SPACE = regex.compile(r"\p{White_Space}+")
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")
 
