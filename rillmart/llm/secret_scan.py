@@ -2,7 +2,9 @@
 
 A string near a sensitive word is reported when zstandard, primed with the code
 around it and with a dictionary of identifiers, still needs nearly a byte for
-each of its characters: names and prose repeat what is around, secrets do not.
+each of the characters of a piece of it: names and prose repeat what is around,
+secrets do not.  Pieces are too short for zstandard's entropy coding, so neither
+a string's length nor the size of its alphabet matters.
 """
 
 from __future__ import annotations
@@ -19,8 +21,9 @@ from rillmart.llm.common import strings, text_slices
 KINDS = ("assign", "access", "hex", "novel")
 SPANS = "array<struct<kind:string,begin:long,end:long>>"
 WINDOW = 1500  # characters of surrounding text on each side that prime the compressor
-REACH = 48  # characters before a string in which a sensitive word makes it a candidate
+REACH = 48  # characters before and after a run of strings in which a sensitive word makes them candidates
 SHORTEST = 20
+PIECE = 20  # a string is cut into pieces of this many characters, and fewer than twice as many
 NOVELTY = 0.85  # marginal compressed bytes a character
 
 _ASSIGN = re.compile(
@@ -30,6 +33,9 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 _STRING = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % SHORTEST)
 _CUE = re.compile(r"(?i:passw|pwd|secret|token|key|auth|bearer|credential|private|signature|session|salt)", re.ASCII)
+#: What lies between strings of one run: separators, or short parts that dots join.
+_BETWEEN = re.compile(r"\W{1,%d}|\.(?:[A-Za-z0-9+/_=-]*\.)+" % REACH)
+_NAMED = re.compile(r"[A-Za-z0-9_-]{1,%d}=(?=[A-Za-z0-9+/_-])" % REACH)  # a name that begins a string
 #: Names and notations common in code and settings.
 IDENTIFIERS = (
     "access_key secret_key api_key apikey client_id client_secret private_key public_key BEGIN RSA PRIVATE KEY "
@@ -50,14 +56,38 @@ _STRING_FLAGS = _flags(_LETTERS + _LETTERS.lower() + "0123456789+/_=-")
 
 
 def novelty(text: str, begin: int, end: int) -> float:
-    """Compressed bytes that ``text[begin:end]`` adds, a character, after its surroundings."""
-    around = text[max(0, begin - WINDOW) : begin] + "\n" + text[end : end + WINDOW]
-    primed = zstandard.ZstdCompressionDict(
-        IDENTIFIERS + around.encode("utf-8", "replace"), dict_type=zstandard.DICT_TYPE_RAWCONTENT
-    )
-    coder = zstandard.ZstdCompressor(level=3, dict_data=primed, write_content_size=False, write_checksum=False)
-    inside = text[begin:end].encode()
-    return (len(coder.compress(inside)) - len(coder.compress(b""))) / len(inside)
+    """Compressed bytes a character that the newest piece of ``text[begin:end]`` adds after all that surrounds it."""
+    around = IDENTIFIERS + (text[max(0, begin - WINDOW) : begin] + "\n" + text[end : end + WINDOW]).encode("utf-8", "replace")
+    n = max(1, (end - begin) // PIECE)
+    cuts = [begin + (end - begin) * k // n for k in range(n + 1)]
+    most = 0.0
+    for at, upto in zip(cuts, cuts[1:]):
+        primed = zstandard.ZstdCompressionDict(
+            around + text[max(begin, at - WINDOW) : at].encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT
+        )
+        coder = zstandard.ZstdCompressor(level=3, dict_data=primed, write_content_size=False, write_checksum=False)
+        inside = text[at:upto].encode()
+        most = max(most, (len(coder.compress(inside)) - len(coder.compress(b""))) / len(inside))
+        if most >= NOVELTY:
+            break
+    return most
+
+
+def candidates(text: str) -> list[tuple[int, int]]:
+    """Strings of the runs that have a sensitive word on either side, or at their beginning as in ``key=value``."""
+    runs: list[list[tuple[int, int]]] = []
+    for m in _STRING.finditer(text):
+        if runs and _BETWEEN.fullmatch(text, runs[-1][-1][1], m.start()):
+            runs[-1].append(m.span())
+        else:
+            runs.append([m.span()])
+    out = []
+    for run in runs:
+        begin, end = run[0][0], run[-1][1]
+        named = _NAMED.match(text, begin, end)
+        if _CUE.search(text, max(0, begin - REACH), named.end() if named else begin) or _CUE.search(text, end, end + REACH):
+            out += run
+    return out
 
 
 def find(text: str) -> list[tuple[str, int, int]]:
@@ -73,10 +103,7 @@ def find(text: str) -> list[tuple[str, int, int]]:
         out += [("hex", *m.span()) for m in _HEX.finditer(text)]
     if b"1" * SHORTEST in flat.translate(_STRING_FLAGS) and _CUE.search(low):
         taken = [(b, e) for _, b, e in out]
-        for m in _STRING.finditer(text):
-            begin, end = m.span()
-            if not _CUE.search(text, max(0, begin - REACH), begin):
-                continue
+        for begin, end in candidates(text):
             if any(b < end and begin < e for b, e in taken):
                 continue
             if novelty(text, begin, end) >= NOVELTY:
