@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -175,3 +176,29 @@ def test_multikey_order_is_lexicographic():
     words = rng.integers(0, 3, (500, 4)).astype(np.uint64)
     got = [tuple(w) for w in words[suffix_dedup.multikey_order(words)].tolist()]
     assert got == sorted(map(tuple, words.tolist()))
+
+
+def test_near_copies_are_verified_at_the_similarity(spark):
+    rng = random.Random(3)
+
+    def fresh(n):
+        return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+    rows = []
+    for k in range(400):
+        n = rng.choice([8, 8, 8, 12, 16, 30, 60, 200])  # words, four more than shingles
+        text = fresh(n)
+        longer = text + fresh(rng.choice([(n - 4) // 4, (n - 4) // 4 + 1]))  # similarity 0.8 or a little more, or less
+        if k % 2 and n > 30:
+            longer = list(text)
+            for _ in range(rng.randrange(1, 3 + n // 40)):
+                longer[rng.randrange(n)] = fresh(1)[0]
+        rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(longer))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCUMENT).repartition(5)
+    got = {r.doc_id: r.component_id for r in near_copies.near_copies(docs).collect()}
+    texts = dict(rows)
+    alike = {k: _similarity(texts[2 * k], texts[2 * k + 1]) >= 0.8 for k in range(400)}
+    linked = {k: got[2 * k + 1] == 2 * k for k in alike}
+    assert min(Counter(alike.values()).values()) > 100
+    assert not [k for k in alike if linked[k] and not alike[k]]
+    assert sum(linked[k] for k in alike if alike[k]) >= 0.98 * sum(alike.values())
