@@ -311,3 +311,42 @@ def test_sensitive_words_cover_a_run_on_either_side():
         assert found[:3] == parts[:3] and parts[3] in found[3]
     assert secret_scan.find(f"key={parts[0]}")
     assert secret_scan.find("plain words " * 9 + ".".join(parts) + " and plain words" * 9) == []
+
+
+def test_toxicity_sample_passes_over_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TRAIN_BYTES", 20_000)
+    monkeypatch.setattr(toxicity, "LONG_BYTES", 2_000)
+    ids = [k for k in range(400) if crc32(str(k).encode()) % 3 != 1]
+    long = {k: 30_000 if k % 3 else 15_000 for k in ids[::4]}
+    docs = [(k, "x " * (long.get(k, 100) // 2), "en", "s", 0) for k in ids]
+    frame = spark.createDataFrame(docs + docs[:9], DOCUMENT)
+    labels = spark.createDataFrame([(k, k % 2) for k in ids], "doc_id long, toxic int")
+    got = {k for k, _, _ in toxicity.sample(frame, labels)}
+    assert len(got) == min(200, len(ids) - len(long)) and not got & set(long)
+    some = toxicity.sample(frame.where(f"doc_id in ({','.join(map(str, ids[:40]))})"), labels)
+    assert len(some) == 30 + 1  # and one long text that fits
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic: seen.append((len(texts.segments), len(toxic))))
+    toxicity.fit(frame, labels)
+    assert seen == [(len(got), len(got))]
+    with pytest.raises(ValueError):
+        toxicity.sample(frame.where(f"doc_id = {next(k for k in long if k % 3)}"), labels)
+
+
+def test_toxicity_trains_whole_epochs():
+    rng = np.random.default_rng(4)
+    toxic = np.arange(3000) % 2
+    texts = toxicity.prepare([" ".join(rng.choice(list("abcdefgh"), 3)) + (" vile" if t else " kind") for t in toxic])
+    drawn = []
+    class Rng:
+        def __init__(self, seed):
+            self.own = np.random.Generator(np.random.PCG64(seed))
+        def permutation(self, rows):
+            drawn.append(len(rows))
+            return self.own.permutation(rows)
+        def __getattr__(self, name):
+            return getattr(self.own, name)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(toxicity.np.random, "default_rng", Rng)
+        toxicity.train_one(texts, toxic, np.arange(3000), 1)
+    assert sum(drawn) >= 8 * 3000
