@@ -9,6 +9,7 @@ hold a shingle of some item are fingerprinted, as no other can be similar.
 
 from __future__ import annotations
 
+import uuid
 from typing import NamedTuple
 
 import numpy as np
@@ -153,7 +154,7 @@ def indexes(benchmark: DataFrame) -> list:
     return out
 
 
-_built: dict[int, Index] = {}
+_built: dict[str, Index] = {}
 
 
 def _index(shared) -> Index:
@@ -165,7 +166,7 @@ def _index(shared) -> Index:
 
 
 class _Shared(NamedTuple):
-    id: int
+    id: str  # made on the driver; a broadcast's memory address may return
     holder: object
 
     @property
@@ -208,7 +209,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     out = None
     for holder in indexes(benchmark):
-        found = rows.mapInArrow(finder(_Shared(id(holder), holder)), schema)
+        found = rows.mapInArrow(finder(_Shared(uuid.uuid4().hex, holder)), schema)
         out = found if out is None else out.union(found)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
@@ -226,5 +227,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return run
 
     for holder in indexes(benchmark):
-        docs = docs.mapInArrow(keeper(_Shared(id(holder), holder)), docs.schema)
+        docs = docs.mapInArrow(keeper(_Shared(uuid.uuid4().hex, holder)), docs.schema)
     return docs

@@ -350,3 +350,14 @@ def test_toxicity_trains_whole_epochs():
         patch.setattr(toxicity.np.random, "default_rng", Rng)
         toxicity.train_one(texts, toxic, np.arange(3000), 1)
     assert sum(drawn) >= 8 * 3000
+
+
+def test_index_of_a_new_benchmark_at_an_old_address(spark, monkeypatch):
+    # every broadcast gets the same address
+    monkeypatch.setattr(decontaminate, "id", lambda x: 1, raising=False)
+    words = [f"w{k}" for k in range(80)]
+    docs = spark.createDataFrame([(1, " ".join(words), "en", "s", 0)], DOCUMENT).coalesce(1)
+    for k in (0, 20):
+        benchmark = spark.createDataFrame([(k, " ".join(words[k : k + 40]))], "item_id long, text string")
+        got = [r.item_id for r in decontaminate.contaminated(docs, benchmark).collect()]
+        assert got == [k] and decontaminate.decontaminate(docs, benchmark).count() == 0
