@@ -14,11 +14,14 @@ from rillmart.llm import (
     decontaminate,
     html_template,
     kneser_ney,
+    phrase_automata,
     rans,
     secret_scan,
     simhash,
+    spelling_variants,
     suffix_dedup,
     toxicity,
+    whitening,
 )
 from rillmart.llm.common import crc_part, table
 
@@ -117,6 +120,22 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_phrase_automata(spark: SparkSession, folder: str) -> DataFrame:
+    found = phrase_automata.remove_phrases(table(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["begin"])
+    return found.select(
+        "doc_id", "n_words", removed.alias("n_removed"), F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, folder, "documents"))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     "op1_bpe_trie": op1_bpe_trie,
     "op2_html_template": op2_html_template,
@@ -128,6 +147,9 @@ QUERIES = {
     "op8_rans": op8_rans,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op11_phrase_automata": op11_phrase_automata,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES: dict[str, str] = {}
