@@ -34,6 +34,7 @@ SECOND = {
         "status": "CASE WHEN id % 2 = 0 THEN 'CANCELLED' ELSE 'COMPLETE' END",
         "update_time": "update_time + INTERVAL 1 DAY",
     },
+    "device": {"device_id": "'a' || CAST(id % 40 AS STRING)"},
     "user": {"user_country": "'moved'"},
     "user_info": {"nick_name": "'renamed'", "current_level_recharge_amount": "CAST(-1 AS DECIMAL(20,4))"},
     "user_relations": {"rebate_amount": "CAST(0 AS DECIMAL(20,4))"},

@@ -7,6 +7,8 @@ packs: conditions are spelled out again, and distinct counts use
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from rillmart import schemas
 from rillmart.fixtures.feeds import DELETED, REPEATED, SECOND, UPDATED, live_sql
 from rillmart.fixtures.tables import DIMENSIONS, SHAPES
@@ -167,7 +169,7 @@ CAST(CAST(SIGN({_RATE_N}) * ((2 * ABS({_RATE_N}) * 10000 + {_RATE_D}) // (2 * {_
  * CAST(0.0001 AS DECIMAL(5,4)) AS {M4}) END AS third_party_total_kill_rate"""
 
 
-def user_games(keys: list[str]) -> str:
+def user_games(keys: list[str], source: str = _GAME) -> str:
     t = "third_party_total_"
     columns = [
         _sum("effective_bet_amount", "total_effective_bet_amount"),
@@ -194,7 +196,7 @@ def user_games(keys: list[str]) -> str:
         _sum("settle_withdrawal_amount", t + "settle_withdrawal_amount"),
         _sum("settle_bonus_amount", t + "settle_bonus_amount"),
     ]
-    return _group(user_game_day(), keys, columns)
+    return _group(user_game_day(source), keys, columns)
 
 
 # --- wallet changes -----------------------------------------------------------------
@@ -528,6 +530,21 @@ def topic(shape: str, ddl: str, *, deletes: bool = False, pairs: bool = False) -
     return " UNION ALL ".join(sides)
 
 
+def cleaned_topic(shape: str, ddl: str, clean: Callable[[str], str]) -> str:
+    """All sides of a cleaned table's changes; a side that the rule drops turns an update into a create or delete."""
+    base = f"SELECT {', '.join(schemas.names(ddl))} FROM ({SHAPES[shape].sql()})"
+    old, new = clean(base), clean(f"SELECT * {_replaced(shape)} FROM ({base})")
+    upd, rem = UPDATED.format("id"), DELETED.format("id")
+    kind = "CASE WHEN id IN (SELECT id FROM ({})) THEN 'u' ELSE '{}' END"
+    return " UNION ALL ".join([
+        f"SELECT 'c' AS op, CAST(1 AS BIGINT) AS pos, CAST(1 AS INTEGER) AS sign, * FROM ({old})",
+        f"SELECT {kind.format(new, 'd')}, 2, -1, * FROM ({old}) WHERE {upd}",
+        f"SELECT {kind.format(old, 'c')}, 2, 1, * FROM ({new}) WHERE {upd}",
+        f"SELECT 'd', 3, -1, * FROM ({old}) WHERE {rem} AND NOT ({upd})",
+        f"SELECT 'd', 3, -1, * FROM ({new}) WHERE {rem} AND {upd}",
+    ])
+
+
 def live(shape: str, ddl: str | None = None) -> str:
     """Rows left after the derived feed."""
     source = SHAPES[shape].sql()
@@ -613,6 +630,39 @@ def _codes(code: str, labels: dict[int, str], name: str) -> str:
     return f"SELECT CASE {code} {cases} END AS {name}, COUNT(*) AS events FROM events GROUP BY 1"
 
 
+def _closed_windows() -> str:
+    """Hours that ended five minutes before the last event; events that came after theirs was closed are left out."""
+    rows = (
+        f"SELECT ts, CAST(value AS {M4}) AS order_amount FROM events "
+        "WHERE NOT (event_id % 97 = 0 AND ts < TIMESTAMP '2024-01-11 00:00:00')"
+    )
+    hours = _window(rows, "ts", "hour", f"COUNT(*) AS order_count, {_sum('order_amount', 'order_amount')}")
+    return f"SELECT * FROM ({hours}) WHERE window_end <= (SELECT MAX(ts) - INTERVAL 5 MINUTE FROM events)"
+
+
+def _expired() -> str:
+    """Runs of a user's rewards without 36 silent hours, if that many have passed since the last one."""
+    gaps = (
+        "SELECT *, CASE WHEN update_time <= LAG(update_time) OVER (PARTITION BY user_id ORDER BY update_time) + INTERVAL 36 HOUR "
+        f"THEN 0 ELSE 1 END AS begins FROM ({_REWARD})"
+    )
+    lives = f"SELECT *, SUM(begins) OVER (PARTITION BY user_id ORDER BY update_time) AS life FROM ({gaps})"
+    return (
+        "SELECT user_id, MIN(update_time) AS first_change, MAX(update_time) AS last_change, COUNT(*) AS reward_count, "
+        f"{_sum('bonus_amount', 'reward_amount')} FROM ({lives}) GROUP BY user_id, life "
+        f"HAVING MAX(update_time) + INTERVAL 36 HOUR <= (SELECT MAX(update_time) - INTERVAL 5 MINUTE FROM ({_REWARD}))"
+    )
+
+
+def _looked_up() -> str:
+    devices = live_sql("SELECT event_id AS id, user_id, 'd' || CAST(event_id % 50 AS VARCHAR) AS device_id FROM events", "device")
+    return f"""
+SELECT c.customer, c.user_id,
+  CASE WHEN c.user_id IS NULL THEN 'unknown' ELSE COALESCE('device_id: ' || d.device_id, 'no_device') END AS dimension_info
+FROM (SELECT c_custkey AS customer, CASE WHEN c_custkey % 50 = 0 THEN NULL ELSE c_custkey END AS user_id FROM customer) AS c
+LEFT JOIN (SELECT user_id, MIN(device_id) AS device_id FROM ({devices}) GROUP BY user_id) AS d ON d.user_id = c.user_id"""
+
+
 _LIVE_EVENTS = clean_game(live_sql(SHAPES["game_event"].sql(), "game_event"))
 _USER_DAY, _USER_ALL = ["statistic_time", "user_id", "channel_id"], ["user_id", "channel_id"]
 
@@ -697,10 +747,7 @@ ORACLES: dict[str, str] = {
         f"SELECT statistic_time, channel_id, user_count, bet_amount, '{name}' AS mart FROM ({channel_game(_LIVE_EVENTS, key)})"
         for name, key in (("provider", "third_platform_provider_type"), ("category", "game_category_id"))
     ),
-    "stream_window_order_hour": _window(
-        f"SELECT ts, CAST(value AS {M4}) AS order_amount FROM events", "ts", "hour",
-        f"COUNT(*) AS order_count, {_sum('order_amount', 'order_amount')}",
-    ),
+    "stream_window_order_hour": _closed_windows(),
     "stream_channel_reward": channel_reward(),
     "stream_channel_activity": channel_activity(),
     "decode_game_id": _codes("1000 + event_id % 5", {1001: "KING_GLORY", 1002: "GENSHIN", 1003: "PUBG"}, "game_name"),
@@ -710,6 +757,23 @@ ORACLES: dict[str, str] = {
     "stream_user_recharge": user_recharge(clean_recharge(live_sql(SHAPES["recharge_order"].sql(), "recharge_order"))),
     "stream_user_reward_total": user_rewards(_USER_ALL),
     "stream_upsert_replay": live("user_info"),
+    "stream_user_game_ads_day": user_games(_USER_DAY, _LIVE_EVENTS),
+    "stream_user_game_ads_total": user_games(_USER_ALL, _LIVE_EVENTS),
+    "stream_multi_table": " UNION ALL ".join(
+        f"SELECT '{name}' AS table, id, channel_id, {amount} AS amount FROM ({live_sql(SHAPES[name].sql(), name)})"
+        for name, amount in (
+            ("withdraw_order", "withdraw_funds_amount"), ("recharge_order", "order_amount"), ("user_info", "current_level_recharge_amount"),
+        )
+    ),
+    "stream_lookup_user_device": _looked_up(),
+    "stream_user_reward_expiring": _expired(),
+    "dwd_topic_game_record": cleaned_topic("game_event", schemas.GAME_RECORD, clean_game),
+    "dwd_topic_recharge_order": cleaned_topic("recharge_order", schemas.RECHARGE_ORDER, clean_recharge),
+    "dwd_topic_withdraw_order": cleaned_topic("withdraw_order", schemas.WITHDRAW_ORDER, clean_withdraw),
+    "dwd_topic_amount_operation_record": cleaned_topic("amount_operation_record", _AMOUNT_DDL, clean_amount),
+    "dwd_topic_user_proxy_statistic": cleaned_topic("user_proxy_statistic", schemas.USER_PROXY_STATISTIC, clean_proxy),
+    "dwd_topic_reward_record": f"SELECT 'c' AS op, CAST(0 AS BIGINT) AS pos, CAST(1 AS INTEGER) AS sign, * FROM ({_REWARD})",
+    "dim_user_chunked": live("user_info"),
     "stream_user_custom_amount": user_custom_amount(
         clean_amount(live_sql(SHAPES["amount_operation_record"].sql(), "amount_operation_record"))
     ),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillmart import config, schemas
@@ -13,10 +13,10 @@ from rillmart.fixtures.tables import load, read
 from rillmart.functions.codes import DEVICE_TYPE, GAME_ID, ORDER_STATUS, decode
 from rillmart.operators import changelog
 from rillmart.operators.conform import enforce_not_null, protect
-from rillmart.operators.lookup import device_of_user
+from rillmart.operators.lookup import DEVICE_OF_USER, WITHOUT_DEVICE, device_info, device_of_user
 from rillmart.operators.mart import Mart
 from rillmart.plans import ads, dim, dwd, dws, ods
-from rillmart.sources.envelopes import decode_changes, decode_events, encode_changes, encode_events
+from rillmart.sources.envelopes import decode_changes, decode_events, decode_feed, encode_changes, encode_events, of_feed
 from rillmart.sources.readers import file_messages, shard_tables
 from rillmart.streaming import jobs, windows
 from rillmart.streaming.log import Batch
@@ -73,7 +73,7 @@ def _topic(name: str, shape: str | None = None) -> Query:
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
         topic = ods.TOPICS[name]
-        changes = _feed(spark, folder, shape or topic.table, topic.ddl)
+        changes = _feed(spark, folder, shape or topic.table, schemas.TABLES[topic.table])
         return changelog.images(decode_changes(ods.messages(topic, changes), topic.ddl))
 
     return query
@@ -86,6 +86,41 @@ def _topic_as_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return changelog.images(pairs)
 
 
+def _cleaned_topic(table: str, shape: str, ddl: str) -> Query:
+    """The change topic of a cleaned table, read back as signed rows."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        images = changelog.images(_feed(spark, folder, shape, ddl))
+        messages = dwd.topic_messages(jobs.cleaned_images(images, dwd.CLEANERS[table][1]))
+        return changelog.images(decode_changes(messages, dwd.TOPICS[table]))
+
+    return query
+
+
+def _reward_topic(spark: SparkSession, folder: str) -> DataFrame:
+    messages = dwd.event_messages(_cleaned(spark, folder, "dwd_reward_record"))
+    return changelog.images(decode_changes(messages, dwd.TOPICS["dwd_reward_record"]))
+
+
+CHUNK_KEYS = 100  # keys of one snapshot chunk
+
+
+def _chunked_dimension(spark: SparkSession, folder: str) -> DataFrame:
+    """A dimension whose snapshot was read chunk by chunk while changes ran.
+
+    Chunk ``c`` is read at position ``c % 4``, so chunks hold none, some or all of their
+    keys' changes, and the feed repeats all of them.
+    """
+    ddl = schemas.USER_INFO
+    chunk = changelog.key_chunk("id", 0, CHUNK_KEYS)
+    changes = changelog.upserts(_feed(spark, folder, "user_info", ddl))
+    chunks = changes.select(chunk.alias("chunk")).distinct()
+    read_at = chunks.withColumn("read_at", F.pmod("chunk", F.lit(4)))
+    past = changes.withColumn("chunk", chunk).join(read_at, "chunk").where("pos <= read_at").drop("chunk", "read_at")
+    snapshot = changelog.current_state(past, ["id"])
+    return changelog.hand_over(snapshot, read_at, changes, ["id"], chunk)
+
+
 def _dimension(table: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         ddl = schemas.TABLES[table]
@@ -198,6 +233,17 @@ def _lines(spark: SparkSession, messages: DataFrame) -> DataFrame:
     return file_messages(spark, path, bytes_per_batch=BATCH_BYTES)
 
 
+def _in_turns(
+    spark: SparkSession, messages: DataFrame, run: Callable[[DataFrame, str], None], turn: Column | None = None, turns: int = 3
+) -> None:
+    """``run`` a stream over the messages as they arrive in turns, each time from the checkpoint of the last."""
+    feed, checkpoint = config.scratch(spark, "feed"), config.scratch(spark, "progress")
+    dealt = messages.withColumn("__turn", F.pmod(F.xxhash64("value"), F.lit(turns)) if turn is None else turn)
+    for k in range(turns):
+        feeds.write_lines(dealt.where(F.col("__turn") == k), feed)
+        run(file_messages(spark, feed, bytes_per_batch=BATCH_BYTES), checkpoint)
+
+
 def _change_stream(spark: SparkSession, folder: str, shape: str, ddl: str, *, repeats: bool) -> DataFrame:
     rows = load(spark, folder, shape).select(*schemas.names(ddl))
     made = feeds.envelopes(rows, feeds.SECOND[shape], repeats=repeats)
@@ -254,7 +300,11 @@ def _stream_repeats(mart: Mart, shape: str, ddl: str, part: str) -> Query:
             images = rows.differences(changelog.upserts(blind), batch_id)
             target.apply(jobs.cleaned_images(images, rule), batch_id)
 
-        _finish(spark, _change_stream(spark, folder, shape, ddl, repeats=True), handle)
+        made = feeds.envelopes(load(spark, folder, shape).select(*schemas.names(ddl)), feeds.SECOND[shape])
+        _in_turns(
+            spark, encode_changes(made, ["id"]),
+            lambda stream, at: jobs.start(decode_changes(stream, ddl), handle, at).awaitTermination(),
+        )
         return target.table()
 
     return query
@@ -264,13 +314,13 @@ def _stream_restart(spark: SparkSession, folder: str) -> DataFrame:
     """A mart over a stream that stops, goes on from its checkpoint, and later starts with a new one.
 
     The second checkpoint counts its batches from 0 again over the same tables;
-    the log is folded in between.
+    finished batches are compacted in between.
     """
     root = config.scratch(spark, "marts")
     rows = load(spark, folder, "game_event").select(*schemas.names(schemas.GAME_RECORD))
     messages = encode_changes(feeds.envelopes(rows, feeds.SECOND["game_event"], repeats=False), ["id"])
     messages = messages.withColumn("turn", F.pmod(F.xxhash64("value"), F.lit(3)))
-    target = jobs.LedgerMart(spark, dws.CHANNEL_GAME, root)
+    target = jobs.LedgerMart(spark, dws.CHANNEL_GAME, root, gather=2)
     handler = jobs.fan_out(
         lambda batch: jobs.cleaned_images(changelog.images(batch), dwd.game_record), target.apply
     )
@@ -280,19 +330,46 @@ def _stream_restart(spark: SparkSession, folder: str) -> DataFrame:
         feeds.write_lines(messages.where(F.col("turn") == turn), feed)
         stream = file_messages(spark, feed, bytes_per_batch=BATCH_BYTES)
         jobs.start(decode_changes(stream, schemas.GAME_RECORD), handler, checkpoint).awaitTermination()
-        target.log.fold()
     return target.table()
 
 
 def _stream_order_hours(spark: SparkSession, folder: str) -> DataFrame:
-    """Hourly counts over a file stream with a lateness bound, every window closed at the end."""
-    feed, out = config.scratch(spark, "feed"), config.scratch(spark, "windows")
-    rows = read(spark, folder, "events").selectExpr("CAST(ts AS TIMESTAMP) AS update_time", "CAST(value AS DECIMAL(20,4)) AS order_amount")
-    rows.write.parquet(feed)
-    stream = spark.readStream.schema(rows.schema).parquet(feed)
-    counted = windows.order_counts(stream, lateness=windows.LATENESS)
-    sink = counted.writeStream.outputMode("complete").foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(out))
-    sink.option("checkpointLocation", config.scratch(spark, "progress")).trigger(availableNow=True).start().awaitTermination()
+    """Hourly counts of closed windows over three batches, the last of rows that come too late.
+
+    Every 97th event of the first third of the month arrives after all others, when
+    its window is closed, and is left out.
+    """
+    feed, out, progress = (config.scratch(spark, n) for n in ("feed", "windows", "progress"))
+    early = "ts < TIMESTAMP_NTZ '2024-01-11 00:00:00'"
+    rows = read(spark, folder, "events").selectExpr(
+        "CAST(ts AS TIMESTAMP) AS update_time", "CAST(value AS DECIMAL(20,4)) AS order_amount",
+        f"CASE WHEN {early} THEN IF(event_id % 97 = 0, 2, 0) ELSE 1 END AS turn",
+    )
+    schema = rows.drop("turn").schema
+    for turn in range(3):
+        rows.where(F.col("turn") == turn).drop("turn").write.mode("append").parquet(feed)
+        counted = windows.order_counts(spark.readStream.schema(schema).parquet(feed), lateness=windows.LATENESS)
+        sink = counted.writeStream.outputMode("append").format("parquet").option("path", out)
+        sink.option("checkpointLocation", progress).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out)
+
+
+def _stream_expiring(spark: SparkSession, folder: str) -> DataFrame:
+    """Reward totals of users whose state expired: 36 hours of the event clock without a change close it."""
+    rows = load(spark, folder, "reward_event").select(*schemas.names(schemas.REWARD_EVENT))
+    messages = encode_events(rows, "id", "INSERT")
+    third = "CAST(floor(datediff(DAY, TIMESTAMP_NTZ '2024-01-01 00:00:00', CAST(get_json_object(value, '$.jsonData.update_time') AS TIMESTAMP_NTZ)) / 10) AS INT)"
+    out = config.scratch(spark, "expired")
+
+    def run(stream: DataFrame, checkpoint: str) -> None:
+        cleaned = dwd.reward_record(decode_events(stream, schemas.REWARD_EVENT))
+        expired = windows.expired_totals(cleaned, ["user_id"], "update_time", [
+            F.count(F.lit(1)).alias("reward_count"), F.sum("bonus_amount").cast("decimal(20,4)").alias("reward_amount"),
+        ])
+        sink = expired.writeStream.outputMode("append").format("parquet").option("path", out)
+        sink.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+    _in_turns(spark, messages, run, F.least(F.greatest(F.expr(third), F.lit(0)), F.lit(2)))
     return spark.read.parquet(out)
 
 
@@ -321,77 +398,139 @@ def _reward_stream(mart: Mart, part: str = jobs.MONTH) -> Query:
 
 
 def _stream_replay(spark: SparkSession, folder: str) -> DataFrame:
-    """Dimension copy with repeated deliveries, every batch applied twice, folded halfway."""
+    """Dimension copy with repeated deliveries, every batch applied twice, compacted on the way."""
     ddl = schemas.USER_INFO
-    root = config.scratch(spark, "dims")
-    table = jobs.RowTable(spark, "user_info", ["id"], root, jobs.bucket("id", 8))
+    table = jobs.RowTable(spark, "user_info", ["id"], config.scratch(spark, "dims"), jobs.bucket("id", 8), gather=2)
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, batch_id: Batch) -> None:
         changes = changelog.upserts(batch)
         table.apply(changes, batch_id)
         table.apply(changes, batch_id)
-        table.log.fold()
 
-    _finish(spark, _change_stream(spark, folder, "user_info", ddl, repeats=True), handle)
+    rows = load(spark, folder, "user_info").select(*schemas.names(ddl))
+    messages = encode_changes(feeds.envelopes(rows, feeds.SECOND["user_info"]), ["id"])
+    _in_turns(spark, messages, lambda stream, at: jobs.start(decode_changes(stream, ddl), handle, at).awaitTermination())
     return table.current().drop("part")
 
 
-def _row_mart_stream(mart: Mart, shape: str, ddl: str) -> Query:
-    """Marts with minimum and maximum: current rows per day, touched days recomputed."""
+def _chained(mart: Mart, part: str) -> Query:
+    """A mart fed by the changes of another, in one stream with updates, moved days and deletes."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
         root = config.scratch(spark, "marts")
-        rule = dwd.CLEANERS[mart.source][1]
-        rows = jobs.RowTable(spark, mart.source, ["id"], root)
-        target = jobs.RowMart(spark, mart.name, root, {"cleaned": rows}, mart.build)
+        target = jobs.LedgerMart(spark, mart, root, part)
+        first = jobs.LedgerMart(spark, dws.USER_GAME_DAY, root, then=(target.apply,))
+        rows = load(spark, folder, "game_event").select(*schemas.names(schemas.GAME_RECORD))
+        messages = encode_changes(feeds.envelopes(rows, feeds.SECOND["game_event"], repeats=False), ["id"])
 
-        def handle(batch: DataFrame, batch_id: int) -> None:
-            target.refresh(rows.apply(jobs.cleaned_images(changelog.images(batch), rule), batch_id))
+        def handle(batch: DataFrame, batch_id: Batch) -> None:
+            first.apply(jobs.cleaned_images(changelog.images(batch), dwd.game_record), batch_id)
 
-        _finish(spark, _change_stream(spark, folder, shape, ddl, repeats=True), handle)
+        def run(stream: DataFrame, checkpoint: str) -> None:
+            jobs.start(decode_changes(stream, schemas.GAME_RECORD), handle, checkpoint).awaitTermination()
+
+        _in_turns(spark, messages, run)
         return target.table()
 
     return query
 
 
+def _shared_feed(spark: SparkSession, folder: str, tables: dict[str, str], **options) -> DataFrame:
+    """Messages of several tables' derived feeds, each naming its table."""
+    made = [
+        encode_changes(feeds.envelopes(load(spark, folder, name).select(*schemas.names(ddl)), feeds.SECOND[name], **options), ["id"], table=name)
+        for name, ddl in tables.items()
+    ]
+    return changelog.union_tables(made)
+
+
 def _stream_finance(spark: SparkSession, folder: str) -> DataFrame:
-    """Two change feeds in one stream: withdrawals and their payment attempts, joined per touched day."""
+    """Withdrawals and their payment attempts from one feed, joined from what changes on either side."""
     root = config.scratch(spark, "marts")
-    orders = jobs.RowTable(spark, "dwd_withdraw_order", ["id"], root, jobs.MONTH, schemas.DWD_WITHDRAW_ORDER)
-    payments = jobs.RowTable(
-        spark, "third_withdraw_payment_order", ["id"], root, "substring(CAST(update_time AS STRING), 1, 7)",
-        schemas.THIRD_WITHDRAW_PAYMENT_ORDER,
+    tables = {"withdraw_order": schemas.WITHDRAW_ORDER, "third_withdraw_payment_order": schemas.THIRD_WITHDRAW_PAYMENT_ORDER}
+    stored = {name: jobs.RowTable(spark, name, ["id"], root, jobs.bucket("id", 8)) for name in tables}
+    mart = jobs.LedgerMart(spark, dws.FINANCE_PAIRS, root, jobs.MONTH)
+    join = jobs.DeltaJoin(spark, "matched", root, dws.MATCH)
+
+    def handle(batch: DataFrame, batch_id: Batch) -> None:
+        batch = batch.persist()  # each message is read and parsed once
+        try:
+            # repeated deliveries end here
+            exact = {name: table.differences(changelog.upserts(of_feed(batch, name)), batch_id) for name, table in stored.items()}
+            orders = dws.matched_order(jobs.cleaned_images(exact["withdraw_order"], dwd.withdraw_order))
+            join.apply(orders, dws.matched_payment(exact["third_withdraw_payment_order"]), batch_id, mart.apply)
+        finally:
+            batch.unpersist()
+
+    def run(stream: DataFrame, checkpoint: str) -> None:
+        jobs.start(decode_feed(stream, tables), handle, checkpoint).awaitTermination()
+
+    _in_turns(spark, _shared_feed(spark, folder, tables), run)
+    return mart.table()
+
+
+def _stream_multi_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Three tables kept from one feed that also carries a table nobody asked for."""
+    root = config.scratch(spark, "tables")
+    tables = {"withdraw_order": schemas.WITHDRAW_ORDER, "recharge_order": schemas.RECHARGE_ORDER, "user_info": schemas.USER_INFO}
+    amounts = {"withdraw_order": "withdraw_funds_amount", "recharge_order": "order_amount", "user_info": "current_level_recharge_amount"}
+    stored = {name: jobs.RowTable(spark, name, ["id"], root, jobs.bucket("id", 8)) for name in tables}
+    handler = jobs.fan_out(
+        lambda batch: batch,
+        *(lambda rows, number, n=name, t=table: t.apply(changelog.upserts(of_feed(rows, n)), number) for name, table in stored.items()),
     )
-    target = jobs.RowMart(
-        spark, dws.FINANCE_INCREMENT, root, {"orders": orders, "payments": payments}, dws.finance_increment,
-        jobs.MONTH,
+    messages = _shared_feed(spark, folder, {**tables, "user_relations": schemas.USER_RELATIONS})
+
+    def run(stream: DataFrame, checkpoint: str) -> None:
+        jobs.start(decode_feed(stream, tables), handler, checkpoint).awaitTermination()
+
+    _in_turns(spark, messages, run)
+    return changelog.union_tables([
+        table.current().select(F.lit(name).alias("table"), "id", "channel_id", F.col(amounts[name]).alias("amount"))
+        for name, table in stored.items()
+    ])
+
+
+def _stream_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """Facts beside the device of their user, corrected when devices come, change or go later."""
+    root = config.scratch(spark, "lookup")
+    tables = {"fact": "customer bigint, user_id bigint", "device": "id bigint, user_id bigint, device_id string"}
+    facts = read(spark, folder, "customer").selectExpr(
+        "c_custkey AS customer", "CASE WHEN c_custkey % 50 = 0 THEN NULL ELSE c_custkey END AS user_id"
+    )
+    devices = read(spark, folder, "events").selectExpr(
+        "event_id AS id", "user_id", "'d' || CAST(event_id % 50 AS STRING) AS device_id"
     )
-    feeds_by_table = {
-        "withdraw_order": (schemas.WITHDRAW_ORDER, load(spark, folder, "withdraw_order")),
-        "third_withdraw_payment_order": (
-            schemas.THIRD_WITHDRAW_PAYMENT_ORDER, load(spark, folder, "third_withdraw_payment_order")
-        ),
-    }
-    tagged = changelog.union_tables(
-        [
-            encode_changes(
-                feeds.envelopes(rows.select(*schemas.names(ddl)), feeds.SECOND[name]), ["id"]
-            ).select(F.to_json(F.struct(F.lit(name).alias("topic"), "value")).alias("value"))
-            for name, (ddl, rows) in feeds_by_table.items()
-        ]
+    nothing = F.when(F.lit(False), F.struct(*facts.columns))
+    created = facts.select(F.lit("c").alias("op"), nothing.alias("before"), F.struct(*facts.columns).alias("after"), F.lit(1).cast("bigint").alias("pos"))
+    messages = encode_changes(created, ["customer"], table="fact").unionByName(
+        encode_changes(feeds.envelopes(devices, feeds.SECOND["device"], repeats=False), ["id"], table="device")
     )
-    stream = _lines(spark, tagged).select(F.from_json("value", "topic string, value string").alias("m")).select("m.*")
+    result = jobs.SignedRows(spark, "facts_with_device", root, jobs.bucket("customer", 8))
+    join = jobs.DeltaJoin(spark, "lookup", root, ["user_id"], WITHOUT_DEVICE)
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        def changes(name: str) -> DataFrame:
-            return changelog.images(decode_changes(batch.where(F.col("topic") == name), feeds_by_table[name][0]))
+    def handle(batch: DataFrame, batch_id: Batch) -> None:
+        batch = batch.persist()
+        try:
+            new = changelog.images(of_feed(batch, "fact"))
+            moved = []  # the dimension's changes, if it has any in this batch
 
-        days = orders.apply(jobs.cleaned_images(changes("withdraw_order"), dwd.withdraw_order), batch_id)
-        days += payments.apply(changes("third_withdraw_payment_order"), batch_id)
-        target.refresh(days)
+            def looked_up(changed: DataFrame | None, number: Batch) -> None:
+                moved.append(True)
+                join.apply(new, None if changed is None else device_info(changed), number, result.apply)
 
-    _finish(spark, stream, handle)
-    return target.table()
+            dimension = jobs.LedgerMart(spark, DEVICE_OF_USER, root, jobs.bucket("user_id", 8), then=(looked_up,))
+            dimension.apply(changelog.images(of_feed(batch, "device")), batch_id)
+            if not moved:
+                looked_up(None, batch_id)
+        finally:
+            batch.unpersist()
+
+    def run(stream: DataFrame, checkpoint: str) -> None:
+        jobs.start(decode_feed(stream, tables), handle, checkpoint).awaitTermination()
+
+    _in_turns(spark, messages, run)
+    return result.table().select("customer", "user_id", "dimension_info")
 
 
 QUERIES: dict[str, Query] = {
@@ -437,6 +576,17 @@ QUERIES: dict[str, Query] = {
     "ods_user_proxy_statistic": _topic("flink_user_proxy_statistic_data_sync"),
     "ods_amount_operation_record": _topic("flink_amount_operation_record_data_sync"),
     "ods_change_pairs": _topic_as_pairs,
+    # change topics of the cleaned tables
+    "dwd_topic_game_record": _cleaned_topic("dwd_game_record", "game_event", schemas.GAME_RECORD),
+    "dwd_topic_recharge_order": _cleaned_topic("dwd_recharge_order", "recharge_order", schemas.RECHARGE_ORDER),
+    "dwd_topic_withdraw_order": _cleaned_topic("dwd_withdraw_order", "withdraw_order", schemas.WITHDRAW_ORDER),
+    "dwd_topic_amount_operation_record": _cleaned_topic(
+        "dwd_amount_operation_record", "amount_operation_record", schemas.AMOUNT_OPERATION_TOPIC
+    ),
+    "dwd_topic_user_proxy_statistic": _cleaned_topic(
+        "dwd_user_proxy_statistic", "user_proxy_statistic", schemas.USER_PROXY_STATISTIC
+    ),
+    "dwd_topic_reward_record": _reward_topic,
     "ods_changelog_apply": _changelog_apply,
     "ods_row_kinds": _row_kinds,
     "ods_latest_version": _latest_bet,
@@ -444,6 +594,7 @@ QUERIES: dict[str, Query] = {
     # dimension copies and landings
     **{f"dim_{table}": _dimension(table) for table in dim.DIMENSIONS},
     "dim_protected_user": _protected_user,
+    "dim_user_chunked": _chunked_dimension,
     "game_record_landing": _game_landing,
     "reward_record_landing": _reward_landing,
     # codecs, keys, lookups, windows
@@ -477,8 +628,13 @@ QUERIES: dict[str, Query] = {
     "stream_channel_activity": _reward_stream(dws.CHANNEL_ACTIVITY),
     "stream_user_reward_total": _reward_stream(ads.USER_REWARD_TOTAL, jobs.bucket("user_id", 16)),
     "stream_upsert_replay": _stream_replay,
-    "stream_user_custom_amount": _row_mart_stream(
-        dws.USER_CUSTOM_AMOUNT, "amount_operation_record", schemas.AMOUNT_OPERATION_TOPIC
+    "stream_user_custom_amount": _stream_repeats(
+        dws.USER_CUSTOM_AMOUNT, "amount_operation_record", schemas.AMOUNT_OPERATION_TOPIC, jobs.DAY
     ),
+    "stream_user_game_ads_day": _chained(ads.USER_GAME_DAY, jobs.DAY),
+    "stream_user_game_ads_total": _chained(ads.USER_GAME_TOTAL, jobs.bucket("user_id", 16)),
+    "stream_multi_table": _stream_multi_table,
+    "stream_lookup_user_device": _stream_lookup,
+    "stream_user_reward_expiring": _stream_expiring,
     "stream_finance_increment": _stream_finance,
 }

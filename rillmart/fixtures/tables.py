@@ -290,6 +290,26 @@ AMOUNT_OPERATION_RECORD = Shape(
         "create_time": "ts",
         "update_time": "ts",
         "channel_id": "user_id % 5",
+        # columns of the source that the published topic leaves out
+        "user_phone": "'p' || CAST(user_id AS STRING)",
+        "user_email": _NONE_STR,
+        "nick_name": "'n' || CAST(user_id AS STRING)",
+        "receive_type": "event_type",
+        "reward_title": _NONE_STR,
+        **{
+            name: "CAST(value AS DECIMAL(19,4))"
+            for name in (
+                "flow_amount", "withdraw_balance", "deposit_balance", "bonus_balance",
+                "flow_balance", "deposit_flow_balance", "bonus_flow_balance",
+            )
+        },
+        "bonus_balance_expire_time": _NONE_TS,
+        "remark": "props",
+        "auditor": "'ops'",
+        "audit_remark": _NONE_STR,
+        "audit_time": "ts",
+        "import_id": "event_id % 9",
+        "show_flag": "CAST(event_id % 2 AS TINYINT)",
     },
 )
 

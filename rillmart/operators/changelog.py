@@ -55,6 +55,21 @@ def images_from_row_kinds(rows: DataFrame, kind: str = "row_status", pos: str =
     ).where("op IS NOT NULL")
 
 
+def paired(images: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Signed rows put back into change envelopes, one for each key and position.
+
+    Both sides make an update; a side that a filter took away turns it into a create
+    or a delete, and a row that changes its key is deleted there and created here.
+    Repeated deliveries of a change fall together.
+    """
+    row = F.struct(*(c for c in images.columns if c not in META))
+    sides = images.groupBy(*keys, "pos").agg(
+        F.max(F.when(F.col("sign") < 0, row)).alias("before"), F.max(F.when(F.col("sign") > 0, row)).alias("after")
+    )
+    op = F.when(F.col("before").isNull(), CREATE).when(F.col("after").isNull(), DELETE).otherwise(UPDATE)
+    return sides.select(op.alias("op"), "before", "after", "pos")
+
+
 def upserts(envelopes: DataFrame) -> DataFrame:
     """One row per change: the new row, or the last known row of a delete."""
     row = F.coalesce(F.col("after"), F.col("before")).alias("row")
@@ -93,9 +108,13 @@ def current_state(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     return newest.where(~gone).drop(*META)
 
 
-def as_snapshot(rows: DataFrame, pos: int = -1) -> DataFrame:
-    """Tag the rows of a table snapshot as reads that any later change overrides."""
-    return rows.select(F.lit(READ).alias("op"), F.lit(pos).cast("bigint").alias("pos"), *rows.columns)
+def as_snapshot(rows: DataFrame, pos: int | Column = -1) -> DataFrame:
+    """Tag the rows of a table snapshot as reads that any later change overrides.
+
+    ``pos`` is where the change feed stood when the rows were read.
+    """
+    number = F.lit(pos) if isinstance(pos, int) else pos
+    return rows.select(F.lit(READ).alias("op"), number.cast("bigint").alias("pos"), *rows.columns)
 
 
 def union_tables(tables: Sequence[DataFrame]) -> DataFrame:
@@ -106,3 +125,32 @@ def union_tables(tables: Sequence[DataFrame]) -> DataFrame:
 def replicate(snapshot: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Snapshot plus later changes, compacted to the live rows."""
     return current_state(union_tables([as_snapshot(snapshot), changes]), keys)
+
+
+CHUNK, READ_AT = "chunk", "read_at"
+
+
+def key_chunk(key: str, low: int, width: int) -> Column:
+    """Number of the key range a row falls in, ranges of ``width`` keys from ``low`` on."""
+    return F.floor((F.col(key) - low) / width).cast("bigint")
+
+
+def hand_over(
+    snapshot: DataFrame, read_at: DataFrame, changes: DataFrame, keys: Sequence[str], chunk: Column
+) -> DataFrame:
+    """Live rows of a snapshot read in chunks and of the changes that ran beside it.
+
+    ``read_at`` (``chunk``, ``read_at``) says at which position of the feed each chunk
+    was read.  A chunk holds everything up to its position: older changes of its keys
+    lose, also of keys it does not hold any more, and newer ones win.  Changes of keys
+    in no chunk are all taken.
+    """
+    at = read_at.select(F.col(CHUNK).alias("__chunk"), F.col(READ_AT).alias("__read_at"))
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("__chunk", chunk).join(at, "__chunk", "left").drop("__chunk")
+
+    read = placed(snapshot).select(*snapshot.columns, F.coalesce("__read_at", F.lit(-1)).alias("__read_at"))
+    reads = as_snapshot(read, F.col("__read_at")).drop("__read_at")
+    newer = placed(changes).where(F.col("__read_at").isNull() | (F.col("pos") > F.col("__read_at"))).drop("__read_at")
+    return current_state(union_tables([reads, newer]), keys)

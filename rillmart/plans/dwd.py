@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from rillmart import schemas
 from rillmart.functions.measures import REWARD_FILTER
-from rillmart.operators.changelog import latest
+from rillmart.operators.changelog import CREATE, latest, paired
 from rillmart.operators.conform import conform, enforce_not_null
+from rillmart.sources.envelopes import encode_changes
 
 
 def _stat_day(df: DataFrame) -> DataFrame:
@@ -94,3 +95,33 @@ CLEANERS = {
     "dwd_reward_record": ("reward_event", reward_record),
     "user_online_status_record": ("online_event", user_online),
 }
+
+
+# The cleaned tables published as change topics, with their columns; all are keyed by their id.
+TOPICS = {
+    "dwd_game_record": schemas.DWD_GAME_RECORD,
+    "dwd_recharge_order": schemas.DWD_RECHARGE_ORDER,
+    "dwd_withdraw_order": schemas.DWD_WITHDRAW_ORDER,
+    "dwd_amount_operation_record": schemas.DWD_AMOUNT_OPERATION_RECORD,
+    "dwd_user_proxy_statistic": schemas.DWD_USER_PROXY_STATISTIC,
+    "dwd_reward_record": schemas.DWD_REWARD_RECORD,
+}
+TOPIC_KEY = ["id"]
+
+
+def topic_messages(cleaned: DataFrame, *, style: str = "change") -> DataFrame:
+    """``key`` and ``value`` of the change topic of a cleaned table, from its signed cleaned rows.
+
+    A change whose row leaves the rule's filter is published as a delete, one whose
+    row enters it as a create.
+    """
+    return encode_changes(paired(cleaned, TOPIC_KEY), TOPIC_KEY, style=style)
+
+
+def event_messages(cleaned: DataFrame) -> DataFrame:
+    """Messages of cleaned events, which are only ever created."""
+    row = F.struct(*cleaned.columns)
+    made = cleaned.select(
+        F.lit(CREATE).alias("op"), F.when(F.lit(False), row).alias("before"), row.alias("after"), F.lit(0).cast("bigint").alias("pos")
+    )
+    return encode_changes(made, TOPIC_KEY)

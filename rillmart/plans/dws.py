@@ -258,3 +258,46 @@ def game_marts(cleaned: DataFrame) -> dict[str, DataFrame]:
 
     marts = (USER_GAME_DAY, USER_GAME_HOUR, CHANNEL_GAME_CATEGORY, CHANNEL_GAME_PROVIDER, CHANNEL_GAME)
     return {"base": base, **{mart.name: again(mart) for mart in marts}}
+
+
+# --- withdrawals and payments as a join kept up from changes ---------------------------
+
+MATCH = ("order_no", "statistic_time")
+
+
+def matched_order(orders: DataFrame) -> DataFrame:
+    """The order side of the join: what the finance mart reads of a cleaned withdrawal."""
+    return _picked(orders, (
+        "order_no", "statistic_time", "user_id", "channel_id", "apply_bank_id AS pay_category_id",
+        "withdrawal_mode_id AS pay_method_id", "order_status", "withdraw_funds_amount", "update_time AS order_update_time",
+    ))
+
+
+def matched_payment(payments: DataFrame) -> DataFrame:
+    """The payment side: attempts that ended, by order number and day."""
+    return _picked(payments.where("order_status IN ('COMPLETED', 'WITHDRAW_FAIL')"), (
+        "withdraw_order_no AS order_no", "CAST(update_time AS DATE) AS statistic_time",
+        "COALESCE(withdrawal_channel_id, 0) AS pay_channel_id", "COALESCE(pay_provider_id, 0) AS pay_provider_id",
+        "try_cast(amount AS DECIMAL(20,4)) AS payment_amount", "payment_order_no",
+    ))
+
+
+def _picked(rows: DataFrame, exprs: tuple[str, ...]) -> DataFrame:
+    """The expressions, behind the change columns of signed rows."""
+    return rows.selectExpr(*(c for c in ("op", "pos", "sign") if c in rows.columns), *exprs)
+
+
+#: The finance mart over matched pairs; the same rows as ``finance_increment``.
+FINANCE_PAIRS = Mart(
+    FINANCE_INCREMENT,
+    "matched",
+    by(*FINANCE_KEYS),
+    (
+        m.total("withdraw_amount", "payment_amount"),
+        m.total("success_withdraw_amount", f"IF({m.DONE}, withdraw_funds_amount, 0)"),
+        m.total("withdraw_success_order_count", f"IF({m.DONE}, 1, 0)", "bigint"),
+        m.Measure("create_time", "max", "order_update_time", "timestamp_ntz"),
+        m.Measure("update_time", "max", "order_update_time", "timestamp_ntz"),
+    ),
+    _FINANCE_DISTINCTS,
+)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,10 +51,46 @@ def decode_changes(
     return out.where(known)
 
 
+def decode_feed(
+    messages: DataFrame, tables: Mapping[str, str], *, value: str = "value", pos: str | None = None, metric: str | None = None
+) -> DataFrame:
+    """Changes of several tables that share one feed, each message parsed by its own table's columns.
+
+    ``tables`` maps the names in the feed to declared columns.  The result has
+    ``table``, ``op``, ``pos`` and one struct of ``before`` and ``after`` for each table,
+    NULL for the others; ``of_feed`` picks a table.  Messages of unknown tables and
+    unreadable ones are dropped and, with ``metric``, counted apart.
+    """
+    head = f"op string, ts_ms bigint, source struct<`table`: string, pos: bigint>, {CORRUPT} string"
+    position = [F.col(pos).alias("__pos")] if pos else []
+    out = messages.select(*position, F.col(value).alias("__value"), F.inline(F.array(_parsed(value, head))))
+    name = F.col("source.table")
+    known = F.coalesce(name.isin(list(tables)), F.lit(False))
+    readable = F.coalesce(F.col("op").isin(CREATE, UPDATE, DELETE, READ), F.lit(False))
+    if metric:
+        out = out.observe(
+            metric,
+            F.count_if(readable & ~known).alias("unknown_table"),
+            F.count_if(~readable).alias("unreadable"),
+        )
+    sides = []
+    for table, ddl in tables.items():
+        row = schemas.row_struct(ddl)
+        sides.append(F.when(name == table, _parsed("__value", f"before {row}, after {row}")).alias(table))
+    number = (F.col("__pos") if pos else F.coalesce("source.pos", "ts_ms")).cast("bigint").alias("pos")
+    return out.where(known & readable).select(name.alias("table"), "op", number, *sides)
+
+
+def of_feed(decoded: DataFrame, table: str) -> DataFrame:
+    """The change envelopes of one table of a decoded feed."""
+    rows = decoded.where(F.col("table") == table)
+    return rows.select("op", F.col(f"`{table}`.before").alias("before"), F.col(f"`{table}`.after").alias("after"), "pos", "table")
+
+
 def encode_changes(
-    envelopes: DataFrame, keys: Sequence[str], *, style: str = "change", time_style: str = "sql"
+    envelopes: DataFrame, keys: Sequence[str], *, style: str = "change", time_style: str = "sql", table: str | None = None
 ) -> DataFrame:
-    """``key`` and ``value`` of change messages.
+    """``key`` and ``value`` of change messages; ``table`` is named in them for feeds of several tables.
 
     ``style="change"`` writes one message per change; ``"pair"`` writes an update
     as a delete and a create.  Messages are keyed by the row key, so all changes
@@ -75,9 +111,8 @@ def encode_changes(
         raise ValueError(f"unknown change style: {style!r}")
     pattern = TIME_STYLES[time_style]
     key = F.to_json(F.struct(*(F.coalesce(f"after.{k}", f"before.{k}").alias(k) for k in keys)))
-    value = F.to_json(
-        F.struct("before", "after", "op", F.struct("pos").alias("source")), {"timestampNTZFormat": pattern}
-    )
+    source = F.struct("pos") if table is None else F.struct("pos", F.lit(table).alias("table"))
+    value = F.to_json(F.struct("before", "after", "op", source.alias("source")), {"timestampNTZFormat": pattern})
     return envelopes.select(key.alias("key"), value.alias("value"))
 
 

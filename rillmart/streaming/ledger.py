@@ -1,11 +1,13 @@
 """Signed ledgers: retractable partial aggregates of a mart.
 
 A ledger has one row per grouping key with signed sums of the measures, and one
-narrow row per grouping key and distinct-counted value with signed counts: rows
-that come add, rows that go subtract.  Sums commute, so batches may arrive in any
-order, and a value counts while its signed count is positive.  Each sum carries
-the signed number of its non-NULL inputs, because a group whose inputs were all
-retracted must return to NULL and not to 0.
+narrow row per grouping key and value that is counted distinct, or of which the
+least or greatest is wanted, with signed counts: rows that come add, rows that go
+subtract.  Sums commute, so batches may arrive in any order, and a value counts,
+or is the least or greatest, while its signed count is positive.  Each sum
+carries the signed number of its non-NULL inputs, because a group whose inputs
+were all retracted must return to NULL and not to 0.  A row may stand for several
+equal ones: its sign is then their number.
 """
 
 from __future__ import annotations
@@ -19,12 +21,14 @@ from rillmart.operators.mart import Mart
 from rillmart.streaming.log import PART, part_of
 
 ROWS = "__rows"
-SLOT = "__slot"  # 0: measures, i: the i-th distinct-counted value
+SLOT = "__slot"  # 0: measures, i: the i-th value kept with counts
+_EXTREMES = ("min", "max")
 
 
-def supports(mart: Mart) -> bool:
-    """Minimum and maximum cannot be subtracted; such marts are recomputed from rows."""
-    return all(m.kind in ("sum", "count") for m in mart.measures)
+def kept_values(mart: Mart) -> list[str]:
+    """Expressions whose values are kept with signed counts: counted distinct, least or greatest."""
+    extremes = [m.expr for m in mart.measures if m.kind in _EXTREMES]
+    return list(dict.fromkeys([*distinct_values(mart.distincts), *extremes]))
 
 
 def _value(slot: int) -> str:
@@ -47,6 +51,8 @@ def _sums(mart: Mart) -> dict[str, str]:
     """Every summed ledger column and its storage type."""
     out = {}
     for m in mart.measures:
+        if m.kind in _EXTREMES:
+            continue
         out[m.name] = "decimal(38,4)" if m.type.startswith("decimal") else "bigint"
         if m.kind == "sum":
             out[_present(m)] = "bigint"
@@ -65,13 +71,13 @@ def contributions(images: DataFrame, mart: Mart, part: str) -> DataFrame:
     exprs = {ROWS: "sign"}
     for m in mart.measures:
         if m.kind == "sum":
-            exprs[m.name] = f"IF(sign < 0, -({m.expr}), {m.expr})"
+            exprs[m.name] = f"({m.expr}) * sign"
             exprs[_present(m)] = _signed_count(f"({m.expr}) IS NOT NULL")
-        else:
+        elif m.kind == "count":
             exprs[m.name] = _signed_count(f"({m.expr}) IS NOT NULL")
     out = rows.groupBy(*key_columns(mart.keys)).agg(*(_add(e, n, kinds[n]) for n, e in exprs.items()))
     out = out.withColumn(SLOT, F.lit(0))
-    for slot, value in enumerate(distinct_values(mart.distincts), start=1):
+    for slot, value in enumerate(kept_values(mart), start=1):
         counts = {ROWS: "sign"} | {
             _flag(j): _signed_count(d.when)
             for j, d in enumerate(mart.distincts)
@@ -85,8 +91,8 @@ def contributions(images: DataFrame, mart: Mart, part: str) -> DataFrame:
 
 
 def combine(rows: DataFrame, mart: Mart) -> DataFrame:
-    """Add up ledger rows of the same key and value (used to fold old batches)."""
-    values = [_value(i) for i, _ in enumerate(distinct_values(mart.distincts), start=1)]
+    """Add up ledger rows of the same key and value (used to compact old batches)."""
+    values = [_value(i) for i, _ in enumerate(kept_values(mart), start=1)]
     sums = (_add(f"`{n}`", n, kind) for n, kind in _sums(mart).items())
     return rows.groupBy(PART, *mart.keys, SLOT, *values).agg(*sums)
 
@@ -98,12 +104,15 @@ def settle(rows: DataFrame, mart: Mart) -> DataFrame:
     for m in mart.measures:
         if m.kind == "sum":
             value = f"IF(sum(`{_present(m)}`) > 0, coalesce(sum(`{m.name}`), 0), NULL)"
+        elif m.kind in _EXTREMES:
+            continue
         else:
             value = f"greatest(sum(`{m.name}`), 0)"
         merged.append(F.expr(f"CAST({value} AS {m.type}) AS `{m.name}`"))
     measured = rows.where(F.col(SLOT) == 0).groupBy(whole_key)
     out = measured.agg(*merged, F.sum(ROWS).alias(ROWS)).where(f"{ROWS} > 0")
-    for slot, value in enumerate(distinct_values(mart.distincts), start=1):
+    for slot, value in enumerate(kept_values(mart), start=1):
+        extremes = [m for m in mart.measures if m.kind in _EXTREMES and m.expr == value]
         mine = [(j, d) for j, d in enumerate(mart.distincts) if d.value == value]
         counted = [ROWS, *(_flag(j) for j, d in mine if d.when)]
         seen = (
@@ -118,7 +127,11 @@ def settle(rows: DataFrame, mart: Mart) -> DataFrame:
                         f"AS {d.type}) AS `{d.name}`"
                     )
                     for j, d in mine
-                )
+                ),
+                *(
+                    F.expr(f"CAST({m.kind}(IF({ROWS} > 0, {_value(slot)}, NULL)) AS {m.type}) AS `{m.name}`")
+                    for m in extremes
+                ),
             )
         )
         out = out.join(seen, KEY)

@@ -1,14 +1,15 @@
-"""Append-only batch log and published tables on Parquet.
-
-The log keeps what each micro-batch contributed, by part (an event day, or a
-bucket of the key), by run and by batch number.  A run is the life of one
-checkpoint; its id is stored beside the checkpoint, so a new checkpoint, or a
-second stream into the same table, never meets the numbers of an old one.
-Writing a batch replaces exactly its own folders, so replaying it changes nothing.
-
-Folds and published parts are written as new versions; a pointer, one small file
-appended in one step, makes them visible.  Nothing that a reader may hold is
-rewritten in place.
+"""What micro-batches contributed, as plain Parquet folders.
+
+Rows lie by part (an event day, or a bucket of the key), by run and by batch.  A
+run is the life of one checkpoint, so a new checkpoint, or a second stream into
+the same table, adds folders of its own and meets no others.  Writing a batch
+replaces exactly its own folders, so replaying it changes nothing.  A table is
+what its rows add up to, whoever wrote them.
+
+``compact`` adds up the finished batches of a run in a folder of its own, named
+by the last of them; readers then pass over what it holds.  Nothing that a reader
+may have planned is rewritten.  Atomic publishing to readers outside is left to a
+table format.
 """
 
 from __future__ import annotations
@@ -17,13 +18,13 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-PART, RUN, BATCH, VERSION = "part", "run", "batch", "version"
-_FOLDERS = {PART: StringType(), RUN: StringType(), BATCH: LongType(), VERSION: LongType()}
+PART, RUN, BATCH, KIND = "part", "run", "batch", "kind"
+ADDED, WHOLE = "added", "whole"
+_FOLDERS = {PART: StringType(), RUN: StringType(), BATCH: LongType(), KIND: StringType()}
 
 
 class Batch(NamedTuple):
@@ -38,6 +39,11 @@ def batch(value: Batch | int) -> Batch:
     return value if isinstance(value, Batch) else Batch("main", int(value))
 
 
+def running(rows: DataFrame, number: int) -> Batch:
+    """The batch a stream is handing out: its run is the query id that the checkpoint keeps."""
+    return Batch(rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId"), number)
+
+
 def part_of(expr: str) -> Column:
     """Part of a row; rows without a day or key share one named part."""
     return F.coalesce(F.expr(expr).cast("string"), F.lit("none"))
@@ -48,249 +54,126 @@ def touched_parts(rows: DataFrame) -> list[str]:
     return [r[PART] for r in rows.select(PART).distinct().collect()]
 
 
-def _write(rows: DataFrame, path: str, *folders: str) -> None:
-    """Replace the folders present in ``rows``; hot folders are split, small ones merged."""
-    (
-        rows.hint("rebalance", *folders)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*folders)
-        .parquet(path)
-    )
-
-
-def _files(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    files, target = _files(spark, path)
-    return files.exists(target)
-
-
-def _folder(spark: SparkSession, path: str, **names: str) -> str:
-    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    return "/".join([path, *(f"{k}={escape(str(v))}" for k, v in names.items())])
-
-
-def _delete(spark: SparkSession, pattern: str, chosen: Callable[[str], bool]) -> int:
-    """Delete the folders of a glob whose last name's value is chosen; returns how many."""
-    files, target = _files(spark, pattern)
-    paths = [f.getPath() for f in files.globStatus(target) or []]
-    return sum(bool(files.delete(p, True)) for p in paths if chosen(p.getName().split("=", 1)[1]))
-
-
-def _read(spark: SparkSession, path: str, folders: Sequence[str], only: Sequence[str] | None) -> DataFrame | None:
-    """Rows below ``path``, folder names read as declared; only the named folders are listed.
-
-    None if nothing was ever written; no rows, with the schema, if the named folders hold none.
-    """
-    if not exists(spark, path):
-        return None
-    if only is not None:
-        only = [p for p in only if exists(spark, p)]
-        if not only:
-            rows = _read(spark, path, folders, None)
-            return None if rows is None else rows.where(F.lit(False))
-    chosen = only or [path]
-    try:
-        data = spark.read.option("basePath", path).parquet(*chosen).schema
-    except AnalysisException as error:
-        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # the folders hold no files, after a prune
-            return None
-        raise
-    schema = StructType([f for f in data if f.name not in folders] + [StructField(n, _FOLDERS[n]) for n in folders])
-    return spark.read.schema(schema).option("basePath", path).parquet(*chosen)
-
-
-@dataclass(frozen=True)
-class Pointer:
-    """Newest version of each part, and what went into it."""
-
-    spark: SparkSession
+class Folder(NamedTuple):
+    part: str
+    run: str
+    batch: int
+    kind: str
     path: str
-    columns: str  # beside part and version
-
-    def newest(self, parts: Sequence[str] | None = None) -> DataFrame:
-        schema = f"{PART} string, {VERSION} bigint{self.columns}"
-        if not exists(self.spark, self.path):
-            return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(schema).parquet(self.path)
-        if parts is not None:
-            rows = rows.where(F.col(PART).isin(list(parts)))
-        last = rows.groupBy(F.col(PART).alias("__part")).agg(F.max(VERSION).alias("__last"))
-        return rows.join(last, (rows[PART] == last["__part"]) & (rows[VERSION] == last["__last"])).drop("__part", "__last")
-
-    def next(self) -> int:
-        return (self.newest().agg(F.max(VERSION)).first()[0] or 0) + 1
-
-    def move(self, rows: DataFrame) -> None:
-        """One file, so that all parts move together."""
-        rows.coalesce(1).write.mode("append").parquet(self.path)
 
 
 @dataclass(frozen=True)
 class BatchLog:
-    """``combine`` folds rows of the same identity; it must be safe to apply repeatedly."""
+    """``combine`` adds up rows of the same identity; it must be safe to apply repeatedly."""
 
     spark: SparkSession
     path: str
     combine: Callable[[DataFrame], DataFrame]
 
-    @property
-    def _deltas(self) -> str:
-        return f"{self.path}/deltas"
-
-    @property
-    def _folded(self) -> str:
-        return f"{self.path}/folded"
-
-    @property
-    def _pointer(self) -> Pointer:
-        # per part and run, the last batch that the version holds
-        return Pointer(self.spark, f"{self.path}/folds", ", run string, last bigint")
+    def _folders(self, parts: Sequence[str] | None) -> list[Folder]:
+        """All folders of the given parts; only those are listed."""
+        names = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        files = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = []
+        for part in ["*"] if parts is None else [names.escapePathName(str(p)) for p in parts]:
+            pattern = f"{self.path}/{PART}={part}/{RUN}=*/{BATCH}=*/{KIND}=*"
+            for status in files.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(pattern)) or []:
+                path = status.getPath().toString()
+                values = [names.unescapePathName(x.split("=", 1)[1]) for x in path.split("/")[-4:]]
+                found.append(Folder(values[0], values[1], int(values[2]), values[3], path))
+        return found
+
+    @staticmethod
+    def _live(folders: Sequence[Folder]) -> list[Folder]:
+        """Of each part and run the newest compacted folder, and the batches after it."""
+        held: dict[tuple[str, str], int] = {}
+        for f in folders:
+            if f.kind == WHOLE:
+                held[f.part, f.run] = max(f.batch, held.get((f.part, f.run), -1))
+        last = lambda f: held.get((f.part, f.run), -1)
+        return [f for f in folders if (f.batch == last(f) if f.kind == WHOLE else f.batch > last(f))]
+
+    def _read(self, folders: Sequence[Folder]) -> DataFrame | None:
+        if not folders:
+            return None
+        # folder names are read back as declared, so part names may look like numbers or dates
+        data = self.spark.read.parquet(folders[0].path).schema
+        fields = [f for f in data if f.name not in _FOLDERS] + [StructField(n, t) for n, t in _FOLDERS.items()]
+        rows = self.spark.read.schema(StructType(fields)).option("basePath", self.path)
+        return rows.parquet(*(f.path for f in folders)).drop(RUN, BATCH, KIND)
+
+    def _write(self, rows: DataFrame, name: Batch, kind: str) -> None:
+        """Replace the named folders of the parts in ``rows``; hot parts are split, small ones merged."""
+        named = rows.withColumns({RUN: F.lit(name.run), BATCH: F.lit(name.number).cast("bigint"), KIND: F.lit(kind)})
+        (
+            named.hint("rebalance", PART)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*_FOLDERS)
+            .parquet(self.path)
+        )
 
     def is_empty(self) -> bool:
         """Whether nothing was ever logged."""
-        return not exists(self.spark, self._deltas) and not exists(self.spark, self._folded)
+        return not self._folders(None)
 
     def append(self, rows: DataFrame, batch_id: Batch | int) -> None:
-        run, number = batch(batch_id)
-        named = rows.withColumns({RUN: F.lit(run), BATCH: F.lit(number).cast("bigint")})
-        _write(named, self._deltas, PART, RUN, BATCH)
+        self._write(rows, batch(batch_id), ADDED)
 
     def read(self, parts: Sequence[str] | None = None) -> DataFrame:
         """Combined rows of the given parts (all parts by default)."""
         return self.combine(self.entries(parts))
 
     def entries(self, parts: Sequence[str] | None = None) -> DataFrame:
-        """Rows as logged or folded, for readers that combine them anyway."""
-        rows = self._rows(parts)
+        """Rows as logged or compacted, for readers that combine them anyway."""
+        rows = self._read(self._live(self._folders(parts)))
         if rows is None:
             raise ValueError(f"nothing logged under {self.path}")
-        return rows.drop(RUN, BATCH, VERSION)
+        return rows
 
     def before(self, batch_id: Batch | int, parts: Sequence[str]) -> DataFrame | None:
         """Entries of the parts but those of one batch (None if there are none), for a batch that may be a replay."""
-        rows = self._rows(parts)
-        if rows is None:
-            return None
         run, number = batch(batch_id)
-        own = (F.col(RUN) == run) & (F.col(BATCH) == number)
-        return rows.where(F.col(RUN).isNull() | ~own).drop(RUN, BATCH, VERSION)
+        return self._read([f for f in self._live(self._folders(parts)) if (f.run, f.batch, f.kind) != (run, number, ADDED)])
 
-    def fold(self, parts: Sequence[str] | None = None) -> None:
-        """Collapse all batches of each part into one new version.
+    def of(self, batch_id: Batch | int, parts: Sequence[str]) -> DataFrame | None:
+        """What one batch has logged in the parts."""
+        run, number = batch(batch_id)
+        return self._read([f for f in self._folders(parts) if (f.run, f.batch, f.kind) == (run, number, ADDED)])
 
-        The batches of a run come in order, so a version names, for each run, the
-        last batch it holds; later batches and other runs are read beside it.
+    def compact(self, batch_id: Batch | int, parts: Sequence[str] | None = None, *, least: int = 2) -> list[str]:
+        """Add up a run's batches, to the given one, in parts with ``least`` folders or more; returns these parts.
+
+        The given batch must be finished: it is never replayed.  Doing it again changes nothing.
         """
-        rows = self._rows(parts)
-        if rows is None:
-            return
-        version = self._pointer.next()
-        named = self.combine(rows.drop(RUN, BATCH, VERSION)).withColumn(VERSION, F.lit(version).cast("bigint"))
-        held = rows.where(F.col(RUN).isNotNull()).groupBy(PART, RUN).agg(F.max(BATCH).alias("last"))
-        before = self._pointer.newest(parts).select(PART, RUN, "last")
-        held = held.unionByName(before).groupBy(PART, RUN).agg(F.max("last").alias("last"))
-        # taken before the rows are written, so that a batch added meanwhile is not named
-        held = self.spark.createDataFrame(held.collect(), f"{PART} string, {RUN} string, last bigint")
-        _write(named, self._folded, PART, VERSION)
-        self._pointer.move(held.select(PART, F.lit(version).cast("bigint").alias(VERSION), RUN, "last"))
+        name = batch(batch_id)
+        mine = [f for f in self._live(self._folders(parts)) if f.run == name.run and f.batch <= name.number]
+        full = {p for p in {f.part for f in mine} if sum(f.part == p for f in mine) >= max(2, least)}
+        if full:
+            rows = self._read([f for f in mine if f.part in full])
+            self._write(self.combine(rows), name, WHOLE)
+        return sorted(full)
+
+    def tidy(self, batch_id: Batch | int, parts: Sequence[str], *, least: int) -> None:
+        """``compact`` what lies before a batch that is about to run."""
+        run, number = batch(batch_id)
+        if number > 0:
+            self.compact(Batch(run, number - 1), parts, least=least)
 
     def prune(self) -> int:
-        """Delete batch and version folders that a newer version has replaced; returns how many.
+        """Delete the folders that compacted ones have replaced; returns how many.
 
-        Run it when no reader still works on a plan made before the fold.
+        Run it when no reader still works on a plan made before the compaction.
         """
-        removed, done = 0, set()
-        for row in self._pointer.newest().collect():  # one row a part and run
-            runs = _folder(self.spark, self._deltas, part=row[PART], run=row[RUN])
-            removed += _delete(self.spark, f"{runs}/{BATCH}=*", lambda n, last=row["last"]: int(n) <= last)
-            if row[PART] not in done:
-                done.add(row[PART])
-                folds = _folder(self.spark, self._folded, part=row[PART])
-                removed += _delete(self.spark, f"{folds}/{VERSION}=*", lambda n, v=row[VERSION]: int(n) < v)
-        return removed
+        folders = self._folders(None)
+        return self._delete(set(folders) - set(self._live(folders)))
 
     def expire(self, parts: Sequence[str]) -> int:
-        """Forget the given parts; later changes to them start from nothing, like expired state.
+        """Forget the given parts; later changes to them start from nothing, like expired state."""
+        return self._delete(self._folders(parts))
 
-        A table published from them keeps its rows until the next change of the part.
-        """
-        gone = 0
-        for part in parts:
-            for path, names in ((self._deltas, f"{RUN}=*/{BATCH}=*"), (self._folded, f"{VERSION}=*")):
-                gone += _delete(self.spark, f"{_folder(self.spark, path, part=part)}/{names}", lambda n: True)
-        return gone
-
-    def _rows(self, parts: Sequence[str] | None) -> DataFrame | None:
-        only = lambda path: None if parts is None else [_folder(self.spark, path, part=p) for p in parts]
-        rows = _read(self.spark, self._deltas, (PART, RUN, BATCH), only(self._deltas))
-        folded = _read(self.spark, self._folded, (PART, VERSION), only(self._folded))
-        newest = self._pointer.newest(parts)
-        if folded is not None:
-            folded = folded.join(newest.select(PART, VERSION).distinct(), [PART, VERSION])
-        if rows is not None:
-            rows = rows.join(newest.select(PART, RUN, "last"), [PART, RUN], "left")
-            rows = rows.where(F.col("last").isNull() | (F.col(BATCH) > F.col("last"))).drop("last")
-        if rows is None or folded is None:
-            found = folded if rows is None else rows
-            if found is None:
-                return None
-            missing = {n: F.lit(None).cast(k) for n, k in _FOLDERS.items() if n not in found.columns}
-            return found.withColumns(missing)
-        return folded.unionByName(rows, allowMissingColumns=True)
-
-
-def _table_pointer(spark: SparkSession, path: str) -> Pointer:
-    return Pointer(spark, f"{path}/pointer", "")
-
-
-def publish(rows: DataFrame, parts: DataFrame, path: str) -> None:
-    """Replace the given parts of a published table: write a new version, then move the pointer.
-
-    A reader sees all parts before or after the move.  A part that lost its last
-    row points to a version without rows.
-    """
-    spark = rows.sparkSession
-    pointer = _table_pointer(spark, path)
-    version = F.lit(pointer.next()).cast("bigint").alias(VERSION)
-    _write(rows.withColumn(VERSION, version), f"{path}/data", PART, VERSION)
-    pointer.move(parts.select(PART).distinct().select(PART, version))
-
-
-def published(spark: SparkSession, path: str, parts: Sequence[str] | None = None) -> DataFrame:
-    """Rows of a published table with their ``part``."""
-    data = f"{path}/data"
-    newest = _table_pointer(spark, path).newest(parts)
-    only = None
-    if parts is not None:
-        only = [_folder(spark, data, part=r[PART], version=r[VERSION]) for r in newest.collect()]
-    rows = _read(spark, data, (PART, VERSION), only)
-    return rows.join(newest, [PART, VERSION]).drop(VERSION)
-
-
-def prune_published(spark: SparkSession, path: str) -> int:
-    """Delete versions that the pointer has left; returns how many folders went."""
-    removed = 0
-    for row in _table_pointer(spark, path).newest().collect():
-        folder = _folder(spark, f"{path}/data", part=row[PART])
-        removed += _delete(spark, f"{folder}/{VERSION}=*", lambda n, v=row[VERSION]: int(n) < v)
-    return removed
-
-
-def run_of(spark: SparkSession, checkpoint: str) -> str:
-    """Id of the run that a checkpoint stands for, kept in a file beside it."""
-    import uuid
-
-    files, target = _files(spark, f"{checkpoint.rstrip('/')}.run")
-    if files.exists(target):
-        found = spark.read.text(target.toString()).first()
-        return found[0]
-    name = uuid.uuid4().hex
-    out = files.create(target, False)
-    out.writeBytes(name)
-    out.close()
-    return name
+    def _delete(self, folders) -> int:
+        made = lambda f: self.spark._jvm.org.apache.hadoop.fs.Path(f.path)
+        conf = self.spark._jsc.hadoopConfiguration()
+        return sum(bool(made(f).getFileSystem(conf).delete(made(f), True)) for f in folders)

@@ -249,3 +249,54 @@ def test_keyed_writer_buffers_deletes_and_retries(spark, tmp_path, fail_first):
     written = sorted((s, v) for b in batches for s, v in b)
     assert [v for s, v in written if s == "DELETE"] == [[0], [5], [10], [15]]
     assert len([v for s, v in written if s == "INSERT"]) == 16
+
+
+def test_pairs_go_back_to_changes(spark):
+    """Filters and key changes turn updates into creates and deletes; repeats fall together."""
+    rows = [
+        ("c", 1, 1, 1, "a"), ("c", 1, 1, 1, "a"),
+        ("u", 2, -1, 1, "a"), ("u", 2, 1, 1, "b"),
+        ("u", 3, -1, 1, "b"),  # left the filter
+        ("u", 4, 1, 1, "c"),  # came back
+        ("u", 5, -1, 1, "c"), ("u", 5, 1, 9, "c"),  # took another key
+        ("d", 6, -1, 9, "c"),
+    ]
+    made = changelog.paired(spark.createDataFrame(rows, "op string, pos bigint, sign int, id int, v string"), ["id"])
+    got = sorted((r.pos, r.op, r.before and tuple(r.before), r.after and tuple(r.after)) for r in made.collect())
+    assert got == [
+        (1, "c", None, (1, "a")), (2, "u", (1, "a"), (1, "b")), (3, "d", (1, "b"), None), (4, "c", None, (1, "c")),
+        (5, "c", None, (9, "c")), (5, "d", (1, "c"), None), (6, "d", (9, "c"), None),
+    ]
+
+
+def test_chunks_hand_over_by_position(spark):
+    snapshot = spark.createDataFrame([(1, "read"), (2, "read"), (11, "read"), (21, "read")], "id int, v string")
+    read_at = spark.createDataFrame([(0, 5), (1, 3)], "chunk bigint, read_at bigint")
+    changes = spark.createDataFrame(
+        [
+            ("u", 4, 1, "old"), ("u", 5, 2, "same"), ("u", 6, 2, "new"),  # chunk 0 was read at 5
+            ("c", 2, 3, "gone before the read"), ("u", 6, 4, "came after"),
+            ("d", 4, 11, "read"),  # chunk 1 was read at 3
+            ("u", 0, 21, "kept"), ("c", 0, 22, "no chunk"),  # chunk 2 was never read in chunks
+        ],
+        "op string, pos bigint, id int, v string",
+    )
+    live = changelog.hand_over(snapshot, read_at, changes, ["id"], changelog.key_chunk("id", 0, 10))
+    assert {r.id: r.v for r in live.collect()} == {1: "read", 2: "new", 4: "came after", 21: "kept", 22: "no chunk"}
+
+
+def test_one_feed_of_many_tables(spark):
+    tables = {"a": "id bigint, x string", "b": "id bigint, y decimal(10,2)"}
+    make = lambda name, ddl, *values: env.encode_changes(
+        spark.createDataFrame([("c", None, v, k) for k, v in enumerate(values)], f"op string, before struct<{ddl}>, after struct<{ddl}>, pos bigint"),
+        ["id"], table=name,
+    ).select("value")
+    feed = make("a", "id: bigint, x: string", (1, "p"), (2, None)).union(make("b", "id: bigint, y: decimal(10,2)", (1, D("2.50"))))
+    feed = feed.union(make("c", "id: bigint, z: int", (1, 1))).union(spark.createDataFrame([("{broken",), (None,)], "value string"))
+    from pyspark.sql import Observation
+
+    seen = Observation("feed")
+    decoded = env.decode_feed(feed, tables, metric=seen)
+    got = {name: sorted((r.op, r.pos, tuple(r.after)) for r in env.of_feed(decoded, name).collect()) for name in tables}
+    assert got == {"a": [("c", 0, (1, "p")), ("c", 1, (2, None))], "b": [("c", 0, (1, D("2.50")))]}
+    assert seen.get == {"unknown_table": 1, "unreadable": 2}
