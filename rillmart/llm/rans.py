@@ -9,7 +9,6 @@ checksums of their bytes and of their tokens.
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from functools import lru_cache
@@ -20,7 +19,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillmart.llm.common import U64, shared_folder, staged, strings, text_slices
+from rillmart.llm.common import U64, shared_folder, text_slices
+from rillmart.llm.phrase_automata import word_hashes
 
 SCALE_BITS = 20  # frequencies add up to 2 ** SCALE_BITS
 LOW = 1 << 31  # smallest state
@@ -140,19 +140,57 @@ class Block:
         return out
 
 
-_CUT = re.compile(r" (?=\S)")
-#: A word with marks after it, perhaps a line's end and a further word; the byte-level pattern cuts between these.
-_SIMPLE = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,*$%&#]+)?(?:(\n)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,*$%&#]+)?)?")
 _BREAK = "<|endoftext|>"
 SLICE = 2 << 20
-KNOWN = 200_000  # chunks remembered by a worker; forgotten all at once beyond, never skipped
+KNOWN = 2_000_000  # chunks remembered by a worker; forgotten all at once beyond, never skipped
+KNOWN_BYTES = 64 << 20  # and bytes of them
+
+#: Bytes that begin a character which is surely not white space; a space before one is a place to cut.
+_OPENS = np.ones(256, dtype=bool)
+_OPENS[[*range(9, 14), *range(28, 33), 0xC2, 0xE1, 0xE2, 0xE3]] = False
+
+
+def _flat(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Places of the spans ``begin`` to ``begin + size``, one after another."""
+    done = np.cumsum(size)
+    return np.repeat(begin - done + size, size) + np.arange(int(done[-1]) if len(done) else 0)
+
+
+class Memory:
+    """Encodings of chunks in flat arrays: hashes in order, and for each the chunk's bytes and its ids."""
+
+    def __init__(self, kind: str):
+        self.keys = np.zeros(0, dtype=U64)
+        self.row = np.zeros(0, dtype=np.int64)
+        self.begin, self.size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.at, self.count = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.bytes, self.ids = np.zeros(0, dtype=np.uint8), np.zeros(0, dtype=kind)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Row of each key, -1 where it is new; ``keys`` are distinct and in order."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.row[at], -1)
+
+    def add(self, keys: np.ndarray, chunks: list[bytes], ids: list[np.ndarray]) -> None:
+        place, new = np.searchsorted(self.keys, keys), len(self.size) + np.arange(len(keys))
+        self.keys, self.row = np.insert(self.keys, place, keys), np.insert(self.row, place, new)
+        size, count = np.array([len(c) for c in chunks]), np.array([len(i) for i in ids])
+        self.begin = np.concatenate([self.begin, len(self.bytes) + np.cumsum(size) - size])
+        self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(count) - count])
+        self.size, self.count = np.concatenate([self.size, size]), np.concatenate([self.count, count])
+        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(chunks), dtype=np.uint8)])
+        self.ids = np.concatenate([self.ids, *ids]).astype(self.ids.dtype)
 
 
 class Tokens:
     """The tokenizers library with a memory of chunks.
 
-    A chunk is a space with what follows up to the next space that a letter,
-    digit or sign follows; the byte-level pattern always cuts there.
+    A chunk is a space with what follows up to the next space before a character
+    that is not white; the byte-level pattern always cuts there.  Chunks are found
+    and hashed for a whole slice of texts at once, the library encodes new ones
+    only, and the bytes of every chunk are compared with those remembered.
     """
 
     def __init__(self, path: str):
@@ -164,56 +202,88 @@ class Tokens:
         self.size = self.library.get_vocab_size()
         self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
         self.break_id = self.library.token_to_id(_BREAK)
-        self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.known = Memory(self.kind)
 
-    def _library(self, parts: list[str]) -> None:
-        """Encode distinct parts in one call; the special token between them keeps them apart."""
-        plain = [x for x in parts if self.break_id is not None and _BREAK not in x]
+    def _library(self, chunks: list[bytes]) -> list[np.ndarray]:
+        """Encode distinct chunks in one call; the special token between them keeps them apart."""
+        texts = [c.decode() for c in chunks]
+        out: list = [None] * len(texts)
+        plain = [k for k, x in enumerate(texts) if self.break_id is not None and _BREAK not in x]
         if plain:
-            ids = self.library.encode_batch_fast([_BREAK.join(plain)], add_special_tokens=False)[0].ids
-            ids = np.array(ids, dtype="<u4")
+            joined = _BREAK.join([texts[k] for k in plain])
+            ids = np.array(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=np.uint32)
             cuts = np.flatnonzero(ids == self.break_id)
-            raw, at = ids.tobytes(), 0
-            for x, end in zip(plain, (4 * cuts).tolist() + [len(raw)]):
-                self.parts[x] = raw[at:end]
-                at = end + 4
-        for x in parts:
-            if x not in self.parts:
-                ids = self.library.encode(x, add_special_tokens=False).ids
-                self.parts[x] = np.array(ids, dtype="<u4").tobytes()
+            for k, a, b in zip(plain, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]):
+                out[k] = ids[a:b]
+        for k, x in enumerate(texts):
+            if out[k] is None:
+                out[k] = np.array(self.library.encode(x, add_special_tokens=False).ids, dtype=np.uint32)
+        return out
+
+    def _group(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of neighbouring chunks, and how many each has."""
+        raw = buf[start[0] : end[-1]].tobytes()
+        begin, size = start - start[0], end - start
+        chunk = lambda k: raw[begin[k] : begin[k] + size[k]]
+        keys, first, back = np.unique(word_hashes(buf, start, end), return_index=True, return_inverse=True)
+        known = self.known
+        if len(known.keys) > KNOWN or len(known.bytes) > KNOWN_BYTES:
+            known = self.known = Memory(self.kind)
+        rows = known.find(keys)
+        new = np.flatnonzero(rows < 0)
+        if len(new):
+            chunks = [chunk(k) for k in first[new].tolist()]
+            known.add(keys[new], chunks, self._library(chunks))
+            rows = known.find(keys)
+        rows = rows[back]
+        same = known.size[rows] == size
+        if same.all():
+            told = known.bytes[_flat(known.begin[rows], size)] == np.frombuffer(raw, dtype=np.uint8)
+            same = np.logical_and.reduceat(told, begin)
+        else:
+            same = np.array([known.bytes[known.begin[r] : known.begin[r] + known.size[r]].tobytes() == chunk(k) for k, r in enumerate(rows.tolist())])
+        count = known.count[rows]
+        if same.all():
+            return known.ids[_flat(known.at[rows], count)], count
+        # equal hashes of different chunks: these are encoded one by one
+        parts = [
+            known.ids[known.at[r] : known.at[r] + known.count[r]] if fits else self._library([chunk(k)])[0].astype(self.kind)
+            for k, (r, fits) in enumerate(zip(rows.tolist(), same.tolist()))
+        ]
+        return np.concatenate(parts), np.array([len(p) for p in parts])
+
+    def encode_rows(self, column: pa.Array, end: int) -> pa.Array:
+        """Ids of each text with ``end`` after them, in the smallest kind of number that holds the vocabulary."""
+        column = pc.fill_null(column, "").cast(pa.large_binary())
+        _, offsets, data = column.buffers()
+        at = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+        buf = np.frombuffer(data or b"", dtype=np.uint8)[at[0] : at[-1]]
+        at = at - at[0]
+        cut = np.zeros(len(buf) + 1, dtype=bool)
+        if len(buf):
+            cut[: len(buf) - 1] = (buf[:-1] == 32) & _OPENS[buf[1:]]
+            cut[at[1:] - 1] = False  # what follows is another text
+        cut[at[:-1]] = True
+        start = np.flatnonzero(cut[:-1])
+        stop = np.append(start[1:], len(buf))[: len(start)]
+        bounds = np.flatnonzero(np.diff(start // SLICE)) + 1 if len(start) else []
+        parts, counts = [np.zeros(0, dtype=self.kind)], [np.zeros(0, dtype=np.int64)]
+        for a, b in zip([0, *bounds], [*bounds, len(start)]) if len(start) else ():
+            ids, count = self._group(buf, start[a:b], stop[a:b])
+            parts.append(ids)
+            counts.append(count)
+        before = np.append(0, np.cumsum(np.concatenate(counts)))
+        # ids before each text, and one end for each text before
+        whole = before[np.searchsorted(start, at)]
+        ids = np.insert(np.concatenate(parts), whole[1:], end)
+        offsets = (whole + np.arange(len(whole))) * np.dtype(self.kind).itemsize
+        places = pa.py_buffer(offsets.astype(np.int64).tobytes())
+        return pa.Array.from_buffers(pa.large_binary(), len(column), [None, places, pa.py_buffer(ids.astype(self.kind).tobytes())]).cast(pa.binary())
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
-        known, parts = self.known, self.parts
-        if len(known) > KNOWN:
-            known.clear()
-            parts.clear()
-        split = [_CUT.split(text) for text in texts]
-        found = [list(map(known.get, chunks)) for chunks in split]
-        new = set()
-        for chunks, codes in zip(split, found):
-            if None in codes:
-                new.update([x for x, code in zip(chunks, codes) if code is None])
-            new.add(" " + chunks[0])  # the first chunk has no space before it
-        pieces = {}
-        for x in new:
-            if x[:1] == " ":
-                pieces[x] = (x[1:],) if x[1:] else ()
-            else:
-                simple = _SIMPLE.fullmatch(" " + x)
-                pieces[x] = tuple(p for p in simple.groups() if p) if simple else (" " + x,)
-        self._library([p for p in {p for ps in pieces.values() for p in ps} if p not in parts])
-        for x, ps in pieces.items():
-            known[x] = b"".join([parts[p] for p in ps])
-        last = np.array([end], dtype="<u4").tobytes()
-        out = []
-        for chunks, codes in zip(split, found):
-            if None in codes:
-                codes = list(map(known.__getitem__, chunks))
-            codes[0] = known[" " + chunks[0]]
-            codes.append(last)
-            out.append(b"".join(codes))
-        return out
+        """``encode_rows`` of plain texts, as unsigned 32-bit numbers."""
+        found = self.encode_rows(pa.array(texts, pa.string()), end).to_pylist()
+        return [np.frombuffer(x, dtype=self.kind).astype("<u4").tobytes() for x in found]
 
 
 @lru_cache(maxsize=1)
@@ -225,11 +295,11 @@ def _tokenise(vocabulary: str, end: int, bounds: np.ndarray):
     def run(batches):
         coder = tokenizer(vocabulary)
         for rows in text_slices(batches, limit=SLICE):
-            ids = [np.frombuffer(x, dtype="<u4").astype(coder.kind).tobytes() for x in coder.encode(strings(rows), end)]
+            ids = coder.encode_rows(rows.column("text"), end)
             keys = np.asarray(pc.fill_null(rows.column("doc_id"), -(1 << 63)))
             part = np.searchsorted(bounds, keys, side="left").astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part), rows.column("doc_id"), pa.array(ids, pa.binary())], ["part", "doc_id", "ids"]
+                [pa.array(part), rows.column("doc_id"), ids], ["part", "doc_id", "ids"]
             )
 
     return run
@@ -302,13 +372,13 @@ def _write(counts, kind: str):
     return run
 
 
-def write_tokens(docs: DataFrame, path: str, vocabulary: str, *, end: int = 0) -> np.ndarray:
+def write_tokens(docs: DataFrame, path: str, vocabulary: str, *, end: int = 0) -> None:
     """Write all documents' ids, ``end`` after each, to ``path`` in ascending doc_id order.
 
     Folders ``part=k`` are ranges of ids in order; their files hold blocks as
     rows (``begin``, ``n_tokens``, ``block``), so that Spark's committer and any
-    of its file systems serve them.  Returns the counts by token, which
-    ``read_tokens`` needs.  Null ids come first, rows with the same id in the
+    of its file systems serve them.  The counts by token lie beside them, so that
+    the files can be read alone.  Null ids come first, rows with the same id in the
     order of their ids.  A null text is empty and has the end id only.
     """
     spark = docs.sparkSession
@@ -319,27 +389,36 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, *, end: int = 0) -
     bounds = np.unique(np.array(cuts or [0], dtype=np.int64))
     dealt = rows.mapInArrow(_tokenise(vocabulary, end, bounds), "part int, doc_id long, ids binary")
     dealt = dealt.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions("part", "doc_id", "ids")
-    placed = staged(dealt.mapInArrow(_place(kind), "part int, doc_id long, ids binary, begin long"), "tokens")
+    # written once, closely packed, for the count and for the blocks
+    raw = shared_folder(spark, "tokens")
+    schema = "part int, doc_id long, ids binary, begin long"
+    dealt.mapInArrow(_place(kind), schema).write.option("compression", "zstd").parquet(raw)
+    placed = spark.read.schema(schema).parquet(raw)
     found = placed.select("ids").mapInArrow(_count(kind, size), "token long, n long")
-    found = found.groupBy("token").agg(F.sum("n").alias("n")).collect()  # at most one row a token
-    counts = np.zeros(size, dtype=np.int64)
-    for row in found:
-        counts[row.token] = row.n
-    shared = spark.sparkContext.broadcast(counts)
+    found.groupBy("token").agg(F.sum("n").alias("n")).coalesce(1).write.parquet(f"{path}/table")
+    shared = spark.sparkContext.broadcast(_counts(spark, path, size))
     blocks = placed.mapInArrow(_write(shared, kind), "part int, begin long, n_tokens long, block binary")
-    blocks.write.option("compression", "none").partitionBy("part").parquet(path)
+    blocks.write.option("compression", "none").partitionBy("part").parquet(f"{path}/blocks")
+
+
+def _counts(spark, path: str, size: int = 0) -> np.ndarray:
+    """Counts by token, as stored beside the blocks: at most one row a token."""
+    rows = spark.read.schema("token long, n long").parquet(f"{path}/table").collect()
+    counts = np.zeros(max([size, *(r.token + 1 for r in rows)]), dtype=np.int64)
+    for row in rows:
+        counts[row.token] = row.n
     return counts
 
 
-def read_tokens(spark, path: str, counts: np.ndarray) -> DataFrame:
+def read_tokens(spark, path: str) -> DataFrame:
     """``doc_id``, ``start`` (ids of all documents before), and ``ids`` of the documents in the files at ``path``."""
-    blocks = spark.read.schema("begin long, n_tokens long, block binary, part int").parquet(path)
+    blocks = spark.read.schema("begin long, n_tokens long, block binary, part int").parquet(f"{path}/blocks")
     sizes = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()  # one row a file
     before, total = {}, 0
     for row in sorted(sizes, key=lambda r: r.part):
         before[row.part] = total
         total += row.n
-    shared = spark.sparkContext.broadcast((counts, before))
+    shared = spark.sparkContext.broadcast((_counts(spark, path), before))
 
     def run(batches):
         tokenizer.cache_clear()
@@ -367,4 +446,5 @@ def round_trip(docs: DataFrame, vocabulary: str, *, end: int = 0) -> DataFrame:
     doc_id each has its own ``start``.
     """
     path = shared_folder(docs.sparkSession, "tokens")
-    return read_tokens(docs.sparkSession, path, write_tokens(docs, path, vocabulary, end=end))
+    write_tokens(docs, path, vocabulary, end=end)
+    return read_tokens(docs.sparkSession, path)

@@ -51,6 +51,28 @@ def test_memory_limit_changes_nothing(word_bpe, byte_bpe, monkeypatch):
     assert whole == ([a.encode([t])[0] for t in texts], [b.encode([t], 0)[0] for t in texts])
 
 
+def test_chunks_equal_library_on_white_space_and_collisions(byte_bpe, monkeypatch):
+    rng, library = random.Random(2), Tokenizer.from_file(byte_bpe)
+    parts = [" ", "  ", "\n", " \n", "\t", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u3000", "word", "Été", "it's", "12", "…", "“", "日本", "𝔘", "<|endoftext|>", "."]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.choice([0, 1, 3, 12]))) for _ in range(400)]
+    expected = [np.array([*library.encode(t, add_special_tokens=False).ids, 0], dtype="<u4").tobytes() for t in texts]
+    assert rans.Tokens(byte_bpe).encode(texts, 0) == expected
+    monkeypatch.setattr(rans, "SLICE", 40)
+    assert rans.Tokens(byte_bpe).encode(texts, 0) == expected
+    hashes = rans.word_hashes
+    monkeypatch.setattr(rans, "word_hashes", lambda *x: hashes(*x) & np.uint64(3))  # only four different hashes
+    assert rans.Tokens(byte_bpe).encode(texts, 0) == expected
+
+
+def test_files_are_read_without_their_writer(spark, byte_bpe, tmp_path):
+    path = f"file://{tmp_path}/files"
+    rows = [(2, "two words"), (1, "one " * 300_000), (3, None)]
+    rans.write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), path, byte_bpe)
+    library = Tokenizer.from_file(byte_bpe)
+    got = {r.doc_id: np.frombuffer(bytes(r.ids), "<u4").tolist() for r in rans.read_tokens(spark, path).collect()}
+    assert got == {i: [*library.encode(t or "", add_special_tokens=False).ids, 0] for i, t in rows}
+
+
 def test_empty_tables(empty, word_bpe, byte_bpe):
     assert bpe_trie.encode_decode(empty, word_bpe).count() == 0
     assert rans.round_trip(empty, byte_bpe).count() == 0
