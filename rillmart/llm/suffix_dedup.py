@@ -30,7 +30,9 @@ REACH = LENGTH - PIECE  # bytes by which an anchor may follow its window's start
 CONTEXT = REACH + LENGTH
 WORDS = 12  # of eight bytes: the suffix, the bytes before it backwards, which windows it owns
 STRETCH = 1 << 23  # starts handled at once
-GROUP = 3_000_000  # anchors combined at once in a map task; results do not depend on it
+GROUP = 1_200_000  # anchors combined at once in a map task; results do not depend on it
+LONG_TEXT = 4 << 20  # bytes; longer texts are handled in pieces that overlap
+SHARD_BYTES = 32 << 20  # of text for a shard of the hash arrays and for a bucket of suffixes
 SAMPLE = 2_000  # suffixes that a task offers as splitters
 SIGN = U64(1 << 63)
 
@@ -38,9 +40,7 @@ SIGN = U64(1 << 63)
 class Slice:
     """Several texts in one buffer: their windows' starts and anchors, and hashes of any span."""
 
-    def __init__(self, rows: pa.RecordBatch):
-        texts = [(x or "").encode("utf-8", "replace") for x in rows.column("text").to_pylist()]
-        ids = rows.column("doc_id").to_pylist()
+    def __init__(self, texts: list[bytes], ids: list[int | None]):
         self.texts = texts
         self.raw = b"".join(texts)
         self.buf = np.frombuffer(self.raw, dtype=np.uint8)
@@ -86,6 +86,21 @@ class Slice:
         return first, np.append(first[1:], len(new)) - 1
 
 
+def slices(batches):
+    """The rows' texts, several short ones or a piece of a long one at once, with the piece's place in its text.
+
+    Pieces overlap by less than a window, so each window is in exactly one.
+    """
+    for rows in text_slices(batches):
+        ids = rows.column("doc_id").to_pylist()
+        texts = [b"" if x is None else x.encode("utf-8", "replace") for x in rows.column("text").to_pylist()]
+        if len(texts) == 1 and len(texts[0]) > LONG_TEXT:
+            for at in range(0, len(texts[0]) - LENGTH + 1, LONG_TEXT):
+                yield Slice([texts[0][at : at + LONG_TEXT + LENGTH - 1]], ids), at
+        else:
+            yield Slice(texts, ids), 0
+
+
 def _spread(keys: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys in order with the least ``low`` and the greatest ``high``."""
     if not len(keys):
@@ -113,8 +128,7 @@ def _anchor_keys(bits: int):
             doc = np.concatenate(docs)
             return _send(np.concatenate(keys), doc, doc, bits)
 
-        for rows in text_slices(batches):
-            part = Slice(rows)
+        for part, _ in slices(batches):
             first, _ = part.occurrences()
             if not len(first):
                 continue
@@ -134,9 +148,14 @@ def _store(path: str, name: str, kind: str):
     """Keeps the keys that occur in two documents, with the smallest doc_id."""
 
     def work(shard, held):
-        parts = [arrays.unpack(data, 3) for data in held]
-        keys, low, gap = (np.concatenate([p[k] for p in parts]) for k in range(3))
-        keys, low, high = _spread(keys, low, low + gap)
+        keys, low, high = (np.zeros(0, dtype=U64),) * 3
+        for begin in range(0, len(held), 16):  # a few rows at a time, so that copies stay small
+            parts = [arrays.unpack(data, 3) for data in held[begin : begin + 16]]
+            keys, low, high = _spread(
+                np.concatenate([keys, *(p[0] for p in parts)]),
+                np.concatenate([low, *(p[1] for p in parts)]),
+                np.concatenate([high, *(p[1] + p[2] for p in parts)]),
+            )
         keep = low < high
         Mapped(path, name, kind).write(shard, keys[keep], low[keep])
         yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([int(keep.sum())])], ["shard", "n"])
@@ -226,8 +245,7 @@ def _send_contexts(keys: Mapped, bits: int, splitters: np.ndarray):
                 ["shard", "packed"],
             )
 
-        for rows in text_slices(batches):
-            part = Slice(rows)
+        for part, _ in slices(batches):
             first, last = _flagged(part, keys, bits)
             if not len(first):
                 continue
@@ -246,8 +264,7 @@ def _send_contexts(keys: Mapped, bits: int, splitters: np.ndarray):
 def _sample(keys: Mapped, bits: int):
     def run(batches):
         found, size = [], 0
-        for rows in text_slices(batches):
-            part = Slice(rows)
+        for part, _ in slices(batches):
             first, last = _flagged(part, keys, bits)
             if len(first):
                 found.append(_contexts(part, first, last)[:, 0])
@@ -311,7 +328,8 @@ def _compare(bits: int, splitters: np.ndarray):
 def repeats(docs: DataFrame) -> tuple[str, int]:
     """Folder and shard bits of the arrays of anchors and windows that two documents share."""
     spark = docs.sparkSession
-    parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(2, -(-size // SHARD_BYTES))  # shards follow the text, not the session's settings
     bits = (parts - 1).bit_length()
     path = mounted(shared_folder(spark, "suffixes"))
     stored = "shard int, n long"
@@ -340,43 +358,58 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     path, bits = repeats(rows)
     keys, windows = Mapped(path, "anchors", "<u1"), Mapped(path, "windows", "<u8")
 
+    def cuts(part: Slice):
+        """Begin and end of what goes, in the slice's bytes."""
+        begins, ends = [], []
+        first, last = _flagged(part, keys, bits)
+        if len(first):
+            doc = part.doc[part.owner[first]]
+            unique, back = np.unique(context_hash(_contexts(part, first, last)), return_inverse=True)
+            place, least = windows.find(unique, _shard(unique, bits))
+            whole = (place >= 0)[back] & (least[back] < doc)
+            begins.append(part.start[first[whole]])
+            ends.append(part.start[last[whole]] + LENGTH)
+            first, last = first[~whole], last[~whole]
+        if len(first):
+            sizes = last - first + 1
+            at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(first, sizes)
+            unique, back = np.unique(part.hashes(part.start[at], LENGTH), return_inverse=True)
+            place, least = windows.find(unique, _shard(unique, bits))
+            cut = (place >= 0)[back] & (least[back] < part.doc[part.owner[at]])
+            begins.append(part.start[at][cut])
+            ends.append(part.start[at][cut] + LENGTH)
+        nothing = [np.zeros(0, dtype=np.int64)]
+        return np.concatenate(nothing + begins), np.concatenate(nothing + ends)
+
     def run(batches):
         span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
         for batch in text_slices(batches):
-            part = Slice(batch)
-            first, last = _flagged(part, keys, bits)
-            gone = np.zeros(len(part.buf) + 1, dtype=np.int32)
-            if len(first):
-                doc = part.doc[part.owner[first]]
-                unique, back = np.unique(context_hash(_contexts(part, first, last)), return_inverse=True)
-                place, least = windows.find(unique, _shard(unique, bits))
-                whole = (place >= 0)[back] & (least[back] < doc)
-                begin, after = part.start[first[whole]], part.start[last[whole]] + LENGTH
-                gone += np.bincount(begin, minlength=len(gone)).astype(np.int32)
-                gone -= np.bincount(after, minlength=len(gone)).astype(np.int32)
-                first, last = first[~whole], last[~whole]
-            if len(first):
-                sizes = last - first + 1
-                at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(first, sizes)
-                unique, back = np.unique(part.hashes(part.start[at], LENGTH), return_inverse=True)
-                place, least = windows.find(unique, _shard(unique, bits))
-                cut = (place >= 0)[back] & (least[back] < part.doc[part.owner[at]])
-                begin = part.start[at][cut]
-                gone += np.bincount(begin, minlength=len(gone)).astype(np.int32)
-                gone -= np.bincount(begin + LENGTH, minlength=len(gone)).astype(np.int32)
-            gone = np.cumsum(gone[:-1]) > 0
+            sizes, texts, found = [], [], []
+            for part, at in slices([batch]):
+                begin, end = cuts(part)
+                found.append((begin + at, end + at))
+                texts, sizes = part.texts, (part.end - part.begin).tolist()
+            if len(found) > 1:
+                texts = [batch.column("text")[0].as_buffer().to_pybytes()]
+                sizes = [len(texts[0])]
+            ends = np.cumsum(sizes).tolist()
+            steps = np.zeros(sum(sizes) + 1, dtype=np.int32)
+            for begin, end in found:
+                np.add.at(steps, begin, 1)
+                np.add.at(steps, end, -1)
+            gone = np.cumsum(steps[:-1], dtype=np.int32) > 0
             spans, kept = [], []
-            for text, a, b in zip(part.texts, part.begin.tolist(), part.end.tolist()):
-                own = gone[a:b]
+            for text, b in zip(texts, ends):
+                own = gone[b - len(text) : b]
                 if not own.any():
                     spans.append([])
                     kept.append(text)
                     continue
                 edges = np.flatnonzero(np.diff(np.concatenate([[False], own, [False]]).astype(np.int8)))
                 spans.append([{"begin": x, "end": y} for x, y in edges.reshape(-1, 2).tolist()])
-                kept.append(part.buf[a:b][~own].tobytes())
+                kept.append(np.frombuffer(text, dtype=np.uint8)[~own].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(part.end - part.begin), pa.array(spans, span), pa.array(kept, pa.binary())],
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())],
                 ["doc_id", "n_bytes", "spans", "kept"],
             )
 

@@ -8,6 +8,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 from rillmart.llm import near_copies, simhash, suffix_dedup
@@ -202,3 +203,34 @@ def test_near_copies_are_verified_at_the_similarity(spark):
     assert min(Counter(alike.values()).values()) > 100
     assert not [k for k in alike if linked[k] and not alike[k]]
     assert sum(linked[k] for k in alike if alike[k]) >= 0.98 * sum(alike.values())
+
+
+def test_pieces_of_a_long_text_hold_each_window_once(monkeypatch):
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("ab c") for _ in range(n)) for n in (1000, 259, 249, 210, 49)]
+    rows = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+
+    def windows():
+        found = []
+        for k in range(len(texts)):
+            for part, at in suffix_dedup.slices([rows.slice(k, 1)]):
+                hashes = part.hashes(part.start, suffix_dedup.LENGTH).tolist()
+                found += list(zip([k] * len(hashes), (part.start + at).tolist(), (part.anchor + at).tolist(), hashes))
+        return found
+
+    whole = windows()
+    monkeypatch.setattr(suffix_dedup, "LONG_TEXT", 200)
+    assert windows() == whole and len(whole) == sum(max(0, len(t) - 49) for t in texts)
+
+
+def test_long_texts_lose_what_an_earlier_one_holds(spark):
+    rng = random.Random(11)
+    long = rng.randbytes(4_500_000).hex()  # nine million bytes
+    rows = [(1, long), (2, "before " + long[:8_000_000] + " between " + long[4_194_300:4_194_400] + " after"), (3, long[100:160])]
+    got = {
+        r.doc_id: ([(s.begin, s.end) for s in r.spans], bytes(r.kept).decode())
+        for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    }
+    assert got[1] == ([], long) and got[3] == ([(0, 60)], "")
+    spans, kept = got[2]
+    assert spans == [(7, 8_000_007), (8_000_016, 8_000_116)] and kept == "before  between  after"

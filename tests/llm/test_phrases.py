@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rillmart.llm import phrase_automata, spelling_variants, whitening
@@ -63,13 +64,51 @@ def repeated_rows(seed, count=60):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_phrases_equal_all_windows(spark, seed, monkeypatch):
     rows = repeated_rows(seed)
-    if seed == 2:  # chunks, blocks, shards and split shards of a few windows
-        for name, value in dict(CHUNK=50, BLOCK=20, GROUP=100, PENDING=200, SHARD_BYTES=2000).items():
-            monkeypatch.setattr(phrase_automata, name, value)
-        phrase_automata._powers.cache_clear()
+    if seed == 2:
+        monkeypatch.setattr(phrase_automata, "SHARD_BYTES", 2000)
     docs = spark.createDataFrame([(i, t, "en", "s", 1, "x", 0) for i, t in rows], DOCUMENT + ", kept string, spans int")
     assert phrases(docs.repartition(4)) == brute_phrases(rows)
+
+
+def test_chunks_hold_each_window_once(monkeypatch):
+    rows = repeated_rows(4)
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([i for i, _ in rows], pa.int64()), "text": [t for _, t in rows]})
+
+    def windows():
+        found = []
+        for _, c in phrase_automata.chunks([batch]):
+            hashes, anchors = c.hashes(c.window, 13).tolist(), c.hashes(c.anchor, phrase_automata.PIECE).tolist()
+            found += list(zip((c.window + c.begin).tolist(), (c.anchor + c.begin).tolist(), hashes, anchors, c.doc.tolist()))
+        return found
+
+    whole = windows()
+    monkeypatch.setattr(phrase_automata, "CHUNK", 50)
+    phrase_automata._powers.cache_clear()
+    parts = windows()
     phrase_automata._powers.cache_clear()
+    assert parts == whole and len(whole) > 500
+
+
+def test_blocks_of_a_shard_find_what_one_automaton_finds(monkeypatch):
+    rng = random.Random(6)
+    words = [f"w{k}".encode() for k in range(30)]
+    learned = [b" ".join(rng.choices(words, k=n)) for n in (13, 200, 14, 60, 90)]
+    waiting = [(k, 0, 5, b" ".join([b"x", *p.split()[k : k + 40], b"y"])) for k, p in enumerate(learned)]
+
+    def found():
+        shard, out = phrase_automata.Shard(), []
+        for phrase in learned:
+            shard.learn(phrase)
+        for row in waiting:
+            shard.waiting.append(row)
+            out += shard.drain()
+        covered = {(row, place) for row, _, a, b in out for place in range(a, b)}
+        return len(shard.blocks), covered
+
+    blocks, whole = found()
+    monkeypatch.setattr(phrase_automata, "BLOCK", 20)
+    more, parts = found()
+    assert blocks == 1 and more > 5 and parts == whole and len(whole) > 100
 
 
 def test_phrases_of_many_shards_and_tasks(spark, monkeypatch):
@@ -167,7 +206,6 @@ def spelled_rows(seed):
 @pytest.mark.parametrize("seed,bucket", [(1, 1000), (2, 1000), (3, 2), (4, 1)])
 def test_variants_equal_all_pairs(spark, seed, bucket, monkeypatch):
     monkeypatch.setattr(spelling_variants, "BUCKET", bucket)
-    monkeypatch.setattr(spelling_variants, "HELD", 50)
     rows = spelled_rows(seed)
     docs = spark.createDataFrame([(i, t, "w", 1) for i, t in rows], "doc_id long, text string, word string, n int").repartition(3)
     n = brute_words(rows)
