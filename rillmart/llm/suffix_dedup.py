@@ -86,19 +86,23 @@ class Slice:
         return first, np.append(first[1:], len(new)) - 1
 
 
-def slices(batches):
-    """The rows' texts, several short ones or a piece of a long one at once, with the piece's place in its text.
+def pieces(rows: pa.RecordBatch):
+    """Several short texts, or a piece of a long one, at once, with the piece's place in its text.
 
     Pieces overlap by less than a window, so each window is in exactly one.
     """
+    ids = rows.column("doc_id").to_pylist()
+    texts = [b"" if x is None else x.encode("utf-8", "replace") for x in rows.column("text").to_pylist()]
+    if len(texts) == 1 and len(texts[0]) > LONG_TEXT:
+        for at in range(0, len(texts[0]) - LENGTH + 1, LONG_TEXT):
+            yield Slice([texts[0][at : at + LONG_TEXT + LENGTH - 1]], ids), at
+    else:
+        yield Slice(texts, ids), 0
+
+
+def slices(batches):
     for rows in text_slices(batches):
-        ids = rows.column("doc_id").to_pylist()
-        texts = [b"" if x is None else x.encode("utf-8", "replace") for x in rows.column("text").to_pylist()]
-        if len(texts) == 1 and len(texts[0]) > LONG_TEXT:
-            for at in range(0, len(texts[0]) - LENGTH + 1, LONG_TEXT):
-                yield Slice([texts[0][at : at + LONG_TEXT + LENGTH - 1]], ids), at
-        else:
-            yield Slice(texts, ids), 0
+        yield from pieces(rows)
 
 
 def _spread(keys: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -385,7 +389,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
         for batch in text_slices(batches):
             sizes, texts, found = [], [], []
-            for part, at in slices([batch]):
+            for part, at in pieces(batch):
                 begin, end = cuts(part)
                 found.append((begin + at, end + at))
                 texts, sizes = part.texts, (part.end - part.begin).tolist()
