@@ -12,6 +12,7 @@ from __future__ import annotations
 import struct
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rillmart.llm.bpe_trie import _byte_letters as byte_letters
 from rillmart.llm.common import U64, shared_folder, text_slices
 from rillmart.llm.phrase_automata import word_hashes
 
@@ -141,18 +143,41 @@ class Block:
 
 
 _BREAK = "<|endoftext|>"
-SLICE = 2 << 20
-KNOWN = 2_000_000  # chunks remembered by a worker; forgotten all at once beyond, never skipped
+SLICE = 1_900_000
+KNOWN = 1_500_000  # chunks remembered by a worker; forgotten all at once beyond, never skipped
 KNOWN_BYTES = 64 << 20  # and bytes of them
 
 #: Bytes that begin a character which is surely not white space; a space before one is a place to cut.
 _OPENS = np.ones(256, dtype=bool)
 _OPENS[[*range(9, 14), *range(28, 33), 0xC2, 0xE1, 0xE2, 0xE3]] = False
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK = np.zeros(256, dtype=bool)
+_MARK[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
+
+
+def cuts(buf: np.ndarray) -> np.ndarray:
+    """Places where the byte-level pattern always cuts, so that what lies between can be encoded alone.
+
+    These are a space before a character that is surely not white, a mark or line's
+    end after a letter, and a letter after a line's end that follows a letter or mark.
+    """
+    cut = np.zeros(len(buf) + 1, dtype=bool)
+    if not len(buf):
+        return cut
+    line, letter = buf == 10, _LETTER[buf]
+    cut[: len(buf) - 1] = (buf[:-1] == 32) & _OPENS[buf[1:]]
+    cut[1:-1] |= letter[:-1] & (_MARK[buf[1:]] | line[1:])
+    cut[2:-1] |= (letter | _MARK[buf])[:-2] & line[1:-1] & letter[2:]
+    raw, at = buf.tobytes(), -1
+    while (at := raw.find(_BREAK.encode(), at + 1)) >= 0:
+        cut[at + 1 : at + len(_BREAK)] = False
+    return cut
 
 
 def _flat(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Places of the spans ``begin`` to ``begin + size``, one after another."""
-    done = np.cumsum(size)
+    done = np.cumsum(size, dtype=np.int64)
     return np.repeat(begin - done + size, size) + np.arange(int(done[-1]) if len(done) else 0)
 
 
@@ -161,9 +186,7 @@ class Memory:
 
     def __init__(self, kind: str):
         self.keys = np.zeros(0, dtype=U64)
-        self.row = np.zeros(0, dtype=np.int64)
-        self.begin, self.size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        self.at, self.count = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.row, self.begin, self.size, self.at, self.count = (np.zeros(0, dtype=np.int32) for _ in range(5))
         self.bytes, self.ids = np.zeros(0, dtype=np.uint8), np.zeros(0, dtype=kind)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
@@ -173,24 +196,24 @@ class Memory:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, self.row[at], -1)
 
-    def add(self, keys: np.ndarray, chunks: list[bytes], ids: list[np.ndarray]) -> None:
-        place, new = np.searchsorted(self.keys, keys), len(self.size) + np.arange(len(keys))
+    def add(self, keys: np.ndarray, chunks: list[bytes], ids: list[list[int]]) -> None:
+        place, new = np.searchsorted(self.keys, keys), len(self.size) + np.arange(len(keys), dtype=np.int32)
         self.keys, self.row = np.insert(self.keys, place, keys), np.insert(self.row, place, new)
-        size, count = np.array([len(c) for c in chunks]), np.array([len(i) for i in ids])
-        self.begin = np.concatenate([self.begin, len(self.bytes) + np.cumsum(size) - size])
-        self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(count) - count])
-        self.size, self.count = np.concatenate([self.size, size]), np.concatenate([self.count, count])
-        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(chunks), dtype=np.uint8)])
-        self.ids = np.concatenate([self.ids, *ids]).astype(self.ids.dtype)
+        size, count = np.array(list(map(len, chunks))), np.array(list(map(len, ids)))
+        held = lambda old, values: np.concatenate([old, values.astype(old.dtype)])
+        self.begin = held(self.begin, len(self.bytes) + np.cumsum(size) - size)
+        self.at = held(self.at, len(self.ids) + np.cumsum(count) - count)
+        self.size, self.count = held(self.size, size), held(self.count, count)
+        self.bytes = held(self.bytes, np.frombuffer(b"".join(chunks), dtype=np.uint8))
+        self.ids = held(self.ids, np.fromiter(chain.from_iterable(ids), dtype=np.int64))
 
 
 class Tokens:
     """The tokenizers library with a memory of chunks.
 
-    A chunk is a space with what follows up to the next space before a character
-    that is not white; the byte-level pattern always cuts there.  Chunks are found
-    and hashed for a whole slice of texts at once, the library encodes new ones
-    only, and the bytes of every chunk are compared with those remembered.
+    A chunk is what lies between two ``cuts``.  Chunks are found and hashed for a
+    whole slice of texts at once, the library encodes new ones only, and the bytes of
+    every chunk are compared with those remembered.
     """
 
     def __init__(self, path: str):
@@ -203,21 +226,32 @@ class Tokens:
         self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
         self.break_id = self.library.token_to_id(_BREAK)
         self.known = Memory(self.kind)
-
-    def _library(self, chunks: list[bytes]) -> list[np.ndarray]:
-        """Encode distinct chunks in one call; the special token between them keeps them apart."""
-        texts = [c.decode() for c in chunks]
-        out: list = [None] * len(texts)
-        plain = [k for k, x in enumerate(texts) if self.break_id is not None and _BREAK not in x]
-        if plain:
-            joined = _BREAK.join([texts[k] for k in plain])
-            ids = np.array(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=np.uint32)
-            cuts = np.flatnonzero(ids == self.break_id)
-            for k, a, b in zip(plain, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]):
+        self.letters = {b: c for c, b in byte_letters().items()}
+
+    def _library(self, chunks: list[bytes]) -> list[list[int]]:
+        """Encode distinct chunks: words by the library's model alone, others in calls of some at once.
+
+        The pattern takes a word and the space before it as one piece.  The special
+        token between other chunks keeps them apart.
+        """
+        out: list = [None] * len(chunks)
+        model, letters, others = self.library.model, self.letters, []
+        for k, chunk in enumerate(chunks):
+            text = chunk.decode()
+            word = text[1:] if text[:1] == " " else text
+            if word.isalpha() and max(word) < "ɐ":
+                piece = "".join([letters[b] for b in chunk]) if not chunk.isascii() else letters[32] + word if word != text else word
+                out[k] = [t.id for t in model.tokenize(piece)]
+            elif self.break_id is not None and _BREAK not in text:
+                others.append((k, text))
+            else:
+                out[k] = self.library.encode(text, add_special_tokens=False).ids
+        for begin in range(0, len(others), 200):
+            some = others[begin : begin + 200]
+            ids = self.library.encode(_BREAK.join([x for _, x in some]), add_special_tokens=False).ids
+            breaks = [n for n, i in enumerate(ids) if i == self.break_id]
+            for (k, _), a, b in zip(some, [0, *(n + 1 for n in breaks)], [*breaks, len(ids)]):
                 out[k] = ids[a:b]
-        for k, x in enumerate(texts):
-            if out[k] is None:
-                out[k] = np.array(self.library.encode(x, add_special_tokens=False).ids, dtype=np.uint32)
         return out
 
     def _group(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -232,7 +266,8 @@ class Tokens:
         rows = known.find(keys)
         new = np.flatnonzero(rows < 0)
         if len(new):
-            chunks = [chunk(k) for k in first[new].tolist()]
+            some = first[new]
+            chunks = [raw[a:b] for a, b in zip(begin[some].tolist(), (begin + size)[some].tolist())]
             known.add(keys[new], chunks, self._library(chunks))
             rows = known.find(keys)
         rows = rows[back]
@@ -247,7 +282,7 @@ class Tokens:
             return known.ids[_flat(known.at[rows], count)], count
         # equal hashes of different chunks: these are encoded one by one
         parts = [
-            known.ids[known.at[r] : known.at[r] + known.count[r]] if fits else self._library([chunk(k)])[0].astype(self.kind)
+            known.ids[known.at[r] : known.at[r] + known.count[r]] if fits else np.array(self._library([chunk(k)])[0], dtype=self.kind)
             for k, (r, fits) in enumerate(zip(rows.tolist(), same.tolist()))
         ]
         return np.concatenate(parts), np.array([len(p) for p in parts])
@@ -259,10 +294,8 @@ class Tokens:
         at = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
         buf = np.frombuffer(data or b"", dtype=np.uint8)[at[0] : at[-1]]
         at = at - at[0]
-        cut = np.zeros(len(buf) + 1, dtype=bool)
-        if len(buf):
-            cut[: len(buf) - 1] = (buf[:-1] == 32) & _OPENS[buf[1:]]
-            cut[at[1:] - 1] = False  # what follows is another text
+        cut = cuts(buf)
+        cut[np.maximum(at[1:] - 1, 0)] = False  # a last byte is judged without the text that follows
         cut[at[:-1]] = True
         start = np.flatnonzero(cut[:-1])
         stop = np.append(start[1:], len(buf))[: len(start)]
