@@ -89,7 +89,8 @@ class Arrays:
                 fresh = np.flatnonzero((hits >= need) & ~tried)
                 if len(fresh):
                     tried[fresh] = True
-                    cosines = self.vectors[fresh] @ queries[q] / (self.norms[fresh] * norms[q])
+                    # summed row by row, so that equal vectors tie wherever they lie
+                    cosines = (self.vectors[fresh] * queries[q]).sum(axis=1) / (self.norms[fresh] * norms[q])
                     other = self.ids[fresh] != ids[q]
                     found, scores = np.append(found, self.ids[fresh][other]), np.append(scores, cosines[other])
                     best = np.lexsort((found, -scores))[:k]
@@ -109,7 +110,9 @@ def nearest(vectors: DataFrame, *, key: str = "vec_id", column: str = "embedding
     Queries are the rows whose id is divisible by ``every``; candidates are all
     rows but the query's own.  Ties go to the smaller id.  Vectors of another
     length than the query's are no candidates.  Rows that repeat an id are one
-    candidate each.  An empty table gives no rows.
+    candidate each; repeated query rows are one query, and rows with the id of one
+    and another vector are a query with ranks of its own.  An empty table gives no
+    rows.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, key, column)
@@ -118,26 +121,29 @@ def nearest(vectors: DataFrame, *, key: str = "vec_id", column: str = "embedding
     blocks, groups = max(1, -(-count // BLOCK_ROWS)), max(1, -(-count // every // QUERY_ROWS))
     data = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
     asked = rows.where(F.col("vec_id") % every == 0).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int"))
+    asked = asked.dropDuplicates(["vec_id", "vector"]).withColumn("asked", F.xxhash64("vec_id", "vector"))
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     data = data.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))) if groups > 1 else data.withColumn("part", F.lit(0))
 
     def run(left, right):
         data, asked = left.combine_chunks(), right.combine_chunks()
-        out = [np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)]
+        out = [*(np.zeros(0, dtype=np.int64) for _ in range(3)), np.zeros(0)]
         if data.num_rows and asked.num_rows:
             grid = lambda t: np.asarray(pc.list_flatten(t.column("vector"))).reshape(t.num_rows, -1)
             arrays = Arrays(np.asarray(data.column("vec_id")), grid(data))
             ids = np.asarray(asked.column("vec_id"))
             found = arrays.search(ids, grid(asked), k)
+            sizes = [len(f) for f, _ in found]
             out = [
-                np.repeat(ids, [len(f) for f, _ in found]),
+                np.repeat(ids, sizes),
+                np.repeat(np.asarray(asked.column("asked")), sizes),
                 np.concatenate([f for f, _ in found]),
                 np.concatenate([s for _, s in found]),
             ]
-        return pa.table({"query_id": out[0], "vec_id": out[1], "score": out[2]})
+        return pa.table(dict(zip(("query_id", "asked", "vec_id", "score"), out)))
 
     keys = ["block", "part", "dims"]
-    found = data.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(run, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = data.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(run, "query_id long, asked long, vec_id long, score double")
+    order = Window.partitionBy("query_id", "asked").orderBy(F.desc("score"), "vec_id")
     found = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
