@@ -1,10 +1,11 @@
 """Benchmark decontamination: SimHash over item-sized windows.
 
 Windows as long as a benchmark item are fingerprinted by SimHash over their
-five-word shingles, each as often as it occurs.  A multi-index over eight blocks
-of a fingerprint finds all items of that size within ``RADIUS`` bits; candidates
-are verified by the exact weighted similarity of the shingles.  Only windows that
-hold a shingle of some item are fingerprinted, as no other can be similar.
+five-word shingles, each as often as it occurs.  A window meets the items that
+share a shingle with it, as no other can be similar; of these a multi-index over
+eight blocks of the fingerprint takes those within ``RADIUS`` bits, and they are
+verified by the exact weighted similarity of the shingles.  Items of fewer than
+five words are one shingle of their own length, and windows are cut alike.
 """
 
 from __future__ import annotations
@@ -30,17 +31,25 @@ BLOCK_BYTES = 16 << 20  # text of the benchmark held by a task at once; a larger
 _CLEAN = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
-def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Shingle hashes of all texts, and where each text's begin; a shorter text is one shingle."""
-    words = Words([text.lower() for text in texts], clean=_CLEAN)
+def _words(texts: list[str]) -> Words:
+    return Words([text.lower() for text in texts], clean=_CLEAN)
+
+
+def word_counts(texts: list[str]) -> np.ndarray:
+    return np.diff(_words(texts).first)
+
+
+def shingles(texts: list[str] | Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all texts' shingles of ``size`` words, and where each text's begin; a shorter text is one shingle."""
+    words = texts if isinstance(texts, Words) else _words(texts)
     hashes = words.hashes()
     counts = np.diff(words.first)
-    own = np.where(counts > 0, np.maximum(counts - SHINGLE + 1, 1), 0)
+    own = np.where(counts > 0, np.maximum(counts - size + 1, 1), 0)
     first = np.concatenate([[0], np.cumsum(own)])
     at = np.arange(first[-1]) - np.repeat(first[:-1], own) + np.repeat(words.first[:-1], own)
     last = np.repeat(words.first[1:] - 1, own)
     out = np.zeros(len(at), dtype=U64)
-    for k in range(SHINGLE):
+    for k in range(size):
         inside = at + k <= last
         out = np.where(inside, mix(out * U64(31) + hashes[np.minimum(at + k, last)] + U64(k)), out)
     return out, first
@@ -61,81 +70,105 @@ def window_prints(hashes: np.ndarray, size: int) -> np.ndarray:
 class Group(NamedTuple):
     """The items of one size."""
 
-    items: list[int]
+    items: np.ndarray
     prints: np.ndarray
-    near: np.ndarray  # blocks x 256 x items: whether the item's block is near this value
+
+
+PAIRS = 1 << 16  # pairs of a window and an item compared at once
 
 
 class Index:
-    """Items by size, with the multi-index of their fingerprints."""
+    """Items by size with their fingerprints, and the items of each shingle."""
 
     def __init__(self, item_ids: list[int], texts: list[str]):
         found, first = shingles(texts)
         self.item_ids = item_ids
         self.counts: list[dict[int, int]] = []
+        self.short: dict[int, dict[int, list[int]]] = {}  # number of words: hash: items
         by_size: dict[int, list[int]] = {}
-        sizes_of: dict[int, set[int]] = {}
+        holders: dict[int, list[int]] = {}
+        lengths = word_counts(texts)
         for i in range(len(texts)):
             own = found[first[i] : first[i + 1]]
             values, times = np.unique(own, return_counts=True)
             self.counts.append(dict(zip(values.tolist(), times.tolist())))
-            if len(own):
+            if 0 < lengths[i] < SHINGLE:
+                self.short.setdefault(int(lengths[i]), {}).setdefault(int(own[0]), []).append(i)
+            elif len(own):
                 by_size.setdefault(len(own), []).append(i)
                 for value in values.tolist():
-                    sizes_of.setdefault(value, set()).add(len(own))
-        self.known = np.array(sorted(sizes_of), dtype=U64)
-        self.sizes = [sorted(sizes_of[v]) for v in self.known.tolist()]
+                    holders.setdefault(value, []).append(i)
+        self.known = np.array(sorted(holders), dtype=U64)
+        sizes = [len(holders[v]) for v in self.known.tolist()]
+        self.begin = np.append(0, np.cumsum(sizes)).astype(np.int64)
+        self.holders = np.array([i for v in self.known.tolist() for i in holders[v]], dtype=np.int64)
         self.maybe = np.zeros(1 << 20, dtype=bool)
         self.maybe[(self.known >> U64(44)).astype(np.int64)] = True
-        values = np.arange(256, dtype=np.uint8)
+        self.size_of, self.place_of = np.zeros(len(texts), dtype=np.int64), np.zeros(len(texts), dtype=np.int64)
         self.groups = {}
         for size, items in by_size.items():
             prints = np.array([window_prints(found[first[i] : first[i + 1]], size)[0] for i in items], dtype="<u8")
-            blocks = prints.view(np.uint8).reshape(-1, BLOCKS)
-            near = np.bitwise_count(values[None, :, None] ^ blocks.T[:, None, :]) <= NEAR
-            self.groups[size] = Group(items, prints, near)
+            self.groups[size] = Group(np.array(items), prints)
+            self.size_of[items], self.place_of[items] = size, np.arange(len(items))
 
     def search(self, hashes: np.ndarray) -> list[tuple[int, float, int]]:
-        """(item, best similarity, first shingle of that window) of the items found in one text."""
+        """(item, best similarity, first shingle of that window) of the items found in one text, from its five-word shingles."""
         on = np.flatnonzero(self.maybe[(hashes >> U64(44)).astype(np.int64)]) if len(self.known) else []
         if not len(on):
             return []
         at = np.minimum(np.searchsorted(self.known, hashes[on]), len(self.known) - 1)
         hit = self.known[at] == hashes[on]
-        anchors: dict[int, list[int]] = {}
-        for place, value in zip(on[hit].tolist(), at[hit].tolist()):
-            for size in self.sizes[value]:
-                anchors.setdefault(size, []).append(place)
+        place, value = on[hit], at[hit]
         best: dict[int, tuple[float, int]] = {}
-        for size, places in anchors.items():
-            width = min(size, len(hashes))
-            begin = np.maximum(np.array(places) - width + 1, 0)
-            end = np.minimum(np.array(places), len(hashes) - width)  # last window that holds the anchor
-            cuts = np.flatnonzero(begin[1:] > end[:-1] + 1) + 1
-            for a, b in zip([0, *cuts], [*cuts, len(begin)]):
-                low, high = int(begin[a]), int(end[b - 1])
-                for piece in range(low, high + 1, 1 << 14):  # bounded memory for texts that repeat an item
-                    last = min(piece + (1 << 14) - 1, high)
-                    self._verify(hashes[piece : last + width], piece, width, self.groups[size], best)
+        each = np.diff(self.begin)[value]
+        step = np.cumsum(each) // PAIRS
+        for turn in np.unique(step):  # bounded memory for texts that repeat a shingle of many items
+            some = step == turn
+            count = each[some]
+            which = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(self.begin[value[some]], count)
+            items, places = self.holders[which], np.repeat(place[some], count)
+            for size in np.unique(self.size_of[items]).tolist():
+                mine = self.size_of[items] == size
+                self._size(hashes, size, items[mine], places[mine], best)
         return [(i, sim, place) for i, (sim, place) in best.items()]
 
-    def _verify(self, part: np.ndarray, low: int, width: int, group: Group, best: dict) -> None:
-        prints = window_prints(part, width)
-        blocks = prints.view(np.uint8).reshape(-1, BLOCKS)
-        near = np.zeros((len(prints), len(group.items)), dtype=bool)
-        for k in range(BLOCKS):
-            near |= group.near[k][blocks[:, k]]
-        windows, which = np.nonzero(near)
-        apart = np.bitwise_count(prints[windows] ^ group.prints[which])
-        keep = apart <= RADIUS
-        for w, k in zip(windows[keep].tolist(), which[keep].tolist()):
-            item = group.items[k]
+    def _size(self, hashes: np.ndarray, size: int, items: np.ndarray, places: np.ndarray, best: dict) -> None:
+        """Windows of one size around the places of a shingle that they share with an item."""
+        width = min(size, len(hashes))
+        low, high = np.maximum(places - width + 1, 0), np.minimum(places, len(hashes) - width)
+        order = np.lexsort((low, items))
+        items, low, high = items[order], low[order], high[order]
+        # neighbouring places of one item share windows: each is taken once
+        same = np.append(False, items[1:] == items[:-1])
+        low = np.where(same, np.maximum(low, np.append(0, high[:-1] + 1)), low)
+        count = np.maximum(high - low + 1, 0)
+        turn = np.cumsum(count) // PAIRS
+        for t in np.unique(turn):
+            some = turn == t
+            if not count[some].any():
+                continue
+            windows = np.arange(count[some].sum()) - np.repeat(np.cumsum(count[some]) - count[some], count[some])
+            windows += np.repeat(low[some], count[some])
+            self._verify(hashes, windows, np.repeat(items[some], count[some]), width, self.groups[size], best)
+
+    def _verify(self, hashes: np.ndarray, windows: np.ndarray, items: np.ndarray, width: int, group: Group, best: dict) -> None:
+        distinct, back = np.unique(windows, return_inverse=True)
+        prints = np.empty(len(distinct), dtype="<u8")
+        cuts = np.flatnonzero(np.diff(distinct) > width) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(distinct)]):
+            run = window_prints(hashes[distinct[a] : distinct[b - 1] + width], width)
+            prints[a:b] = run[distinct[a:b] - distinct[a]]
+        apart = prints[back] ^ group.prints[self.place_of[items]]
+        near = (np.bitwise_count(apart.view(np.uint8).reshape(-1, BLOCKS)) <= NEAR).any(axis=1)
+        keep = near & (np.bitwise_count(apart) <= RADIUS)
+        for w, item in zip(windows[keep].tolist(), items[keep].tolist()):
             counts = self.counts[item]
-            values, times = np.unique(part[w : w + width], return_counts=True)
+            values, times = np.unique(hashes[w : w + width], return_counts=True)
             shared = sum(min(t, counts.get(v, 0)) for v, t in zip(values.tolist(), times.tolist()))
             similar = shared / (width + sum(counts.values()) - shared)
-            if similar >= SIMILARITY and similar > best.get(item, (0.0, 0))[0]:
-                best[item] = (similar, low + w)
+            before = best.get(item, (0.0, 0))
+            if similar >= SIMILARITY and (similar > before[0] or similar == before[0] and w < before[1]):
+                best[item] = (similar, w)
 
 
 def indexes(benchmark: DataFrame) -> list:
@@ -177,17 +210,29 @@ class _Shared(NamedTuple):
 def _found(rows: pa.RecordBatch, shared: _Shared):
     """(row, hits) of the rows in which items are found."""
     index = _index(shared)
-    hashes, first = shingles(strings(rows))
+    words = _words(strings(rows))
+    hashes, first = shingles(words)
+    short: dict[int, dict[int, int]] = {}  # text: item: first shingle
+    for size, items in index.short.items():
+        own, begin = shingles(words, size)
+        hit = np.flatnonzero(np.isin(own, np.fromiter(items, dtype=U64, count=len(items))))
+        for place, text in zip(hit.tolist(), (np.searchsorted(begin, hit, "right") - 1).tolist()):
+            if begin[text + 1] - begin[text] > 1 or words.first[text + 1] - words.first[text] == size:
+                for item in items[int(own[place])]:
+                    short.setdefault(text, {}).setdefault(item, place - int(begin[text]))
     for k in range(rows.num_rows):
-        if hits := index.search(hashes[first[k] : first[k + 1]]):
+        hits = index.search(hashes[first[k] : first[k + 1]]) if words.first[k + 1] - words.first[k] >= SHINGLE else []
+        hits += [(item, 1.0, place) for item, place in short.get(k, {}).items()]
+        if hits:
             yield k, hits
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id``, ``item_id``, ``similarity`` and ``first_shingle`` of the best window of each pair found.
 
-    Null texts are empty and null ids are kept.  Repeated rows are each reported;
-    of equally similar windows the first counts.  An empty benchmark finds nothing.
+    Items of one to four words are found where their words stand next to each other;
+    ``first_shingle`` then counts words.  Null texts are empty and null ids are kept.
+    Repeated rows are each reported; of equally similar windows the first counts.  An empty benchmark finds nothing.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, item_id long, similarity double, first_shingle long"

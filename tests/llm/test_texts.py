@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections import Counter
 from itertools import combinations
@@ -150,6 +151,11 @@ def brute_contaminated(docs, items):
         every = [tuple(found[i : i + 5]) for i in range(max(1, len(found) - 4))] if found else []
         for item, counts in sized:
             size = sum(counts.values())
+            short = next(iter(counts)) if size == 1 else ()
+            if 0 < len(short) < 5:  # short items stand in the text as they are
+                if any(tuple(found[k : k + len(short)]) == short for k in range(len(found))):
+                    out.add((doc, item))
+                continue
             if not size or not every or not set(every) & set(counts):
                 continue
             width = min(size, len(every))
@@ -195,6 +201,46 @@ def test_decontamination_of_changed_and_odd_texts(spark, odd, empty, monkeypatch
     assert decontaminate.decontaminate(frame, nothing).count() == len(docs)
 
 
+def test_short_items_are_found_in_longer_texts(spark):
+    items = [(1, "one"), (2, "alpha beta"), (3, "alpha beta gamma"), (4, "p q r s"), (5, "a b c d e"), (6, ".."), (7, "alpha beta")]
+    docs = [
+        (1, "x y alpha, BETA gamma z"), (2, "alpha x beta gamma"), (3, "p q r s"), (4, "p q r"), (5, "one"), (6, "z a b c d e f g"),
+        (7, "a b c d e"), (8, ""), (9, None), (10, "beta alpha beta"),
+    ]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = decontaminate.contaminated(frame, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == brute_contaminated(docs, items)
+    assert {r.first_shingle for r in got if r.doc_id == 1 and r.item_id == 3} == {2}
+
+
+def test_index_compares_few_pairs_and_loses_none(monkeypatch):
+    """Random texts beside shared phrases: windows meet only items with a shingle of theirs."""
+    rng = random.Random(12)
+    words = [f"v{k}" for k in range(300)]
+    phrase = rng.choices(words, k=6)
+    items = [" ".join(rng.choices(words, k=20) + phrase + rng.choices(words, k=rng.choice([4, 5]))) for _ in range(300)]
+    texts = [" ".join(rng.choices(words, k=200)) for _ in range(20)]
+    texts += [t + " " + " ".join(phrase) + " " + items[k] for k, t in enumerate(texts[:10])]
+    compared, found = [0], set()
+    verify = decontaminate.Index._verify
+    monkeypatch.setattr(decontaminate.Index, "_verify", lambda self, h, w, *x: compared.__setitem__(0, compared[0] + len(w)) or verify(self, h, w, *x))
+    monkeypatch.setattr(decontaminate, "PAIRS", 500)
+    index = decontaminate.Index(list(range(300)), items)
+    windows = 0
+    for d, text in enumerate(texts):
+        hashes, _ = decontaminate.shingles([text])
+        windows += len(hashes)
+        found |= {(d, i) for i, _, _ in index.search(hashes)}
+    assert found == brute_contaminated(list(enumerate(texts)), list(enumerate(items))) and len(found) == 10
+    assert all(len(decontaminate.Index([0], [items[0]]).search(decontaminate.shingles([t])[0])) == 0 for t in texts[:10])
+    monkeypatch.setattr(decontaminate.Index, "_verify", verify)
+    compared[0], quiet = 0, decontaminate.Index(list(range(300)), [" ".join(rng.choices(words, k=30)) for _ in range(300)])
+    monkeypatch.setattr(decontaminate.Index, "_verify", lambda self, h, w, *x: compared.__setitem__(0, compared[0] + len(w)) or verify(self, h, w, *x))
+    for text in texts[:10]:
+        quiet.search(decontaminate.shingles([text])[0])
+    assert compared[0] <= 0.02 * 300 * windows
+
+
 PAGE = (
     "<html><head><title>T</title><style>p{}</style><script>var a='</p>';</script></head><body><header><h1>Site</h1></header>"
     "<nav><ul><li>Home</ul></nav><div class='cookie-notice'>We use</div><article><h1>Head &amp; line {0}</h1>"
@@ -250,6 +296,26 @@ def test_neighbours_recall(spark, table):
     assert found / (5 * (ids % 50 == 0).sum()) >= 0.95
 
 
+def test_equal_vectors_and_repeated_queries(spark, monkeypatch):
+    monkeypatch.setattr(collision_ann, "BLOCK_ROWS", 30)
+    rng = np.random.default_rng(4)
+    base = [rng.normal(size=24).tolist() for _ in range(12)]
+    rows = [(k, base[k % 12]) for k in range(240)] + [(50, base[2]), (50, base[2]), (100, base[0]), (7, base[7])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = {}
+    for r in collision_ann.nearest(frame, every=50, k=5).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for q in (0, 50, 100, 150, 200):
+        expected = []
+        for asked in {tuple(v) for i, v in rows if i == q}:
+            v = np.array(asked)
+            other = [(i, np.array(w)) for i, w in rows if i != q]
+            scored = [((w * v).sum() / (np.sqrt((w**2).sum()) * np.sqrt((v**2).sum())), i) for i, w in other]
+            best = sorted(scored, key=lambda x: (-x[0], x[1]))[:5]
+            expected += [(rank, i) for rank, (_, i) in enumerate(best, start=1)]
+        assert sorted((rank, i) for rank, i, _ in got[q]) == sorted(expected)
+
+
 def test_neighbours_in_blocks_and_odd_vectors(spark, monkeypatch):
     monkeypatch.setattr(collision_ann, "BLOCK_ROWS", 40)
     monkeypatch.setattr(collision_ann, "QUERY_ROWS", 2)
