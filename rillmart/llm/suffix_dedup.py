@@ -14,6 +14,8 @@ Windows are compared by 64-bit hashes.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -29,10 +31,11 @@ PIECE = 18
 REACH = LENGTH - PIECE  # bytes by which an anchor may follow its window's start
 CONTEXT = REACH + LENGTH
 WORDS = 12  # of eight bytes: the suffix, the bytes before it backwards, which windows it owns
-STRETCH = 1 << 23  # starts handled at once
-GROUP = 1_200_000  # anchors combined at once in a map task; results do not depend on it
-LONG_TEXT = 4 << 20  # bytes; longer texts are handled in pieces that overlap
-SHARD_BYTES = 32 << 20  # of text for a shard of the hash arrays and for a bucket of suffixes
+STRETCH = 1 << 21  # starts handled at once
+GROUP = 600_000  # anchors combined at once in a map task; results do not depend on it
+SLICE = 1 << 18  # bytes of short texts handled at once
+LONG_TEXT = 1 << 20  # bytes; longer texts are handled in pieces that overlap
+SHARD_BYTES = 16 << 20  # of text for a shard of the hash arrays and for a bucket of suffixes
 SAMPLE = 2_000  # suffixes that a task offers as splitters
 SIGN = U64(1 << 63)
 
@@ -101,10 +104,23 @@ def pieces(rows: pa.RecordBatch):
 
 
 def slices(batches):
-    for rows in text_slices(batches):
+    for rows in text_slices(batches, limit=SLICE):
         yield from pieces(rows)
 
 
+def released(run):
+    """``run``, after which its worker, which later stages use again, gives free memory back."""
+
+    def wrapped(*args):
+        yield from run(*args)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the allocator keeps what it could give back
+        if trim:
+            trim(0)
+
+    return wrapped
+
+
 def _spread(keys: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys in order with the least ``low`` and the greatest ``high``."""
     if not len(keys):
@@ -256,7 +272,7 @@ def _send_contexts(keys: Mapped, bits: int, splitters: np.ndarray):
             doc = part.doc[part.owner[first]]
             held.append((_contexts(part, first, last), doc, doc))
             size += len(first)
-            if size >= GROUP // 6:
+            if size >= GROUP // 4:
                 yield flush()
                 held, size = [], 0
         if size:
@@ -337,16 +353,16 @@ def repeats(docs: DataFrame) -> tuple[str, int]:
     bits = (parts - 1).bit_length()
     path = mounted(shared_folder(spark, "suffixes"))
     stored = "shard int, n long"
-    found = docs.mapInArrow(_anchor_keys(bits), arrays.PACKED)
-    arrays.merged(found, _store(path, "anchors", "<u1"), stored, 1 << bits).agg(F.sum("n")).collect()
+    found = docs.mapInArrow(released(_anchor_keys(bits)), arrays.PACKED)
+    arrays.merged(found, released(_store(path, "anchors", "<u1")), stored, 1 << bits).agg(F.sum("n")).collect()
     keys = Mapped(path, "anchors", "<u1")
     some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(50)) == 0)  # chooses splitters only
-    values = [r.value for r in some.mapInArrow(_sample(keys, bits), "value long").collect()]
+    values = [r.value for r in some.mapInArrow(released(_sample(keys, bits)), "value long").collect()]
     values = np.sort(np.array(values, dtype=np.int64)).view(U64) ^ SIGN
     splitters = values[[len(values) * k // parts for k in range(1, parts)]] if len(values) else values
-    contexts = docs.mapInArrow(_send_contexts(keys, bits, splitters), arrays.PACKED)
-    windows = arrays.merged(contexts, _compare(bits, splitters), arrays.PACKED, len(splitters) + 1)
-    arrays.merged(windows, _store(path, "windows", "<u8"), stored, 1 << bits).agg(F.sum("n")).collect()
+    contexts = docs.mapInArrow(released(_send_contexts(keys, bits, splitters)), arrays.PACKED)
+    windows = arrays.merged(contexts, released(_compare(bits, splitters)), arrays.PACKED, len(splitters) + 1)
+    arrays.merged(windows, released(_store(path, "windows", "<u8")), stored, 1 << bits).agg(F.sum("n")).collect()
     return path, bits
 
 
@@ -387,7 +403,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=SLICE):
             sizes, texts, found = [], [], []
             for part, at in pieces(batch):
                 begin, end = cuts(part)
