@@ -298,7 +298,7 @@ def _stream_repeats(mart: Mart, shape: str, ddl: str, part: str) -> Query:
         def handle(batch: DataFrame, batch_id: Batch) -> None:
             blind = batch.withColumn("before", F.when(F.col("op") != changelog.UPDATE, F.col("before")))
             images = rows.differences(changelog.upserts(blind), batch_id)
-            target.apply(jobs.cleaned_images(images, rule), batch_id)
+            jobs.fan_out(lambda changed: jobs.cleaned_images(changed, rule), target.apply)(images, batch_id)
 
         made = feeds.envelopes(load(spark, folder, shape).select(*schemas.names(ddl)), feeds.SECOND[shape])
         _in_turns(

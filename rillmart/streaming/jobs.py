@@ -292,7 +292,11 @@ class DeltaJoin:
             pairs = self._pairs(deltas.get("left"), deltas.get("right"), old["left"], old["right"])
             if pairs is not None:
                 number = F.lit(batch(batch_id).number).cast("bigint").alias("pos")
-                then(pairs.select(F.lit(UPDATE).alias("op"), number, *(c for c in pairs.columns)), batch_id)
+                pairs = pairs.select(F.lit(UPDATE).alias("op"), number, *pairs.columns).persist()  # marts read them several times
+                try:
+                    then(pairs, batch_id)
+                finally:
+                    pairs.unpersist()
             for n, delta in deltas.items():
                 logs[n].log.append(delta, batch_id)
         finally:
