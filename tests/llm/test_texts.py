@@ -427,3 +427,12 @@ def test_index_of_a_new_benchmark_at_an_old_address(spark, monkeypatch):
         benchmark = spark.createDataFrame([(k, " ".join(words[k : k + 40]))], "item_id long, text string")
         got = [r.item_id for r in decontaminate.contaminated(docs, benchmark).collect()]
         assert got == [k] and decontaminate.decontaminate(docs, benchmark).count() == 0
+
+
+def test_toxicity_stage_keeps_columns_named_like_its_own(spark, small, tmp_path):
+    rows = [(k, f"plain words number {k}", 7.5, 3) for k in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score double, predicted int")
+    spark.createDataFrame([(k, 0) for k in range(9)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = corpus_pipeline.drop_toxic(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns and {tuple(r) for r in kept.collect()} <= set(rows)
+    assert kept.count()
