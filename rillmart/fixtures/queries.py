@@ -409,7 +409,8 @@ def _stream_replay(spark: SparkSession, folder: str) -> DataFrame:
 
     rows = load(spark, folder, "user_info").select(*schemas.names(ddl))
     messages = encode_changes(feeds.envelopes(rows, feeds.SECOND["user_info"]), ["id"])
-    _in_turns(spark, messages, lambda stream, at: jobs.start(decode_changes(stream, ddl), handle, at).awaitTermination())
+    run = lambda stream, at: jobs.start(decode_changes(stream, ddl), handle, at).awaitTermination()
+    _in_turns(spark, messages, run, turns=2)
     return table.current().drop("part")
 
 
