@@ -43,11 +43,11 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def staged(rows: DataFrame, purpose: str) -> DataFrame:
+def staged(rows: DataFrame, purpose: str, **options: str) -> DataFrame:
     """``rows`` written once to the shared folder and read back; cuts lineage, survives lost executors."""
     spark = rows.sparkSession
     path = shared_folder(spark, purpose)
-    rows.write.parquet(path)
+    rows.write.options(**options).parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 

@@ -269,6 +269,72 @@ def test_copied_pages_keep_their_text(spark):
     assert html_template.extract(pages.where("page_id < 0")).count() == 0
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<body><main class='content has-sidebar'><p>Long story</p></main><div class='sidebar'>Links</div></body>", "Long story"),
+    ("<div class='layout sidebar'><article><p>Long story</p></article><div class='ad'>Buy</div></div>", "Long story"),
+    ("<article class='post widget'><p>Long story</p></article><footer>End</footer>", "Long story"),
+    ("<div class='sidebar layout'><p>Long story</p><div class='ad'>Buy</div></div>", "Long story"),
+    ("<form><nav>Menu</nav><article><p>Long story</p></article></form>", "Long story"),
+    ("<main><p>Long story of a day</p><section class='related'><article>Other</article></section></main>", "Long story of a day"),
+    ("<div><p>Long story of a day</p></div><div class='related'><article>Other</article></div>", "Long story of a day"),
+    ("<div><p>Long story</p></div><aside><article>Other stories of a day</article></aside>", "Long story"),
+    ("<main><div class='layout sidebar'><article>Long story of a day</article></div></main>", "Long story of a day"),
+    ("<main><article>Post</article><section id='comments'><article class='comment'>A long answer</article></section></main>", "Post"),
+    ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be</p></article>", "Let x=1 be"),
+    ("<article><p>a</p><nav>b</article>c", "a"),
+    ("<nav>Menu</nav><footer>End</footer>", ""),
+    ("", ""),
+])
+def test_articles_within_hints(html, text):
+    """On a host of one page every kind of element recurs; no hint removes the article or what holds it."""
+    blocks, elements = html_template.parse(html)
+    template = {e.sign for e in elements if e.level}
+    assert "\n\n".join(html_template.choose(blocks, elements, template)) == text
+
+
+def test_page_counts_against_plain_version(spark):
+    """Hints need a share of the host, exact subtrees over half of it; compared with counts in plain Python."""
+    rng, rows = random.Random(5), []
+    for k in range(260):
+        host = "big.example" if k < 230 else f"h{k % 3}.example"
+        parts = [f"<p>{' '.join(rng.choices(['sun', 'rain', 'wind', 'snow', 'day'], k=12))} {k}</p>"]
+        parts += ["<p>Follow us</p>"] * (rng.random() < 0.8) + ["<p>Rarely said</p>"] * (rng.random() < 0.2)
+        parts += [f"<div class='ad'>Buy {k}</div>"] * (rng.random() < 0.5)
+        parts += ["<div class='notice'>Said once</div>"] * (k == 7)
+        rng.shuffle(parts)
+        rows.append((k, f"https://{host}/{k}", f"<nav>Menu {k}</nav><article>{''.join(parts)}</article>"))
+    rows += rows[:40] + [(300, None, None), (301, "https://big.example", "")]
+    pages = [(i, html_template._host(u), *html_template.parse(h or "")) for i, u, h in rows]
+    on, articles = {}, {}
+    for _, host, blocks, elements in pages:
+        article = "\n".join(html_template.choose(blocks, elements, None))
+        articles.setdefault(host, set()).add(article)
+        for e in elements:
+            if e.end > e.begin:
+                on.setdefault((host, e.mark, False), set()).add(article)
+                if e.level:
+                    on.setdefault((host, e.sign, True), set()).add(article)
+    template = {}
+    for (host, mark, hint), seen in on.items():
+        share = len(seen) / len(articles[host])
+        if share >= 0.01 if hint else share > 0.5 and len(seen) >= 5:
+            template.setdefault(host, set()).add(mark)
+    wanted = sorted((i, "\n\n".join(html_template.choose(b, e, template.get(host, set())))) for i, host, b, e in pages)
+    frame = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, template int")
+    got = sorted((r.page_id, r.text) for r in html_template.extract(frame).collect())
+    assert got == wanted
+    texts = "\n".join(t for i, t in got if i is not None and i < 230)  # the large host
+    assert "Follow us" not in texts and "Buy" not in texts and "Menu" not in texts
+    assert "Rarely said" in texts and "Said once" in dict(got)[7]
+
+
+def test_deep_pages():
+    """The work grows with the page, not with the square of its depth."""
+    for tag in ("div", "blockquote", "x"):
+        blocks, elements = html_template.parse(f"<{tag}>a" * 20_000)
+        assert len(blocks) == 20_000 and html_template.choose(blocks, elements, set()) == blocks
+
+
 @pytest.mark.parametrize("table", ["given", "clustered"])
 def test_neighbours_recall(spark, table):
     if table == "given":
