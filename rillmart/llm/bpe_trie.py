@@ -21,9 +21,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillmart.llm.common import strings, text_slices
+from rillmart.llm.common import released, strings, text_slices
 
-SLICE = 3 << 20  # bytes of text whose new words share one trie
+SLICE = 2 << 20  # bytes of text whose new words share one trie
 KNOWN = 300_000  # texts' chunks and pairs remembered by a worker; forgotten all at once beyond, never skipped
 _SPACE = regex.compile(r"\p{White_Space}+")
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")
@@ -246,5 +246,5 @@ def encode_decode(docs: DataFrame, vocabulary: str) -> DataFrame:
             )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, ids binary, decoded string"
+        released(run), "doc_id long, ids binary, decoded string"
     )

@@ -6,6 +6,7 @@ than space and ``\\x09-\\x0D``; a null text counts as empty.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -84,6 +85,19 @@ def text_slices(batches, column: str = "text", limit: int = SLICE_BYTES) -> Iter
             yield batch.slice(int(start), int(end - start))
 
 
+def released(run):
+    """``run``, after which its worker, which later stages use again, gives free memory back."""
+
+    def wrapped(*args):
+        yield from run(*args)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the allocator keeps what it could give back
+        if trim:
+            trim(0)
+
+    return wrapped
+
+
 def strings(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [x or "" for x in batch.column(column).to_pylist()]
 

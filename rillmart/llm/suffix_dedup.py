@@ -14,8 +14,6 @@ Windows are compared by 64-bit hashes.
 
 from __future__ import annotations
 
-import ctypes
-
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -24,7 +22,7 @@ from pyspark.sql import functions as F
 
 from rillmart.llm import arrays
 from rillmart.llm.arrays import Mapped
-from rillmart.llm.common import BASE, U64, mix, mounted, prefix_sums, shared_folder, text_slices
+from rillmart.llm.common import BASE, U64, mix, mounted, prefix_sums, released, shared_folder, text_slices
 
 LENGTH = 50
 PIECE = 18
@@ -108,19 +106,6 @@ def slices(batches):
         yield from pieces(rows)
 
 
-def released(run):
-    """``run``, after which its worker, which later stages use again, gives free memory back."""
-
-    def wrapped(*args):
-        yield from run(*args)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the allocator keeps what it could give back
-        if trim:
-            trim(0)
-
-    return wrapped
-
-
 def _spread(keys: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys in order with the least ``low`` and the greatest ``high``."""
     if not len(keys):
