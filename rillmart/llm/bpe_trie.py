@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from rillmart.llm.common import released, strings, text_slices
 
-SLICE = 2 << 20  # bytes of text whose new words share one trie
+SLICE = 3 << 20  # bytes of text whose new words share one trie
 KNOWN = 300_000  # texts' chunks and pairs remembered by a worker; forgotten all at once beyond, never skipped
 _SPACE = regex.compile(r"\p{White_Space}+")
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")
@@ -226,19 +226,20 @@ def encoder(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def encode_decode(docs: DataFrame, vocabulary: str) -> DataFrame:
+def encode_decode(docs: DataFrame, vocabulary: str, slice_bytes: int = SLICE) -> DataFrame:
     """``doc_id``, ``ids`` (binary, little-endian unsigned 32-bit) and ``decoded`` of each whole text.
 
     Equal to the tokenizers library with the file at ``vocabulary``, no special
     tokens added, truncation or padding.  A null or empty text has empty ``ids``
     and an empty ``decoded``; null ids and repeated rows are kept.  No shuffle:
-    each worker keeps a bounded memory of encodings.
+    each worker keeps a bounded memory of encodings.  Results do not depend on ``slice_bytes``;
+    smaller slices take less memory and more time.
     """
 
     def run(batches):
         gc.disable()  # tries have no cycles, and the collector would walk them again and again
         bpe = encoder(vocabulary)
-        for rows in text_slices(batches, limit=SLICE):
+        for rows in text_slices(batches, limit=slice_bytes):
             ids = bpe.encode(strings(rows))
             yield pa.RecordBatch.from_arrays(
                 [rows.column("doc_id"), pa.array(ids, pa.binary()), pa.array([bpe.decode(x) for x in ids], pa.string())],
