@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from rillmart.llm.common import released, strings, text_slices
 
 SLICE = 3 << 20  # bytes of text whose new words share one trie
-KNOWN = 300_000  # texts' chunks and pairs remembered by a worker; forgotten all at once beyond, never skipped
+KNOWN = 300_000  # pairs of tokens remembered by a worker; forgotten all at once beyond, never skipped
+KNOWN_BYTES = 192 << 20  # chunks of text and their ids remembered by a worker, forgotten alike
 _SPACE = regex.compile(r"\p{White_Space}+")
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")
 
@@ -73,7 +74,8 @@ class WordBpe:
         self.word = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self._endings()
         self.agree: dict[int, bool] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.chunks: dict[str | int, bytes] = {}
+        self.held, self.limit = 0, KNOWN_BYTES  # bytes of ``chunks``
 
     def merge(self, text: str) -> list[int]:
         """Plain BPE of a string of symbols: the lowest merge first, the leftmost of equals."""
@@ -131,58 +133,59 @@ class WordBpe:
             self.ends[state] = mine + self.ends[self.back[state]]
 
     def encode_words(self, words: set[str]) -> dict[str, list[int]]:
-        """Encodings of distinct words given as strings of symbols."""
+        """Ids of distinct words given as strings of symbols."""
         trie: dict = {}
+        deepest = 0
         for word in words:
             node = trie
-            for symbol in word:
+            for symbol in word[:-1]:
                 inner = node.get(symbol)
                 if inner is None:
                     inner = node[symbol] = {}
                 node = inner
+            node[word[-1]] = word  # a word's last symbol is no other symbol
+            deepest = max(deepest, len(word))
         out = {}
-        last, start, states = [-1], [0], [0]
+        last, start, states = [-1] * (deepest + 1), [0] * (deepest + 1), [0] * (deepest + 1)
         step, back, ends, agree, agrees = self.step, self.back, self.ends, self.agree, self.agrees
-        stack = [(child, symbol) for symbol, child in trie.items()]
+        stack = [(child, symbol, 1) for symbol, child in trie.items()]
         while stack:
-            node, path = stack.pop()
-            depth = len(path)
-            del last[depth:], start[depth:], states[depth:]
-            state, symbol = states[-1], ord(path[-1])
-            while (after := step.get(state << 9 | symbol)) is None and state:
+            node, symbol, depth = stack.pop()
+            state, code = states[depth - 1], ord(symbol)
+            while (after := step.get(state << 9 | code)) is None and state:
                 state = back[state]
-            state = after or 0
-            states.append(state)
+            states[depth] = state = after or 0
             for token, size in ends[state]:
                 before = last[depth - size]
                 fits = agree.get(before + 1 << 32 | token)
                 if fits or fits is None and agrees(before, token):
-                    last.append(token)
-                    start.append(depth - size)
+                    last[depth] = token
+                    start[depth] = depth - size
                     break
-            if node:
+            if type(node) is dict:
+                depth += 1
                 for symbol, child in node.items():
-                    stack.append((child, path + symbol))
+                    stack.append((child, symbol, depth))
             else:
                 ids, at = [], depth
                 while at:
                     ids.append(last[at])
                     at = start[at]
                 ids.reverse()
-                out[path] = ids
+                out[node] = ids
         return out
 
-    def words_of(self, chunk: str) -> list[str]:
-        """Normalised words of a text without white space, as strings of symbols."""
-        clean = unicodedata.normalize("NFC", chunk)
-        if clean.isascii():
-            clean = clean.lower()
-        else:
+    def words_of(self, chunks: list[str]) -> list[list[str]]:
+        """Normalised words of texts without white space, as strings of symbols."""
+        clean = unicodedata.normalize("NFC", "\n".join(chunks))  # nothing composes with a line end
+        if "\u03a3" in clean:
             clean = "".join([c.lower() for c in clean])  # letter by letter: no special final sigma
+        else:
+            clean = clean.lower()
         out = []
-        for word in self.word.findall(clean):
-            raw = word.encode()
-            out.append(raw[:-1].decode("latin-1") + chr(256 + raw[-1]))
+        for chunk in clean.split("\n"):
+            raws = [word.encode() for word in self.word.findall(chunk)]
+            out.append([raw[:-1].decode("latin-1") + chr(256 + raw[-1]) for raw in raws])
         return out
 
     def pieces(self, text: str) -> list[str | int]:
@@ -200,20 +203,20 @@ class WordBpe:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each whole text as little-endian unsigned 32-bit integers."""
         known = self.chunks
-        if len(known) > KNOWN:
+        if self.held > self.limit:
             known.clear()
+            self.held = 0
         split = [self.pieces(text) for text in texts]
-        found = [list(map(known.get, pieces)) for pieces in split]
-        new = {x for pieces, codes in zip(split, found) if None in codes for x, code in zip(pieces, codes) if code is None}
-        words = {x: self.words_of(x) for x in new if isinstance(x, str)}
-        codes = self.encode_words({w for ws in words.values() for w in ws})
-        for x in new:
-            ids = [x] if isinstance(x, int) else [i for w in words[x] for i in codes[w]]
-            known[x] = array("I", ids).tobytes()
-        for pieces, codes in zip(split, found):
-            if None in codes:
-                codes[:] = map(known.__getitem__, pieces)
-        return [b"".join(codes) for codes in found]
+        new = set().union(*split).difference(known)
+        chunks = [x for x in new if isinstance(x, str)]
+        words = self.words_of(chunks) if chunks else []
+        codes = self.encode_words({w for ws in words for w in ws})
+        for x in new.difference(chunks):
+            known[x] = array("I", [x]).tobytes()
+        for x, ws in zip(chunks, words):
+            known[x] = ids = array("I", [i for w in ws for i in codes[w]]).tobytes()
+            self.held += 180 + len(x) + len(ids)
+        return [b"".join(map(known.__getitem__, pieces)) for pieces in split]
 
     def decode(self, ids: bytes) -> str:
         """Text of ids: the tokens' strings with a space between, as the file names no decoder."""
@@ -226,19 +229,22 @@ def encoder(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def encode_decode(docs: DataFrame, vocabulary: str, slice_bytes: int = SLICE) -> DataFrame:
+def encode_decode(
+    docs: DataFrame, vocabulary: str, slice_bytes: int = SLICE, known_bytes: int = KNOWN_BYTES
+) -> DataFrame:
     """``doc_id``, ``ids`` (binary, little-endian unsigned 32-bit) and ``decoded`` of each whole text.
 
     Equal to the tokenizers library with the file at ``vocabulary``, no special
     tokens added, truncation or padding.  A null or empty text has empty ``ids``
     and an empty ``decoded``; null ids and repeated rows are kept.  No shuffle:
-    each worker keeps a bounded memory of encodings.  Results do not depend on ``slice_bytes``;
-    smaller slices take less memory and more time.
+    each worker keeps about ``known_bytes`` of encodings.  Results do not depend on ``slice_bytes``
+    and ``known_bytes``; smaller ones take less memory and more time.
     """
 
     def run(batches):
         gc.disable()  # tries have no cycles, and the collector would walk them again and again
         bpe = encoder(vocabulary)
+        bpe.limit = known_bytes
         for rows in text_slices(batches, limit=slice_bytes):
             ids = bpe.encode(strings(rows))
             yield pa.RecordBatch.from_arrays(
