@@ -230,7 +230,7 @@ def encoder(path: str) -> WordBpe:
 
 
 def encode_decode(
-    docs: DataFrame, vocabulary: str, slice_bytes: int = SLICE, known_bytes: int = KNOWN_BYTES
+    docs: DataFrame, vocabulary: str, slice_bytes: int = SLICE, known_bytes: int = KNOWN_BYTES, keep: bool = True
 ) -> DataFrame:
     """``doc_id``, ``ids`` (binary, little-endian unsigned 32-bit) and ``decoded`` of each whole text.
 
@@ -239,6 +239,7 @@ def encode_decode(
     and an empty ``decoded``; null ids and repeated rows are kept.  No shuffle:
     each worker keeps about ``known_bytes`` of encodings.  Results do not depend on ``slice_bytes``
     and ``known_bytes``; smaller ones take less memory and more time.
+    Without ``keep`` a worker forgets the vocabulary and all encodings after each task.
     """
 
     def run(batches):
@@ -251,6 +252,9 @@ def encode_decode(
                 [rows.column("doc_id"), pa.array(ids, pa.binary()), pa.array([bpe.decode(x) for x in ids], pa.string())],
                 ["doc_id", "ids", "decoded"],
             )
+        gc.enable()
+        if not keep:
+            encoder.cache_clear()  # a worker that goes on to other stages needs the memory there
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         released(run), "doc_id long, ids binary, decoded string"
