@@ -502,3 +502,51 @@ def test_toxicity_stage_keeps_columns_named_like_its_own(spark, small, tmp_path)
     kept = corpus_pipeline.drop_toxic(spark, docs, str(tmp_path))
     assert kept.columns == docs.columns and {tuple(r) for r in kept.collect()} <= set(rows)
     assert kept.count()
+
+
+def test_toxicity_learns_from_all_rows(spark, monkeypatch):
+    """A word that only rows outside the start hold is learnt, by several tasks; repeated rows count once."""
+    monkeypatch.setattr(toxicity, "TRAIN_ROWS", 150)
+    monkeypatch.setattr(toxicity, "SHARD_BYTES", 20_000)
+    rng = np.random.default_rng(6)
+    plain = [f"{a}{b}" for a in ("lor", "ip", "dol", "sit", "amet") for b in ("em", "sum", "or", "an", "ix", "ute")]
+    ids = [k for k in range(2400) if crc32(str(k).encode()) % 3 != 1]
+    labels = spark.createDataFrame([(k, k % 3 // 2) for k in ids], "doc_id long, toxic int")
+    drawn = {k: rng.choice(plain, 12).tolist() for k in ids}
+    blank = spark.createDataFrame([(k, " ".join(drawn[k]), "en", "s", 0) for k in ids], DOCUMENT)
+    monkeypatch.setattr(toxicity, "LONG_BYTES", 10_000)
+    start = {k for k, *_ in toxicity.sample(blank, labels)}
+    assert len(start) == 150
+    words = {k: drawn[k][:6] + ["grobnak" if k % 3 == 2 and k not in start else "kind"] + drawn[k][6:] for k in ids}
+    docs = [(k, " ".join(words[k]), "en", "s", 0) for k in ids]
+    asked = [(1, " ".join(plain[:9] + ["grobnak"]), "en", "s", 0), (2, " ".join(plain[:9] + ["kind"]), "en", "s", 0)]
+    learnt = []
+    trained = toxicity.learn
+    monkeypatch.setattr(toxicity, "learn", lambda rows, *more: learnt.append(rows.count()) or trained(rows, *more))
+    for rows in (spark.createDataFrame(docs, DOCUMENT).coalesce(1), spark.createDataFrame(docs + docs[::7], DOCUMENT).repartition(5)):
+        net = toxicity.fit(rows, labels)
+        got = {r.doc_id: r for r in toxicity.score(spark.createDataFrame(asked, DOCUMENT), net).collect()}
+        assert (got[1].predicted, got[2].predicted) == (1, 0)
+    assert learnt == [len(ids)] * 2
+
+
+def test_toxicity_without_a_start(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TRAIN_BYTES", 10)
+    ids = [k for k in range(600) if crc32(str(k).encode()) % 3 != 1]
+    docs = [(k, f"common words {'vile' if k % 2 else 'kind'} number", "en", "s", 0) for k in ids]
+    labels = spark.createDataFrame([(k, k % 2) for k in ids], "doc_id long, toxic int")
+    frame = spark.createDataFrame(docs, DOCUMENT)
+    got = toxicity.score(frame, toxicity.fit(frame, labels)).collect()
+    pairs = [(a.score, b.score) for a in got[:60] for b in got[:60] if a.doc_id % 2 > b.doc_id % 2]
+    assert np.mean([a > b for a, b in pairs]) >= 0.9
+
+
+def test_toxicity_counts_of_pieces():
+    texts = toxicity.prepare(["alpha beta alpha", "beta betas", "gamma", ""])
+    seen = np.zeros((2, toxicity.BUCKETS + 1), dtype=np.int64)
+    toxicity.count_pieces(texts, np.arange(4), np.array([0, 1, 0, 0]), seen)
+    expected = np.zeros_like(seen)
+    for row, fold in enumerate([0, 1, 0, 0]):
+        own = toxicity.prepare([["alpha beta alpha", "beta betas", "gamma", ""][row]])
+        expected[fold, np.unique(own.words[own.index])] += 1
+    assert (seen == expected).all() and seen[0].max() > 1
