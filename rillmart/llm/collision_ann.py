@@ -4,6 +4,7 @@ Each of ``PROJECTIONS`` random lines has an array of the vectors sorted by their
 projection.  A query opens a window around its own projection in every array; a
 vector inside a window collides.  Virtual rehashing widens the windows step by
 step, and vectors with enough collisions are verified by their exact cosine.
+Collisions are counted on bitmaps, 64 vectors at once.
 Vectors are dealt into blocks with arrays of their own, and the queries, in
 blocks, go to all of them.
 """
@@ -23,6 +24,9 @@ THRESHOLD = 0.6  # share of the lines in which a vector must collide to be verif
 REACH = 1.1  # windows grow until half of one is this times the distance of the k-th found
 BLOCK_ROWS = 20_000
 QUERY_ROWS = 2_000
+QUERY_BATCH = 64  # queries that are counted and verified together
+STRIPS = 256  # parts of a sorted array, to which windows are widened
+CLOSE = 1e-9  # the product's cosines are off by less
 SEED = 11
 
 
@@ -44,65 +48,123 @@ def _lines(dims: int) -> np.ndarray:
     return np.random.default_rng(SEED).normal(size=(PROJECTIONS, dims)) / np.sqrt(dims)
 
 
+def _enough(lines, need: int) -> np.ndarray:
+    """Bits that at least ``need`` of the bitmaps hold, counted by adders for 64 rows at once."""
+    places: list[list[np.ndarray]] = [[]]  # bitmaps that stand for 1, 2, 4, ...
+
+    def add(bits: np.ndarray, k: int) -> None:
+        if k == len(places):
+            places.append([])
+        places[k].append(bits)
+        if len(places[k]) == 3:
+            x, y, z = places[k]
+            either = x ^ y
+            places[k] = [either ^ z]
+            add((x & y) | (either & z), k + 1)
+
+    for bits in lines:
+        add(bits, 0)
+    k, more = 0, None
+    while k < len(places):
+        if len(places[k]) == 2:
+            x, y = places[k]
+            places[k] = [x ^ y]
+            add(x & y, k + 1)
+        count = places[k][0] if places[k] else np.uint64(0)
+        more = np.zeros_like(bits) if more is None else more
+        more = more & count if (need - 1) >> k & 1 else more | count
+        k += 1
+    return more if (need - 1) >> k == 0 else np.zeros_like(bits)
+
+
 class Arrays:
-    """Sorted projections of a block of vectors."""
+    """Sorted projections of a block of vectors.
+
+    Every sorted array is cut into ``STRIPS`` parts, and the rows before each cut are
+    kept as a bitmap; the rows of a window, widened to whole parts, are the
+    difference of two bitmaps.
+    """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
         self.norms = np.sqrt((self.vectors**2).sum(axis=1))
+        self.unit = self.vectors / self.norms[:, None]
         self.lines = _lines(vectors.shape[1])
-        spread = (self.vectors / self.norms[:, None]) @ self.lines.T * np.sqrt(vectors.shape[1])
-        self.order = np.argsort(spread, axis=0).T.astype(np.int32).copy()
-        self.places = np.take_along_axis(spread, self.order.T.astype(np.int64), axis=0).T.copy()
+        spread = self.unit @ self.lines.T * np.sqrt(vectors.shape[1])
+        n = len(ids)
+        strips = min(STRIPS, n)
+        self.cuts = np.arange(strips + 1) * n // strips
+        self.places = np.empty((PROJECTIONS, n))
+        self.before = np.zeros((PROJECTIONS, strips + 1, -(-n // 64)), dtype=np.uint64)
+        for j in range(PROJECTIONS):
+            sorting = np.argsort(spread[:, j])
+            self.places[j] = spread[sorting, j]
+            strip = np.empty(n, dtype=np.int16)
+            strip[sorting] = np.repeat(np.arange(strips), np.diff(self.cuts))
+            rows = np.packbits(strip < np.arange(strips + 1)[:, None], axis=1, bitorder="little")
+            self.before[j].view(np.uint8)[:, : rows.shape[1]] = rows
 
     def search(self, ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """Nearest ids and cosines of each query, its own row left out."""
-        norms = np.sqrt((queries**2).sum(axis=1))
-        places = (queries / norms[:, None]) @ self.lines.T * np.sqrt(queries.shape[1])
-        widths = [WIDTH]
-        while widths[-1] < 8 * np.sqrt(queries.shape[1]):
-            widths.append(widths[-1] * GROWTH)
-        low = [np.empty((PROJECTIONS, len(ids)), dtype=np.int64) for _ in widths]
-        high = [np.empty((PROJECTIONS, len(ids)), dtype=np.int64) for _ in widths]
-        for step, width in enumerate(widths):
-            for j in range(PROJECTIONS):
-                low[step][j] = np.searchsorted(self.places[j], places[:, j] - width, "left")
-                high[step][j] = np.searchsorted(self.places[j], places[:, j] + width, "right")
-        need = int(np.ceil(THRESHOLD * PROJECTIONS))
         out = []
-        for q in range(len(ids)):
-            tried = np.zeros(len(self.ids), dtype=bool)
-            hits = np.zeros(len(self.ids), dtype=np.int16)
-            found, scores = np.zeros(0, dtype=np.int64), np.zeros(0)
-            begin = end = None
-            for step, width in enumerate(widths):
-                a, b = low[step][:, q].tolist(), high[step][:, q].tolist()
-                if begin is None:
-                    begin = end = a
-                for j, ids_of in enumerate(self.order):  # a line holds a vector once, so plain increments count right
-                    if a[j] < begin[j]:
-                        hits[ids_of[a[j] : begin[j]]] += 1
-                    if end[j] < b[j]:
-                        hits[ids_of[end[j] : b[j]]] += 1
-                begin, end = a, b
-                fresh = np.flatnonzero((hits >= need) & ~tried)
-                if len(fresh):
-                    tried[fresh] = True
-                    # summed row by row, so that equal vectors tie wherever they lie
-                    cosines = (self.vectors[fresh] * queries[q]).sum(axis=1) / (self.norms[fresh] * norms[q])
-                    other = self.ids[fresh] != ids[q]
-                    found, scores = np.append(found, self.ids[fresh][other]), np.append(scores, cosines[other])
-                    best = np.lexsort((found, -scores))[:k]
-                    found, scores = found[best], scores[best]
-                # a vector at distance d collides in a line with probability P(|N| d <= width)
-                if len(found) == k and width >= REACH * np.sqrt(max(0.0, 2 - 2 * scores[-1])):
-                    break
-                if tried.all():
-                    break
-            out.append((found, scores))
+        for start in range(0, len(ids), QUERY_BATCH):
+            out += self._search(ids[start : start + QUERY_BATCH], queries[start : start + QUERY_BATCH], k)
         return out
 
+    def _search(self, ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        norms = np.sqrt((queries**2).sum(axis=1))
+        unit = queries / norms[:, None]
+        places = unit @ self.lines.T * np.sqrt(queries.shape[1])
+        need = int(np.ceil(THRESHOLD * PROJECTIONS))
+        first, last = np.searchsorted(self.ids, ids, "left"), np.searchsorted(self.ids, ids, "right")
+        found = [(np.zeros(0, dtype=np.int64), np.zeros(0)) for _ in ids]
+        tried = np.zeros((len(ids), self.before.shape[2]), dtype=np.uint64)
+        active, width = np.arange(len(ids)), WIDTH
+        while len(active):
+            hits = _enough(self._windows(places[active], width), need)
+            fresh = hits & ~tried[active]
+            tried[active] |= hits
+            self._verify(active, fresh, ids, first, last, queries, norms, unit, found, k)
+            # a vector at distance d collides in a line with probability P(|N| d <= width)
+            near = [
+                len(found[q][0]) == k and width >= REACH * np.sqrt(max(0.0, 2 - 2 * found[q][1][-1])) for q in active
+            ]
+            whole = np.bitwise_count(tried[active]).sum(axis=1) == len(self.ids)
+            wide = width >= 8 * np.sqrt(queries.shape[1])
+            active, width = active[~(np.array(near) | whole | wide)], width * GROWTH
+        return found
+
+    def _windows(self, places: np.ndarray, width: float):
+        """For each line the rows in the windows around the places, a bitmap a query."""
+        for j in range(PROJECTIONS):
+            low = np.searchsorted(self.places[j], places[:, j] - width, "left")
+            high = np.searchsorted(self.places[j], places[:, j] + width, "right")
+            low = np.searchsorted(self.cuts, low, "right") - 1
+            high = np.searchsorted(self.cuts, high, "left")
+            yield self.before[j][high] & ~self.before[j][low]
+
+    def _verify(self, active, fresh, ids, first, last, queries, norms, unit, found, k: int) -> None:
+        """Put the nearest of the fresh rows into ``found``; one product serves all queries, close calls are summed anew."""
+        rows = np.flatnonzero(np.unpackbits(np.bitwise_or.reduce(fresh).view(np.uint8), bitorder="little", count=len(self.ids)))
+        if not len(rows):
+            return
+        collided = np.unpackbits(fresh.view(np.uint8), axis=1, bitorder="little", count=len(self.ids))
+        for bits, q in zip(collided, active):
+            bits[first[q] : last[q]] = 0
+        about = np.where(collided[:, rows], unit[active] @ self.unit[rows].T, -2)
+        least = np.partition(about, -k, axis=1)[:, -k] if len(rows) > k else np.full(len(active), -2.0)
+        for mine, q, bound in zip(about, active, least):
+            ids_before, scores_before = found[q]
+            if len(scores_before) == k:
+                bound = max(bound, scores_before[-1])
+            close = rows[(mine >= bound - CLOSE) & (mine > -1.5)]
+            # summed row by row, so that equal vectors tie wherever they lie
+            cosines = (self.vectors[close] * queries[q]).sum(axis=1) / (self.norms[close] * norms[q])
+            got, scores = np.append(ids_before, self.ids[close]), np.append(scores_before, cosines)
+            best = np.lexsort((got, -scores))[:k]
+            found[q] = got[best], scores[best]
+
 
 def nearest(vectors: DataFrame, *, key: str = "vec_id", column: str = "embedding", every: int = 50, k: int = 5) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score`` of the ``k`` nearest found to each query.

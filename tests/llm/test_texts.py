@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import sys
 from collections import Counter
 from itertools import combinations
 from zlib import crc32
@@ -550,3 +551,37 @@ def test_toxicity_counts_of_pieces():
         own = toxicity.prepare([["alpha beta alpha", "beta betas", "gamma", ""][row]])
         expected[fold, np.unique(own.words[own.index])] += 1
     assert (seen == expected).all() and seen[0].max() > 1
+
+
+def test_collisions_counted_on_bitmaps():
+    rng = np.random.default_rng(2)
+    for lines, need in ((64, 39), (64, 64), (5, 3), (3, 1), (7, 8), (1, 1)):
+        hits = rng.random((lines, 4, 128)) < 0.6
+        bitmaps = [np.packbits(h, axis=1, bitorder="little").view(np.uint64) for h in hits]
+        got = np.unpackbits(collision_ann._enough(bitmaps, need).view(np.uint8), axis=1, bitorder="little")
+        assert (got == (hits.sum(axis=0) >= need)).all()
+
+
+def test_queries_share_the_counting_of_collisions():
+    """Without near neighbours the windows hold most rows; the steps that count them serve many queries at once."""
+    rng = np.random.default_rng(9)
+    ids, grid = np.arange(6400), rng.normal(size=(6400, 64))
+    arrays = collision_ann.Arrays(ids, grid)
+    steps = Counter()
+
+    def trace(frame, event, arg):
+        steps[event] += frame.f_code.co_filename == collision_ann.__file__
+        return trace
+
+    before = sys.gettrace()
+    sys.settrace(trace)
+    try:
+        found = arrays.search(ids[::50], grid[::50], 5)
+    finally:
+        sys.settrace(before)
+    assert steps["line"] < 600 * 128  # lines run; one line of code a query and sorted array gave over 1,000 a query
+    unit = grid / np.linalg.norm(grid, axis=1)[:, None]
+    cosines = unit[::50] @ unit.T
+    cosines[np.arange(128), ids[::50]] = -2
+    shared = [len({*np.argsort(-c)[:5].tolist()} & {*got.tolist()}) for c, (got, _) in zip(cosines, found)]
+    assert sum(shared) >= 0.9 * 5 * 128
